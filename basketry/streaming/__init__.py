@@ -1,0 +1,5 @@
+"""Empty on purpose: every input of this workload is a complete batch table.
+
+There is no watermark, windowed stream or keyed state to rebuild, so no streaming
+operator is offered (see the README).
+"""
