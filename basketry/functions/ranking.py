@@ -75,10 +75,12 @@ def rank_within_large(
     execution can split, its other side having one row per group.
     """
     numbered = number_rows(df, [*[F.col(g) for g in group], *order], "_number")
-    numbered = cut_lineage(numbered)
-    first = numbered.groupBy(*group).agg(F.min("_number").alias("_first"))
+    first = numbered.groupBy(*[F.col(g).alias(f"_{g}") for g in group]).agg(
+        F.min("_number").alias("_first")
+    )
+    same_group = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
     return (
-        numbered.join(first, list(group))
+        numbered.join(first, same_group)
         .withColumn(rank, (F.col("_number") - F.col("_first") + 1).cast("int"))
         .select(*df.columns, rank)
     )
