@@ -46,6 +46,18 @@ def epoch_millis_to_time(millis: Column) -> Column:
     return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
 
 
+def time_to_epoch_millis(time: Column) -> Column:
+    """UTC wall-clock time as whole epoch milliseconds, fractions cut off."""
+    since = time.cast("timestamp_ntz") - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    parts = {"DAY": 86_400_000, "HOUR": 3_600_000, "MINUTE": 60_000}
+    whole = sum(
+        (F.extract(F.lit(unit), since).cast("bigint") * millis for unit, millis in parts.items()),
+        F.lit(0).cast("bigint"),
+    )
+    seconds = F.extract(F.lit("SECOND"), since).cast("decimal(18,6)")
+    return whole + F.floor(seconds * 1000).cast("bigint")
+
+
 def period_start(time: Column, unit: str) -> Column:
     """First date of the period ``time`` falls in."""
     day = time.cast("date")
