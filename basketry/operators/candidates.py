@@ -48,6 +48,14 @@ def user_history(
     return recent.select("user_id", F.col("item_id").alias("source_item_id"))
 
 
+def history_users(
+    events: DataFrame, bounds: DataFrame, types: Sequence[str] = EVENT_TYPES
+) -> DataFrame:
+    """Users with a non-empty history: one partial aggregation of user ids, no ranking."""
+    past = before(normalize_interactions(events), bounds, "ranker_start")
+    return past.where(F.col("event").isin(list(types))).select("user_id").distinct()
+
+
 def similar_features(history: DataFrame, similar: DataFrame, top_n: int = 50) -> DataFrame:
     """Per (user, candidate): best score, best rank and number of history items behind it.
 
@@ -191,9 +199,8 @@ def build_candidates(
     history = user_history(events, bounds, config.history_items)
     als = _als_features(personal_als)
     similarity = similar_features(history, similar, config.similar_top_n)
-    popular = popular_candidates(
-        history.withColumnRenamed("source_item_id", "item_id"), top_popular, config.popular_top_n
-    )
+    users = history_users(events, bounds)
+    popular = popular_candidates(users, top_popular, config.popular_top_n)
     features = (
         "als_score",
         "als_rank",

@@ -51,13 +51,19 @@ def clean_item_properties(
 
 
 def drop_properties(props: DataFrame, names: DataFrame | Iterable[str]) -> DataFrame:
-    """Rows of all other properties."""
+    """Rows of all other properties, without a shuffle.
+
+    Names given as a table enter the filter as one array value.  That is the output of
+    ``detect_constant_properties``: every item has each of them, so there are at most as
+    many as a property row count divided by the item count.
+    """
     if isinstance(names, DataFrame):
-        return props.join(names.select("property"), "property", "left_anti").select(*props.columns)
-    listed = list(names)
-    if not listed:
-        return props
-    return props.where(F.col("property").isNull() | ~F.col("property").isin(listed))
+        listed = names.agg(F.collect_list("property").alias("names")).scalar()
+        dropped = F.array_contains(listed, F.col("property"))
+    else:
+        names = list(names)
+        dropped = F.col("property").isin(names) if names else F.lit(False)
+    return props.where(F.col("property").isNull() | ~dropped)
 
 
 def property_stats(props: DataFrame) -> DataFrame:

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import ratio, single_value, small_list
 from basketry.operators.cleaning import normalize_interactions
 from basketry.operators.splits import before, positive_pairs, within
 
-_PAIR = ["user_id", "item_id"]
+_PAIR = ("user_id", "item_id")
+_BY = ("model",)
 
 
 def ground_truth(events: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -71,44 +72,65 @@ def novelty_map(events: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def _top(recs: DataFrame, k: int) -> DataFrame:
-    return recs.where(F.col("rank") <= k).select(*_PAIR).distinct()
+    return recs.where(F.col("rank") <= k).select(*_BY, *_PAIR).distinct()
 
 
-def _user_hits(recs: DataFrame, truth: DataFrame, k: int) -> DataFrame:
-    """Hits and relevant items of every user with relevant items.
+def _user_hits(recs: DataFrame, truth: DataFrame, k: int, models: Sequence[str]) -> DataFrame:
+    """Hits and relevant items of every model and user with relevant items.
 
     Both sides are stacked and grouped, so truth users without recommendations stay in with
     no hits and recommendations of other users drop out.
     """
+    names = F.array(*[F.lit(m) for m in models])
+    relevant = truth.select(F.explode(names).alias("model"), *_PAIR)
     both = (
         _top(recs, k)
-        .select(*_PAIR, F.lit(1).alias("_rec"), F.lit(0).alias("_true"))
-        .unionByName(truth.select(*_PAIR, F.lit(0).alias("_rec"), F.lit(1).alias("_true")))
+        .select("*", F.lit(1).alias("_rec"), F.lit(0).alias("_true"))
+        .unionByName(relevant.select("*", F.lit(0).alias("_rec"), F.lit(1).alias("_true")))
+    )
+    pairs = both.groupBy(*_BY, *_PAIR).agg(
+        F.max("_rec").alias("_rec"), F.max("_true").alias("_true")
     )
-    pairs = both.groupBy(*_PAIR).agg(F.max("_rec").alias("_rec"), F.max("_true").alias("_true"))
     return (
-        pairs.groupBy("user_id")
+        pairs.groupBy(*_BY, "user_id")
         .agg(F.sum(F.col("_rec") * F.col("_true")).alias("hits"), F.sum("_true").alias("relevant"))
         .where("relevant > 0")
     )
 
 
-def _precision(k: int):
-    return F.avg(F.col("hits").cast("double") / F.lit(float(k)))
+def _precision(k: int) -> Column:
+    return F.avg(F.col("hits").cast("double") / F.lit(float(k))).alias("precision")
+
+
+def _recall() -> Column:
+    return F.avg(F.col("hits").cast("double") / F.col("relevant")).alias("recall")
+
+
+def _recommended_items(recs: DataFrame, novelty: DataFrame, k: int) -> DataFrame:
+    """How often a model recommends each item, with the item's novelty if it has one."""
+    counted = _top(recs, k).groupBy(*_BY, "item_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.join(novelty, "item_id", "left")
+
+
+def _mean_novelty() -> Column:
+    known = F.when(F.col("novelty").isNotNull(), F.col("_n"))
+    return F.try_divide(F.sum(F.col("novelty") * known), F.sum(known).cast("double")).alias(
+        "novelty"
+    )
 
 
-def _recall():
-    return F.avg(F.col("hits").cast("double") / F.col("relevant"))
+def _one(recs: DataFrame) -> DataFrame:
+    return recs.withColumn("model", F.lit(""))
 
 
 def precision_at_k(recs: DataFrame, truth: DataFrame, k: int = 10) -> DataFrame:
     """One row: mean over truth users of hits / k, also when a user has fewer rows."""
-    return _user_hits(recs, truth, k).agg(_precision(k).alias("precision"))
+    return _user_hits(_one(recs), truth, k, [""]).agg(_precision(k))
 
 
 def recall_at_k(recs: DataFrame, truth: DataFrame, k: int = 10) -> DataFrame:
     """One row: mean over truth users of the share of relevant items that were found."""
-    return _user_hits(recs, truth, k).agg(_recall().alias("recall"))
+    return _user_hits(_one(recs), truth, k, [""]).agg(_recall())
 
 
 def coverage_at_k(recs: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame:
@@ -121,20 +143,9 @@ def coverage_at_k(recs: DataFrame, catalog: DataFrame, k: int = 10) -> DataFrame
     )
 
 
-def _recommended_items(recs: DataFrame, novelty: DataFrame, k: int) -> DataFrame:
-    """How often each item is recommended, with its novelty if it has one."""
-    counted = _top(recs, k).groupBy("item_id").agg(F.count(F.lit(1)).alias("_n"))
-    return counted.join(novelty, "item_id", "left")
-
-
-def _mean_novelty():
-    known = F.when(F.col("novelty").isNotNull(), F.col("_n"))
-    return F.try_divide(F.sum(F.col("novelty") * known), F.sum(known).cast("double"))
-
-
 def novelty_at_k(recs: DataFrame, novelty: DataFrame, k: int = 10) -> DataFrame:
     """One row: mean novelty over recommended rows; items without novelty are skipped."""
-    return _recommended_items(recs, novelty, k).agg(_mean_novelty().alias("novelty"))
+    return _recommended_items(_one(recs), novelty, k).agg(_mean_novelty())
 
 
 def evaluate_recommendations(
@@ -144,18 +155,7 @@ def evaluate_recommendations(
 
     Hits count for truth users only; coverage and novelty look at every list given.
     """
-    size = single_value(catalog, "catalog_size")
-    items = _recommended_items(recs, novelty, k).agg(
-        F.struct(
-            ratio(F.count(F.lit(1)), size).alias("coverage"), _mean_novelty().alias("novelty")
-        ).alias("items")
-    )
-    return (
-        _user_hits(recs, truth, k)
-        .agg(_precision(k).alias("precision"), _recall().alias("recall"))
-        .withColumn("_items", single_value(items, "items"))
-        .select("precision", "recall", "_items.coverage", "_items.novelty")
-    )
+    return compare_models({"": recs}, truth, catalog, novelty, k).drop("model")
 
 
 def compare_models(
@@ -165,11 +165,25 @@ def compare_models(
     novelty: DataFrame,
     k: int = 10,
 ) -> DataFrame:
-    """Metrics of several models, one row each."""
-    rows = [
-        evaluate_recommendations(recs, truth, catalog, novelty, k).select(
-            F.lit(name).alias("model"), "*"
-        )
-        for name, recs in models.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    """Metrics of several models, one row each.
+
+    The lists are stacked with their model's name and measured together: the number of
+    shuffles does not grow with the number of models.
+    """
+    names = list(models)
+    recs = reduce(
+        lambda a, b: a.unionByName(b),
+        [df.select(F.lit(m).alias("model"), *_PAIR, "rank") for m, df in models.items()],
+    )
+    size = single_value(catalog, "catalog_size")
+    users = _user_hits(recs, truth, k, names).groupBy(*_BY).agg(_precision(k), _recall())
+    items = (
+        _recommended_items(recs, novelty, k)
+        .groupBy(*_BY)
+        .agg(ratio(F.count(F.lit(1)), size).alias("coverage"), _mean_novelty())
+    )
+    every = recs.sparkSession.createDataFrame([(name,) for name in names], "model string")
+    measured = every.join(users, "model", "left").join(items, "model", "left")
+    return measured.select(
+        "model", "precision", "recall", F.coalesce("coverage", F.lit(0.0)).alias("coverage"), "novelty"
+    )

@@ -131,10 +131,15 @@ def item_categories(props: DataFrame) -> DataFrame:
 
 
 def latest_category(categories: DataFrame) -> DataFrame:
-    """Last category of every item; the larger id where two carry the same time."""
-    newest = F.max(F.struct("timestamp", "categoryid"))
+    """Last category of every item; the larger id where two carry the same time.
+
+    Repeated notices of one category collapse first, in a hash aggregation on the map side;
+    what is compared as (time, category) afterwards is about one row per item.
+    """
+    changes = categories.groupBy("itemid", "categoryid").agg(F.max("timestamp").alias("_last"))
+    newest = F.max(F.struct("_last", "categoryid"))
     return (
-        categories.groupBy("itemid")
+        changes.groupBy("itemid")
         .agg(newest.alias("_newest"))
         .select("itemid", F.col("_newest.categoryid").alias("categoryid"))
     )

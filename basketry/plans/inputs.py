@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.config import CandidateConfig, SplitConfig
 from basketry.functions.columns import time_to_epoch_millis
 from basketry.functions.ranking import top_n_per_group
 from basketry.operators import candidates as C
+from basketry.operators import evaluation as M
 from basketry.operators import generators as R
+from basketry.operators import ranker as K
 from basketry.operators import splits as S
 from basketry.session import scratch_path
+from basketry.sources.tables import union_parts
 
 # Sizes of the registered runs: the given shop events have only 100 items, so the
 # generators keep fewer of them than their defaults.
@@ -88,43 +91,38 @@ class Inputs:
     # Item properties and categories ---------------------------------------------------
 
     def property_parts(self) -> list[DataFrame]:
-        """The two extracts of the property history: catalogue values and changes."""
+        """The two extracts of the property history: catalogue values and changes.
+
+        One branch per property: a report on one property then scans only that branch.
+        """
         part = self.table("part").where("p_partkey % 5 <> 0")
         start = F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00'")
-        item = F.col("p_partkey").cast("int").alias("itemid")
-        pairs = {
-            "categoryid": F.col("p_size").cast("string"),
-            "brand": F.col("p_brand"),
-            "type": F.when(F.expr("p_partkey % 7 = 0"), " ").otherwise(F.col("p_type")),
-            "159": F.lit("n1.0"),
-        }
-        rows = F.array(
-            *[F.struct(F.lit(p).alias("property"), v.alias("value")) for p, v in pairs.items()]
-        )
-        first = part.select(start.alias("timestamp"), item, F.inline(rows))
         line = self.table("lineitem").where("l_partkey % 5 <> 0")
-        changed = line.select(
-            F.col("l_shipdate").alias("timestamp"),
-            F.col("l_partkey").cast("int").alias("itemid"),
-            F.inline(
-                F.filter(
-                    F.array(
-                        F.struct(
-                            F.lit("available").alias("property"),
-                            F.when(F.col("l_linestatus") == "O", "1").otherwise("0").alias("value"),
-                        ),
-                        F.struct(
-                            F.when(F.col("l_linenumber") == 1, "categoryid").alias("property"),
-                            F.when(F.col("l_quantity") == 50, "n/a")
-                            .otherwise(F.col("l_quantity").cast("int").cast("string"))
-                            .alias("value"),
-                        ),
-                    ),
-                    lambda pair: pair["property"].isNotNull(),
-                )
-            ),
-        )
-        return [first, changed]
+        quantity = F.col("l_quantity")
+
+        def rows(df: DataFrame, time: Column, item: str, name: str, value: Column) -> DataFrame:
+            return df.select(
+                time.alias("timestamp"),
+                F.col(item).cast("int").alias("itemid"),
+                F.lit(name).alias("property"),
+                value.alias("value"),
+            )
+
+        kind = F.when(F.expr("p_partkey % 7 = 0"), " ").otherwise(F.col("p_type"))
+        catalogue = [
+            rows(part, start, "p_partkey", "categoryid", F.col("p_size").cast("string")),
+            rows(part, start, "p_partkey", "brand", F.col("p_brand")),
+            rows(part, start, "p_partkey", "type", kind),
+            rows(part, start, "p_partkey", "159", F.lit("n1.0")),
+        ]
+        shipped = F.col("l_shipdate")
+        available = F.when(F.col("l_linestatus") == "O", "1").otherwise("0")
+        category = F.when(quantity == 50, "n/a").otherwise(quantity.cast("int").cast("string"))
+        changes = [
+            rows(line, shipped, "l_partkey", "available", available),
+            rows(line.where("l_linenumber = 1"), shipped, "l_partkey", "categoryid", category),
+        ]
+        return [union_parts(catalogue), union_parts(changes)]
 
     def raw_property_parts(self) -> list[DataFrame]:
         return [
@@ -161,9 +159,12 @@ class Inputs:
     def order_splits(self) -> S.Splits:
         return S.temporal_split(self.order_events(), self.order_bounds())
 
-    def popular(self) -> DataFrame:
+    def build_popular(self) -> DataFrame:
         return R.top_popular(self.splits().history, POPULAR_N)
 
+    def popular(self) -> DataFrame:
+        return self.stage("popular", self.build_popular)
+
     def positives(self) -> DataFrame:
         return S.positive_pairs(self.splits().ranker)
 
@@ -215,6 +216,12 @@ class Inputs:
     def candidates(self) -> DataFrame:
         return self.stage("candidates", self.build_candidates)
 
+    def recommendations(self) -> DataFrame:
+        return self.stage("recommendations", lambda: K.rank_recommendations(self.scored()))
+
+    def truth(self) -> DataFrame:
+        return self.stage("truth", lambda: M.ground_truth(self.shop_events(), self.bounds()))
+
     def scored(self) -> DataFrame:
         """Candidates with a fixed score in place of a learned one."""
         popular = F.coalesce(F.col("popular_score"), F.lit(0.0)).cast("double")

@@ -168,7 +168,7 @@ VIEWS: dict[str, str] = {
     "similar_features": """
         SELECT h.user_id, s.similar_itemid AS item_id, max(s.score) AS similarity_score,
                min(s.rank) AS similarity_rank,
-               count(DISTINCT h.source_item_id) AS similarity_sources
+               CAST(count(DISTINCT h.source_item_id) AS INT) AS similarity_sources
         FROM history h JOIN neighbours s ON s.itemid = h.source_item_id AND s.rank <= 10
         GROUP BY h.user_id, s.similar_itemid""",
     "popular_pairs": """

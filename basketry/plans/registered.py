@@ -70,7 +70,12 @@ def with_rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 # Sources and cleaning ---------------------------------------------------------------------
 
 
-@query("I1", "SELECT timestamp, visitorid, event, itemid, transactionid FROM raw_events")
+@query(
+    "I1",
+    """SELECT timestamp, CAST(visitorid AS BIGINT) AS visitorid, event,
+              CAST(itemid AS BIGINT) AS itemid, CAST(transactionid AS BIGINT) AS transactionid
+       FROM raw_events""",
+)
 def csv_to_parquet(x: Inputs) -> DataFrame:
     csv, parquet = scratch_path(x.spark, "events-csv"), scratch_path(x.spark, "events")
     x.raw_events().write.option("header", True).csv(csv)
@@ -136,7 +141,7 @@ def filter_impact(x: Inputs) -> DataFrame:
 @query("I8", "SELECT itemid, score FROM popular WHERE rank <= 10")
 def read_dataset(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "popular")
-    x.popular().write.parquet(path)
+    x.build_popular().write.parquet(path)
     return T.read_dataset(
         x.spark, path, schemas.TOP_POPULAR, ["itemid", "score"], F.col("rank") <= 10
     )
@@ -761,7 +766,7 @@ def interaction_stats(x: Inputs) -> DataFrame:
 
 @query("R1", "SELECT itemid, score, rank FROM popular")
 def top_popular(x: Inputs) -> DataFrame:
-    return x.popular()
+    return x.build_popular()
 
 
 @query(
@@ -1209,20 +1214,16 @@ def score_histogram(x: Inputs) -> DataFrame:
 # Evaluation -------------------------------------------------------------------------------
 
 
-def _truth(x: Inputs) -> DataFrame:
-    return M.ground_truth(x.shop_events(), x.bounds())
-
-
 def _users(x: Inputs) -> DataFrame:
-    return M.eval_users(_truth(x), x.personal())
+    return M.eval_users(x.truth(), x.personal())
 
 
 def _eval_truth(x: Inputs) -> DataFrame:
-    return M.truth_of(_truth(x), _users(x))
+    return M.truth_of(x.truth(), _users(x))
 
 
 def _final(x: Inputs) -> DataFrame:
-    return M.recs_for_eval(K.rank_recommendations(x.scored()), _users(x))
+    return M.recs_for_eval(x.recommendations(), _users(x))
 
 
 def _novelty(x: Inputs) -> DataFrame:
@@ -1235,7 +1236,7 @@ def _catalog(x: Inputs) -> DataFrame:
 
 @query("M1", "SELECT user_id, item_id FROM truth")
 def ground_truth(x: Inputs) -> DataFrame:
-    return _truth(x)
+    return M.ground_truth(x.shop_events(), x.bounds())
 
 
 @query("M2", "SELECT user_id FROM eval_users")
