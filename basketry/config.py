@@ -70,6 +70,7 @@ class RankerConfig:
     depth: int = 6
     learning_rate: float = 0.05
     seed: int = 42
+    bins: int = 64
     features: tuple[str, ...] = RANKER_FEATURES
 
 

@@ -42,8 +42,8 @@ def percent(numerator: Column, denominator: Column) -> Column:
 
 def epoch_millis_to_time(millis: Column) -> Column:
     """Epoch milliseconds as UTC wall-clock time, whatever the session time zone is."""
-    seconds = (millis.cast("decimal(18,0)") * F.expr("0.001BD")).cast("decimal(18,6)")
-    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)
+    since = F.expr("INTERVAL '0.001' SECOND") * millis.cast("bigint")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + since
 
 
 def time_to_epoch_millis(time: Column) -> Column:

@@ -182,7 +182,8 @@ def compare_models(
         .groupBy(*_BY)
         .agg(ratio(F.count(F.lit(1)), size).alias("coverage"), _mean_novelty())
     )
-    every = recs.sparkSession.createDataFrame([(name,) for name in names], "model string")
+    listed = F.explode(F.array(*[F.lit(name) for name in names]))
+    every = recs.sparkSession.range(1, numPartitions=1).select(listed.alias("model"))
     measured = every.join(users, "model", "left").join(items, "model", "left")
     return measured.select(
         "model", "precision", "recall", F.coalesce("coverage", F.lit(0.0)).alias("coverage"), "novelty"

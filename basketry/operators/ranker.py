@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +15,11 @@ from basketry.config import RANKER_FEATURES, RankerConfig
 from basketry.functions.columns import ratio
 from basketry.functions.ranking import rank_within, rank_within_large
 from basketry.functions.stats import WIDE_PERCENTILES, describe_counts
-from basketry.session import checkpoint_root
+from basketry.session import cut_lineage
 
 _PAIR = ["user_id", "item_id"]
+_BIN = "_bin_{}"
 _FLAGS = ("from_als", "from_popular", "from_similar")
-# What a missing score and a missing rank stand for in the trees.  The rank
-# lies behind every rank a generator can give.
-MISSING_SCORE = 0.0
-MISSING_RANK = 32767
 
 
 def candidate_coverage(positives: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -185,27 +182,34 @@ def require_features(df: DataFrame, features: Sequence[str] = RANKER_FEATURES) -
     return df
 
 
-def _feature_stages(features: Sequence[str]) -> list:
-    """Fill missing features, flag where they were missing, assemble one vector."""
-    filled = [
-        f"COALESCE(CAST({f} AS DOUBLE), {MISSING_RANK if f.endswith('_rank') else MISSING_SCORE})"
-        f" AS _x_{f}"
-        for f in features
+def _binning(features: Sequence[str], bins: int) -> list:
+    """Null to NaN, then every feature to one of ``bins`` quantile bins, NaN to an extra one."""
+    numbers = [f"COALESCE(CAST({f} AS DOUBLE), DOUBLE('NaN')) AS _x_{f}" for f in features]
+    # A sum is a plain ordered number again; the bin itself would be taken for a category.
+    ordered = [f"_b_{f} + 0.0D AS {_BIN.format(f)}" for f in features]
+    return [
+        SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__"),
+        QuantileDiscretizer(
+            inputCols=[f"_x_{f}" for f in features],
+            outputCols=[f"_b_{f}" for f in features],
+            numBuckets=bins,
+            handleInvalid="keep",
+        ),
+        SQLTransformer(statement=f"SELECT *, {', '.join(ordered)} FROM __THIS__"),
     ]
-    known = [f"CAST({f} IS NOT NULL AS DOUBLE) AS _k_{f}" for f in features if f.endswith("_score")]
-    names = [text.rsplit(" AS ", 1)[1] for text in (*filled, *known)]
-    prepare = SQLTransformer(statement=f"SELECT *, {', '.join((*filled, *known))} FROM __THIS__")
-    return [prepare, VectorAssembler(inputCols=names, outputCol="_features")]
 
 
 def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> PipelineModel:
     """Boosted trees on the candidate features, every user weighing the same.
 
     Spark ML has no grouped ranking loss.  A row's weight is one over the number of rows of
-    its user, so that users with many candidates do not drown the others.  Missing values
-    say which source knows a pair; they are kept as flags.
+    its user, so that users with many candidates do not drown the others.  A missing value
+    says which source knows a pair: it gets a bin of its own.
+
+    Boosting reads its input hundreds of times.  Trees only see bins, so rows with equal
+    bins and label are first merged and their weights added.  What is read again and again
+    is that table, checkpointed once, and it stops growing long before the rows do.
     """
-    checkpoint_root(train.sparkSession)
     require_features(train, config.features)
     sizes = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("_size"))
     weighted = train.join(sizes, "user_id").select(
@@ -213,6 +217,13 @@ def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> Pip
         F.col("target").cast("double").alias("_label"),
         (F.lit(1.0) / F.col("_size")).alias("_weight"),
     )
+    binning = Pipeline(stages=_binning(config.features, config.bins)).fit(weighted)
+    columns = [_BIN.format(f) for f in config.features]
+    merged = (
+        binning.transform(weighted)
+        .groupBy(*columns, "_label")
+        .agg(F.sum("_weight").alias("_weight"))
+    )
     trees = GBTClassifier(
         featuresCol="_features",
         labelCol="_label",
@@ -220,10 +231,13 @@ def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> Pip
         maxIter=config.iterations,
         maxDepth=config.depth,
         stepSize=config.learning_rate,
+        maxBins=config.bins + 2,
         seed=config.seed,
         checkpointInterval=10,
     )
-    return Pipeline(stages=[*_feature_stages(config.features), trees]).fit(weighted)
+    assembler = VectorAssembler(inputCols=columns, outputCol="_features")
+    boosted = Pipeline(stages=[assembler, trees]).fit(cut_lineage(merged))
+    return PipelineModel([*binning.stages, *boosted.stages])
 
 
 def score_candidates(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketry.config import CandidateConfig, SplitConfig
 from basketry.functions.columns import time_to_epoch_millis
@@ -28,6 +30,19 @@ ORDER_SPLIT = SplitConfig(evaluation_days=180, ranker_days=180)
 
 # Stage tables already written, per application, folder and name.
 _written: dict[tuple[str, str, str], str] = {}
+_schemas: dict[str, StructType] = {}
+
+
+def _view(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Build a view once per ``Inputs``: equal parts of a plan are then recognised as equal."""
+
+    @functools.wraps(build)
+    def view(self: Inputs) -> DataFrame:
+        if build.__name__ not in self._views:
+            self._views[build.__name__] = build(self)
+        return self._views[build.__name__]
+
+    return view
 
 
 class Inputs:
@@ -35,9 +50,18 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._views: dict[str, DataFrame] = {}
+
+    def read(self, path: str) -> DataFrame:
+        """Parquet whose footer is looked at once per process and not once per query."""
+        if path not in self._views:
+            if path not in _schemas:
+                _schemas[path] = self.spark.read.parquet(path).schema
+            self._views[path] = self.spark.read.schema(_schemas[path]).parquet(path)
+        return self._views[path]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.read(f"{self.folder}/{name}.parquet")
 
     def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Output of an earlier stage: written once to the shared folder, then read."""
@@ -46,10 +70,11 @@ class Inputs:
             path = scratch_path(self.spark, name)
             build().write.parquet(path)
             _written[key] = path
-        return self.spark.read.parquet(_written[key])
+        return self.read(_written[key])
 
     # Events -------------------------------------------------------------------------
 
+    @_view
     def shop_events(self) -> DataFrame:
         """Dense interactions with microsecond times; other event types stay in."""
         kind = F.col("event_type")
@@ -65,6 +90,7 @@ class Inputs:
             F.when(purchase, F.col("event_id").cast("int")).alias("transactionid"),
         )
 
+    @_view
     def order_events(self) -> DataFrame:
         """Sparse interactions by day over several years, with many ties."""
         flag = F.col("l_returnflag")
@@ -81,6 +107,7 @@ class Inputs:
             F.when(flag == "R", F.col("l_orderkey").cast("int")).alias("transactionid"),
         )
 
+    @_view
     def raw_events(self) -> DataFrame:
         """Shop events as extracted: epoch milliseconds, with full duplicates."""
         events = self.shop_events().withColumn(
@@ -130,6 +157,7 @@ class Inputs:
             for p in self.property_parts()
         ]
 
+    @_view
     def item_properties(self) -> DataFrame:
         first, changed = self.property_parts()
         return first.unionByName(changed)
@@ -147,15 +175,19 @@ class Inputs:
 
     # Stages -----------------------------------------------------------------------------
 
+    @_view
     def bounds(self) -> DataFrame:
         return S.time_boundaries(self.shop_events())
 
+    @_view
     def order_bounds(self) -> DataFrame:
         return S.time_boundaries(self.order_events(), ORDER_SPLIT)
 
+    @_view
     def splits(self) -> S.Splits:
         return S.temporal_split(self.shop_events(), self.bounds())
 
+    @_view
     def order_splits(self) -> S.Splits:
         return S.temporal_split(self.order_events(), self.order_bounds())
 
