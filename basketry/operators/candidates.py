@@ -61,7 +61,11 @@ def similar_features(history: DataFrame, similar: DataFrame, top_n: int = 50) ->
 
     An item in a third of all histories makes its key hot.  Its neighbours are at most
     ``top_n`` rows, so adaptive execution can split the history side of that key and repeat
-    those rows.
+    those rows.  It only does so if nothing above relies on the join's partitioning: sources
+    are therefore counted as rows of distinct (user, source) pairs and not with a distinct
+    count, which would be computed inside the partitions of the join.  ``similar`` holds a
+    pair of items once; the histories come partitioned by user, so making them distinct
+    needs no shuffle.
     """
     near = similar.where(F.col("rank") <= top_n).select(
         F.col("itemid").alias("source_item_id"),
@@ -70,12 +74,14 @@ def similar_features(history: DataFrame, similar: DataFrame, top_n: int = 50) ->
         "rank",
     )
     return (
-        history.join(near, "source_item_id")
+        history.select("user_id", "source_item_id")
+        .distinct()
+        .join(near, "source_item_id")
         .groupBy(*_PAIR)
         .agg(
             F.max("score").cast("float").alias("similarity_score"),
             F.min("rank").cast("short").alias("similarity_rank"),
-            F.countDistinct("source_item_id").cast("short").alias("similarity_sources"),
+            F.count(F.lit(1)).cast("short").alias("similarity_sources"),
         )
     )
 

@@ -119,6 +119,11 @@ def _mean_novelty() -> Column:
     )
 
 
+def _coverage(catalog: DataFrame) -> Column:
+    """Share of the catalog among rows that hold one recommended item each."""
+    return ratio(F.count(F.lit(1)), single_value(catalog, "catalog_size")).alias("coverage")
+
+
 def _one(recs: DataFrame) -> DataFrame:
     return recs.withColumn("model", F.lit(""))
 
@@ -155,7 +160,15 @@ def evaluate_recommendations(
 
     Hits count for truth users only; coverage and novelty look at every list given.
     """
-    return compare_models({"": recs}, truth, catalog, novelty, k).drop("model")
+    items = _recommended_items(_one(recs), novelty, k).agg(
+        F.struct(_coverage(catalog), _mean_novelty()).alias("items")
+    )
+    return (
+        _user_hits(_one(recs), truth, k, [""])
+        .agg(_precision(k), _recall())
+        .withColumn("_items", single_value(items, "items"))
+        .select("precision", "recall", "_items.coverage", "_items.novelty")
+    )
 
 
 def compare_models(
@@ -171,16 +184,18 @@ def compare_models(
     shuffles does not grow with the number of models.
     """
     names = list(models)
+    if len(names) == 1:
+        metrics = evaluate_recommendations(models[names[0]], truth, catalog, novelty, k)
+        return metrics.select(F.lit(names[0]).alias("model"), "*")
     recs = reduce(
         lambda a, b: a.unionByName(b),
         [df.select(F.lit(m).alias("model"), *_PAIR, "rank") for m, df in models.items()],
     )
-    size = single_value(catalog, "catalog_size")
     users = _user_hits(recs, truth, k, names).groupBy(*_BY).agg(_precision(k), _recall())
     items = (
         _recommended_items(recs, novelty, k)
         .groupBy(*_BY)
-        .agg(ratio(F.count(F.lit(1)), size).alias("coverage"), _mean_novelty())
+        .agg(_coverage(catalog), _mean_novelty())
     )
     listed = F.explode(F.array(*[F.lit(name) for name in names]))
     every = recs.sparkSession.range(1, numPartitions=1).select(listed.alias("model"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -182,21 +183,27 @@ def require_features(df: DataFrame, features: Sequence[str] = RANKER_FEATURES) -
     return df
 
 
-def _binning(features: Sequence[str], bins: int) -> list:
-    """Null to NaN, then every feature to one of ``bins`` quantile bins, NaN to an extra one."""
+def _binning(train: DataFrame, features: Sequence[str], bins: int) -> PipelineModel:
+    """Every feature to one of at most ``bins`` quantile bins, null to a bin of its own."""
+    shares = [i / bins for i in range(1, bins)]
+    cuts = train.select(*[F.col(f).cast("double") for f in features]).approxQuantile(
+        list(features), shares, 0.2 / bins
+    )
     numbers = [f"COALESCE(CAST({f} AS DOUBLE), DOUBLE('NaN')) AS _x_{f}" for f in features]
     # A sum is a plain ordered number again; the bin itself would be taken for a category.
     ordered = [f"_b_{f} + 0.0D AS {_BIN.format(f)}" for f in features]
-    return [
+    stages = [
         SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__"),
-        QuantileDiscretizer(
+        Bucketizer(
             inputCols=[f"_x_{f}" for f in features],
             outputCols=[f"_b_{f}" for f in features],
-            numBuckets=bins,
+            # A feature nobody has leaves no cut; any one will do.
+            splitsArray=[[-math.inf, *(sorted(set(c)) or [0.0]), math.inf] for c in cuts],
             handleInvalid="keep",
         ),
         SQLTransformer(statement=f"SELECT *, {', '.join(ordered)} FROM __THIS__"),
     ]
+    return PipelineModel(stages)
 
 
 def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> PipelineModel:
@@ -217,7 +224,7 @@ def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> Pip
         F.col("target").cast("double").alias("_label"),
         (F.lit(1.0) / F.col("_size")).alias("_weight"),
     )
-    binning = Pipeline(stages=_binning(config.features, config.bins)).fit(weighted)
+    binning = _binning(train, config.features, config.bins)
     columns = [_BIN.format(f) for f in config.features]
     merged = (
         binning.transform(weighted)
