@@ -163,6 +163,7 @@ class Inputs:
         return first.unionByName(changed)
 
     def raw_category_tree(self) -> DataFrame:
+        """Regions as roots, nations below them, one category per supplier below those."""
         roots = self.table("region").select(
             F.col("r_regionkey").cast("bigint").alias("categoryid"),
             F.lit(None).cast("bigint").alias("parentid"),
@@ -171,7 +172,11 @@ class Inputs:
             (F.col("n_nationkey") + 100).cast("bigint").alias("categoryid"),
             F.col("n_regionkey").cast("bigint").alias("parentid"),
         )
-        return roots.unionByName(leaves)
+        shelves = self.table("supplier").select(
+            (F.col("s_suppkey") % 30_000 + 200).cast("bigint").alias("categoryid"),
+            (F.col("s_nationkey") + 100).cast("bigint").alias("parentid"),
+        )
+        return union_parts([roots, leaves, shelves])
 
     # Stages -----------------------------------------------------------------------------
 

@@ -54,7 +54,10 @@ VIEWS: dict[str, str] = {
         SELECT CAST(r_regionkey AS SMALLINT) AS categoryid, CAST(NULL AS SMALLINT) AS parentid
         FROM region
         UNION ALL
-        SELECT CAST(100 + n_nationkey AS SMALLINT), CAST(n_regionkey AS SMALLINT) FROM nation""",
+        SELECT CAST(100 + n_nationkey AS SMALLINT), CAST(n_regionkey AS SMALLINT) FROM nation
+        UNION ALL
+        SELECT CAST(200 + s_suppkey % 30000 AS SMALLINT), CAST(100 + s_nationkey AS SMALLINT)
+        FROM supplier""",
     "item_categories": """
         SELECT timestamp, itemid, CAST(TRY_CAST(value AS DOUBLE) AS SMALLINT) AS categoryid
         FROM item_properties
