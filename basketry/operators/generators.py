@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,8 @@ from basketry.functions.ranking import top_n_per_group
 from basketry.operators.splits import positive_pairs
 from basketry.session import checkpoint_root
 
-SCORE_SCALE = 1_000_000  # similarity scores carry six decimal places
+SCORE_SCALE = 1_000_000  # scores carry six decimal places
+NO_MATCH = -(2**40)  # below the points of any product
 
 
 def top_popular(
@@ -106,25 +108,28 @@ def _gram_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _ranked(recommended: DataFrame) -> DataFrame:
-    return recommended.select(
-        F.col("user_id").alias("visitorid"), F.posexplode("recommendations").alias("_pos", "_rec")
-    ).select(
-        "visitorid",
-        F.col("_rec.item_id").alias("itemid"),
-        F.col("_rec.rating").alias("score"),
-        (F.col("_pos") + 1).cast("short").alias("rank"),
-    )
-
-
-def personal_als(model: ALSModel, n: int = 100) -> DataFrame:
+def personal_als(model: ALSModel, n: int = 100, block_rows: int = 32768) -> DataFrame:
     """The ``n`` best items of every user, items already seen included."""
-    return _ranked(model.recommendForAllUsers(n))
+    return _recommend(model.userFactors, model.itemFactors, n, block_rows)
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
+def recommend_for_users(
+    model: ALSModel, users: DataFrame, n: int = 10, block_rows: int = 32768
+) -> DataFrame:
     """The ``n`` best items of the given users; unknown users get no rows."""
-    return _ranked(model.recommendForUserSubset(users.select("user_id").distinct(), n))
+    keys = users.select(F.col("user_id").alias("id")).distinct()
+    wanted = model.userFactors.join(keys, "id", "left_semi")
+    return _recommend(wanted, model.itemFactors, n, block_rows)
+
+
+def _recommend(users: DataFrame, items: DataFrame, n: int, block_rows: int) -> DataFrame:
+    best = _best_matches(users, items, n, block_rows, same_table=False)
+    return best.select(
+        F.col("query").cast("int").alias("visitorid"),
+        F.col("match").cast("int").alias("itemid"),
+        (F.col("points") / SCORE_SCALE).cast("float").alias("score"),
+        F.col("rank").cast("short"),
+    )
 
 
 def similar_items(
@@ -137,33 +142,58 @@ def similar_items(
 ) -> DataFrame:
     """The ``n`` most similar other items of every item by cosine, rank 1..n.
 
-    Exact.  Items are hashed into blocks of about ``block_rows``; a task holds one block of
-    items and streams the candidate blocks past it as matrix products, keeping ``n`` rows
-    per item.  No pair of items ever becomes a row, and the rows leaving the tasks are
-    about ``n`` per item.  Blocks are cut by a hash of the id, so equal vectors do not pile
-    up in one of them.
-
-    Scores are rounded to six places before they are ranked (ties by id), which makes the
-    order independent of how the products were grouped.  ``items`` limits whose neighbours
-    are looked for, not the neighbours.
+    Exact.  Blocks are cut by a hash of the id, so equal vectors do not pile up in one of
+    them.  ``items`` limits whose neighbours are looked for, not the neighbours.
     """
     vectors = vectors.select(
-        F.col(id_column).cast("bigint").alias("id"),
-        F.col(vector_column).cast("array<float>").alias("features"),
+        F.col(id_column).alias("id"), F.col(vector_column).alias("features")
     )
     wanted = vectors
     if items is not None:
-        keys = items.select(F.col(id_column).cast("bigint").alias("id")).distinct()
+        keys = items.select(F.col(id_column).alias("id")).distinct()
         wanted = vectors.join(keys, "id", "left_semi")
-    candidates = _pack(vectors, block_rows)
-    queries = _pack(wanted, block_rows)
-    spread = candidates.frame.select(
-        F.explode(F.sequence(F.lit(0), F.lit(queries.blocks - 1))).alias("q_block"),
+    best = _best_matches(wanted, vectors, n, block_rows, same_table=True)
+    return best.select(
+        F.col("query").cast("int").alias("itemid"),
+        F.col("match").cast("int").alias("similar_itemid"),
+        (F.col("points") / SCORE_SCALE).cast("float").alias("score"),
+        F.col("rank").cast("short"),
+    )
+
+
+def similar_for_items(
+    vectors: DataFrame, items: DataFrame, n: int = 10, **options: object
+) -> DataFrame:
+    """``similar_items`` for the given items only."""
+    return similar_items(vectors, n=n, items=items, **options)
+
+
+def _best_matches(
+    queries: DataFrame, candidates: DataFrame, n: int, block_rows: int, same_table: bool
+) -> DataFrame:
+    """For every query vector its ``n`` best candidates: ``(query, match, points, rank)``.
+
+    Both tables are packed into hashed blocks of about ``block_rows``.  A task holds a block
+    of queries and streams the candidate blocks past it as matrix products, keeping ``n``
+    rows per query.  No pair of vectors ever becomes a row, and about ``n`` rows per query
+    leave the tasks.
+
+    Points are products rounded to six places; ranking them with ties by id makes the order
+    independent of how the products were grouped.  Within one table (``same_table``) the
+    measure is the cosine and a vector is no match for itself.
+    """
+    parallelism = queries.sparkSession.sparkContext.defaultParallelism
+    packed_queries = _pack(queries, block_rows, at_least=parallelism)
+    blocks = F.sequence(F.lit(0), F.lit(packed_queries.blocks - 1))
+    spread = _pack(candidates, block_rows).frame.select(
+        F.explode(blocks).alias("q_block"),
         F.col("ids").alias("c_ids"),
         F.col("matrix").alias("c_matrix"),
     )
-    units = spread.join(
-        queries.frame.select(
+    # One partition per query block: the work is in the products, which adaptive execution
+    # cannot see when it merges partitions by their bytes.
+    units = spread.repartition(packed_queries.blocks, "q_block").join(
+        packed_queries.frame.select(
             F.col("block").alias("q_block"),
             F.col("ids").alias("q_ids"),
             F.col("matrix").alias("q_matrix"),
@@ -171,38 +201,30 @@ def similar_items(
         "q_block",
     )
 
-    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _stream_neighbours(batches, n)
-
-    partial = units.mapInArrow(neighbours, "itemid bigint, similar_itemid bigint, points bigint")
-    best = top_n_per_group(
-        partial, ["itemid"], [F.desc("points"), F.col("similar_itemid")], n, "rank"
-    )
-    return best.select(
-        F.col("itemid").cast("int"),
-        F.col("similar_itemid").cast("int"),
-        (F.col("points") / SCORE_SCALE).cast("float").alias("score"),
-        F.col("rank").cast("short"),
-    )
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _stream_matches(batches, n, same_table)
 
+    partial = units.mapInArrow(matches, "query bigint, match bigint, points bigint")
+    return top_n_per_group(partial, ["query"], [F.desc("points"), F.col("match")], n)
 
-def similar_for_items(
-    vectors: DataFrame, items: DataFrame, n: int = 10, **options: object
-) -> DataFrame:
-    """``similar_items`` for the given items only."""
-    return similar_items(vectors, n=n, items=items, **options)
 
+class _Packed(NamedTuple):
+    frame: DataFrame
+    blocks: int
 
-class _Packed:
-    def __init__(self, frame: DataFrame, blocks: int):
-        self.frame, self.blocks = frame, blocks
 
+def _pack(vectors: DataFrame, block_rows: int, at_least: int = 1) -> _Packed:
+    """One row per block: ids in ascending order and their vectors end to end.
 
-def _pack(vectors: DataFrame, block_rows: int) -> _Packed:
-    """One row per block: ids in ascending order and their vectors end to end."""
-    blocks = max(1, math.ceil(vectors.count() / block_rows))
+    Blocks are smaller than ``block_rows`` if that gives ``at_least`` of them, down to 1024.
+    """
+    typed = vectors.select(
+        F.col("id").cast("bigint"), F.col("features").cast("array<float>").alias("features")
+    )
+    rows = typed.count()
+    blocks = max(1, math.ceil(rows / block_rows), min(at_least, math.ceil(rows / 1024)))
     packed = (
-        vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        typed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
         .groupBy("block")
         .agg(F.array_sort(F.collect_list(F.struct("id", "features"))).alias("rows"))
         .select(
@@ -218,22 +240,29 @@ def _unit_rows(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     return batch.column(name).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
 
 
-def _unit_matrix(values: np.ndarray, rows: int) -> np.ndarray:
+def _matrix(values: np.ndarray, rows: int, unit: bool) -> np.ndarray:
     matrix = values.reshape(rows, -1).astype(np.float64)
+    if not unit:
+        return matrix
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
 def _best_of_block(
-    query: np.ndarray, q_ids: np.ndarray, cand: np.ndarray, c_ids: np.ndarray, n: int
+    query: np.ndarray,
+    q_ids: np.ndarray,
+    cand: np.ndarray,
+    c_ids: np.ndarray,
+    n: int,
+    same_table: bool,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Points and ids of each query row's ``n`` best candidates in one block.
 
-    ``c_ids`` ascends, so a smaller position wins a tie.  Points of -SCORE_SCALE - 1 mark
-    the item itself and are discarded at the end.
+    ``c_ids`` ascends, so a smaller position wins a tie.
     """
     points = np.rint((query @ cand.T) * SCORE_SCALE).astype(np.int64)
-    points[q_ids[:, None] == c_ids[None, :]] = -SCORE_SCALE - 1
+    if same_table:
+        points[q_ids[:, None] == c_ids[None, :]] = NO_MATCH
     width = len(c_ids)
     keys = points * width + np.arange(width - 1, -1, -1)
     keep = min(n, width)
@@ -249,12 +278,12 @@ def _merge(state, points: np.ndarray, ids: np.ndarray, n: int):
     return np.take_along_axis(points, order, axis=1), np.take_along_axis(ids, order, axis=1)
 
 
-def _stream_neighbours(
-    batches: Iterator[pa.RecordBatch], n: int, chunk: int = 512
+def _stream_matches(
+    batches: Iterator[pa.RecordBatch], n: int, same_table: bool, chunk: int = 512
 ) -> Iterator[pa.RecordBatch]:
-    """Run the units of a task, keeping ``n`` neighbours per item of the current block.
+    """Run the units of a task, keeping ``n`` matches per query of the current block.
 
-    Units of one item block usually follow each other; when another block comes, what has
+    Units of one query block usually follow each other; when another block comes, what has
     been kept is emitted.  The final top-n merges whatever several emissions produce.
     """
     current, q_ids, query, states = None, None, None, None
@@ -262,14 +291,14 @@ def _stream_neighbours(
     def emit() -> Iterator[pa.RecordBatch]:
         for index, (points, ids) in enumerate(states):
             rows = q_ids[index * chunk : (index + 1) * chunk]
-            valid = points >= -SCORE_SCALE
+            valid = points > NO_MATCH
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.broadcast_to(rows[:, None], points.shape)[valid]),
                     pa.array(ids[valid]),
                     pa.array(points[valid]),
                 ],
-                names=["itemid", "similar_itemid", "points"],
+                names=["query", "match", "points"],
             )
 
     for batch in batches:
@@ -280,13 +309,13 @@ def _stream_neighbours(
                     yield from emit()
                 current = blocks[row]
                 q_ids = _unit_rows(batch, "q_ids", row)
-                query = _unit_matrix(_unit_rows(batch, "q_matrix", row), len(q_ids))
+                query = _matrix(_unit_rows(batch, "q_matrix", row), len(q_ids), same_table)
                 states = [None] * math.ceil(len(q_ids) / chunk)
             c_ids = _unit_rows(batch, "c_ids", row)
-            cand = _unit_matrix(_unit_rows(batch, "c_matrix", row), len(c_ids))
+            cand = _matrix(_unit_rows(batch, "c_matrix", row), len(c_ids), same_table)
             for index in range(len(states)):
                 part = slice(index * chunk, (index + 1) * chunk)
-                points, ids = _best_of_block(query[part], q_ids[part], cand, c_ids, n)
-                states[index] = _merge(states[index], points, ids, n)
+                found = _best_of_block(query[part], q_ids[part], cand, c_ids, n, same_table)
+                states[index] = _merge(states[index], *found, n)
     if current is not None:
         yield from emit()

@@ -49,6 +49,19 @@ def test_more_than_the_catalog_gives_the_catalog(model):
     assert R.personal_als(model, 500).where("visitorid = 3").count() == 40
 
 
+@pytest.mark.parametrize("block_rows", [32768, 13])
+def test_lists_equal_the_built_in_ones(model, block_rows):
+    mine = R.personal_als(model, 10, block_rows).select(
+        F.col("visitorid").alias("user_id"), F.col("rank").alias("place"), "score"
+    )
+    built_in = model.recommendForAllUsers(10).select(
+        "user_id", F.posexplode("recommendations").alias("at", "rec")
+    ).select("user_id", (F.col("at") + 1).cast("short").alias("place"), F.col("rec.rating"))
+    both = mine.join(built_in, ["user_id", "place"])
+    assert both.count() == 80 * 10
+    assert both.where("abs(score - rating) > 1e-5").count() == 0
+
+
 def test_user_subset_equals_full_lists(model, spark):
     users = spark.createDataFrame([(3,), (3,), (7,), (12345,)], "user_id int")
     some = R.recommend_for_users(model, users, 5)

@@ -55,14 +55,13 @@ def test_subset_has_the_same_neighbours(spark, vectors):
     assert some == every and len(some) == 12
 
 
-def test_small_blocks_cut_chunks(vectors, monkeypatch):
-    """Merging chunk by chunk gives what one pass over all candidates gives."""
+def test_merging_parts_equals_one_pass(vectors):
     ids, values = vectors
     order = np.argsort(ids)
-    ids, unit = np.array(ids)[order], R._unit_matrix(values[order].ravel(), len(ids))
+    ids, unit = np.array(ids)[order], R._matrix(values[order].ravel(), len(ids), True)
     state = None
     for part in np.array_split(np.arange(len(ids)), 6):
-        found = R._best_of_block(unit, ids, unit[part], ids[part], 9)
+        found = R._best_of_block(unit, ids, unit[part], ids[part], 9, True)
         state = R._merge(state, *found, 9)
-    whole = R._merge(None, *R._best_of_block(unit, ids, unit, ids, 9), 9)
+    whole = R._merge(None, *R._best_of_block(unit, ids, unit, ids, 9, True), 9)
     assert np.array_equal(state[0], whole[0]) and np.array_equal(state[1], whole[1])
