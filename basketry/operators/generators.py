@@ -278,6 +278,40 @@ def _merge(state, points: np.ndarray, ids: np.ndarray, n: int):
     return np.take_along_axis(points, order, axis=1), np.take_along_axis(ids, order, axis=1)
 
 
+def _improve(
+    state: tuple[np.ndarray, np.ndarray],
+    query: np.ndarray,
+    q_ids: np.ndarray,
+    cand: np.ndarray,
+    c_ids: np.ndarray,
+    same_table: bool,
+) -> tuple[np.ndarray, np.ndarray]:
+    """``state`` with ``n`` matches per row, improved by the candidates of one more block.
+
+    Only products that reach a row's worst kept match are looked at any further.
+    """
+    points, ids = state
+    n = points.shape[1]
+    products = query @ cand.T
+    rows, cols = np.nonzero(products >= ((points[:, -1] - 1) / SCORE_SCALE)[:, None])
+    found = np.rint(products[rows, cols] * SCORE_SCALE).astype(np.int64)
+    found_ids, worst, worst_ids = c_ids[cols], points[rows, -1], ids[rows, -1]
+    better = (found > worst) | ((found == worst) & (found_ids < worst_ids))
+    if same_table:
+        better &= found_ids != q_ids[rows]
+    touched, place = np.unique(rows[better], return_inverse=True)
+    if len(touched) == 0:
+        return state
+    all_rows = np.concatenate([np.repeat(np.arange(len(touched)), n), place])
+    all_points = np.concatenate([points[touched].ravel(), found[better]])
+    all_ids = np.concatenate([ids[touched].ravel(), found_ids[better]])
+    order = np.lexsort((all_ids, -all_points, all_rows))
+    first = np.searchsorted(all_rows[order], np.arange(len(touched)))
+    best = order[first[:, None] + np.arange(n)]
+    points[touched], ids[touched] = all_points[best], all_ids[best]
+    return points, ids
+
+
 def _stream_matches(
     batches: Iterator[pa.RecordBatch], n: int, same_table: bool, chunk: int = 512
 ) -> Iterator[pa.RecordBatch]:
@@ -315,7 +349,11 @@ def _stream_matches(
             cand = _matrix(_unit_rows(batch, "c_matrix", row), len(c_ids), same_table)
             for index in range(len(states)):
                 part = slice(index * chunk, (index + 1) * chunk)
-                found = _best_of_block(query[part], q_ids[part], cand, c_ids, n, same_table)
-                states[index] = _merge(states[index], *found, n)
+                state, unit = states[index], (query[part], q_ids[part], cand, c_ids)
+                if state is not None and state[0].shape[1] == n and state[0].min() > NO_MATCH:
+                    states[index] = _improve(state, *unit, same_table)
+                else:
+                    found = _best_of_block(*unit, n, same_table)
+                    states[index] = _merge(state, *found, n)
     if current is not None:
         yield from emit()

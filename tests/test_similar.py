@@ -30,7 +30,7 @@ def vectors():
     return ids, values
 
 
-@pytest.mark.parametrize("block_rows,n", [(1000, 5), (7, 5), (16, 40), (13, 100)])
+@pytest.mark.parametrize("block_rows,n", [(1000, 5), (7, 5), (7, 2), (16, 40), (13, 100)])
 def test_same_as_brute_force(spark, vectors, block_rows, n):
     ids, values = vectors
     df = spark.createDataFrame(
@@ -63,5 +63,9 @@ def test_merging_parts_equals_one_pass(vectors):
     for part in np.array_split(np.arange(len(ids)), 6):
         found = R._best_of_block(unit, ids, unit[part], ids[part], 9, True)
         state = R._merge(state, *found, 9)
+    improved = R._merge(None, *R._best_of_block(unit, ids, unit[:12], ids[:12], 9, True), 9)
+    for part in np.array_split(np.arange(12, len(ids)), 5):
+        improved = R._improve(improved, unit, ids, unit[part], ids[part], True)
+    assert np.array_equal(improved[0], state[0]) and np.array_equal(improved[1], state[1])
     whole = R._merge(None, *R._best_of_block(unit, ids, unit, ids, 9, True), 9)
     assert np.array_equal(state[0], whole[0]) and np.array_equal(state[1], whole[1])
