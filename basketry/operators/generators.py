@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from basketry.functions.ranking import top_n_per_group
 from basketry.operators.splits import positive_pairs
 from basketry.session import checkpoint_root
 
+# The task functions below travel with the job, so workers need numpy and pyarrow but not
+# this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SCORE_SCALE = 1_000_000  # scores carry six decimal places
 NO_MATCH = -(2**40)  # below the points of any product
 
