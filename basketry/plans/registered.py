@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import schemas
-from basketry.functions.columns import single_value
 from basketry.operators import candidates as C
 from basketry.operators import cleaning as I
 from basketry.operators import evaluation as M
@@ -27,7 +26,6 @@ from basketry.plans.inputs import (
     ALS_N,
     CANDIDATES,
     ORDER_SPLIT,
-    POPULAR_N,
     SIMILAR_N,
     Inputs,
 )
