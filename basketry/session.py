@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +72,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are in shared storage when this returns."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the code of this package with the session's jobs, once per application.
+
+    Task functions can then be imported by workers that do not have the package; the archive
+    travels as a file given with --py-files does. A package that came that way stays as it is.
+    """
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="basketry-code-")) / "basketry_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
