@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, sharding, urls
+from basketry.llm import chat, fingerprints, packing, sharding, urls
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -102,3 +102,24 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def vocabulary() -> str:
+    """The tokenizer file of the contract; installed with the public vocabulary files."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, vocabulary())
+
+
+@query()
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.compare_with_next(docs)

@@ -83,17 +83,15 @@ def filter_urls(
     places = parted.select("host", "path").where("host <> ''").distinct()
     offered = places.select("host", "path", F.explode(_tokens(F.col("host"), F.col("path"))).alias("token"))
     wanted = _frame(spark, [(t,) for t in sorted({t for r in rules for t in r.tokens})], "token string")
-    seen = offered.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("urls"))
-    of_rule = _frame(
-        spark,
-        [(k, r.name, r.verdict, r.pattern, t) for k, r in enumerate(rules) for t in r.tokens],
-        "rule_no int, rule string, verdict string, pattern string, token string",
-    )
-    rarest = F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), F.col("token")))
-    index = (
-        of_rule.join(seen, "token", "left")
-        .groupBy("rule_no", "rule", "verdict", "pattern")
-        .agg(rarest.alias("token"))
+    # One row for each token that a rule names, so as few as the list of rules makes.
+    counted = offered.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    seen = {r["token"]: r["n"] for r in counted.collect()}
+    filed = [
+        (k, r.name, r.verdict, r.pattern, min(r.tokens, key=lambda t: (seen.get(t, 0), t)))
+        for k, r in enumerate(rules)
+    ]
+    index = _frame(
+        spark, filed, "rule_no int, rule string, verdict string, pattern string, token string"
     )
     fits = F.expr("regexp_like(concat(host, path), pattern)")
     best = F.max_by(
