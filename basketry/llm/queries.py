@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, fingerprints, packing, sharding, urls
+from basketry.llm import chat, fingerprints, packing, quality, sharding, toxicity, urls
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -123,3 +123,17 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fingerprints.compare_with_next(docs)
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; rows of fold 1 of 3 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; rows of fold 2 of 4 are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels"))
