@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, fingerprints, packing, quality, sharding, toxicity, urls
+from basketry.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    urls,
+)
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -137,3 +146,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents; rows of fold 2 of 4 are held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.classify(docs, table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside ten consecutive words of a benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.drop("hits", "items")
