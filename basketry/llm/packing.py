@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from basketry.session import ship_package
 SEQUENCE = 2048
 OPEN_BINS = 8192
 TASK_PIECES = 25_000  # pieces that one packing task gets on average
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 300_000
 
 # White space at which the tokenizer divides and str.split does not, or the other way round,
 # or of which that is not sure: texts with these are not cut before they are tokenised.
@@ -31,35 +32,46 @@ _UNSURE = re.compile(
     "[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]"
 )
 _PLAIN_TAIL = ".,;:!?*#$%&|-)"
+# Composed Latin letters, which normalising leaves alone and which have one lower-case letter.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# How the model writes bytes: printable ones as themselves, the others from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 class ChunkIds(dict):
     """Ids (little-endian unsigned 32-bit) of a text between white space, remembered.
 
     The vocabulary divides words at white space and between letters and signs, so a chunk's
-    ids do not depend on its neighbours; letters followed by plain signs are looked up apart.
+    ids do not depend on its neighbours. Latin letters followed by plain signs are looked up
+    apart, letters straight in the model; anything else goes through the whole tokenizer.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
-        self.cores: dict[str, bytes] = {}
+        self.model = tokenizer.model
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def core(self, word: str) -> bytes:
-        known = self.cores.get(word)
-        if known is None:
-            known = self.cores[word] = self.whole(word)
-        return known
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, letters: str) -> bytes:
+        ids = self.words.get(letters)
+        if ids is None:
+            seen = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            ids = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+            self.words[letters] = ids
+        return ids
 
     def __missing__(self, chunk: str) -> bytes:
         core = chunk.rstrip(_PLAIN_TAIL)
-        lowered = core.lower()
-        if core.isascii() and core.isalpha():
-            ids = self.core(lowered) + (self.core(chunk[len(core) :]) if core != chunk else b"")
+        if _LATIN.fullmatch(core):
+            tail = chunk[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = self.whole(tail)
+            ids = self.word(core.lower()) + self.tails[tail]
         else:
             ids = self.whole(chunk)
         self[chunk] = ids
@@ -70,7 +82,9 @@ class ChunkIds(dict):
             return self.whole(text)
         if len(self) > CACHED_CHUNKS:
             self.clear()
-            self.cores.clear()
+            self.tails = {"": b""}
+        if len(self.words) > CACHED_CHUNKS:
+            self.words.clear()
         return b"".join(map(self.__getitem__, text.split()))
 
 
