@@ -11,9 +11,11 @@ from basketry.llm import (
     chat,
     decontamination,
     fingerprints,
+    jaccard,
     packing,
     quality,
     sharding,
+    substrings,
     toxicity,
     urls,
 )
@@ -154,3 +156,17 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.drop("hits", "items")
+
+
+@query()
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that strings of 100 bytes seen before cover, and what is left."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs)
+
+
+@query()
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose three-word shingles are alike by nine tenths."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.jaccard_join(docs)
