@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm import texts
 from basketry.llm.quality import fit_logistic
@@ -146,7 +147,7 @@ def match(automaton: Automaton, data: np.ndarray, start: np.ndarray, end: np.nda
     return automaton.value[state]
 
 
-FEATURES = ("density", "near", "share", "quoted")
+FEATURES = ("__density", "__near", "__hits", "__quoted")
 
 
 def evidence(automaton: Automaton, column: pa.Array) -> np.ndarray:
@@ -262,33 +263,41 @@ def train(
 
 
 def measure(rows: DataFrame, automaton: Automaton, kept: list[str]) -> DataFrame:
-    """``kept`` columns and the evidence of every row's whole text."""
+    """``kept`` columns and, under the names of FEATURES, the evidence of every whole text."""
     ship_package(rows.sparkSession)
-    kinds = dict(rows.dtypes)
+    schema = T.StructType([rows.schema[c] for c in kept])
+    for name in FEATURES:
+        schema.add(name, T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = evidence(automaton, batch.column(batch.num_columns - 1))
             columns = [batch.column(k) for k in range(len(kept))]
             columns += [pa.array(found[:, k]) for k in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *FEATURES])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in kept] + [f"{f} double" for f in FEATURES])
-    return rows.select(*kept, "text").mapInArrow(run, schema)
+    return rows.select(*kept, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id and score from 0 to 1 of every row; null and empty texts have no hits.
-
-    Repeated rows stay; other columns are ignored; an empty table gives no rows.
-    """
+def with_score(rows: DataFrame, model: ToxicityModel, kept: list[str]) -> DataFrame:
+    """``kept`` columns and __score from 0 to 1 of every row; null and empty texts have no
+    hits. Repeated rows stay; an empty table gives no rows."""
     z = sum(
         (F.lit(float(w)) * F.col(f) for w, f in zip(model.weights, FEATURES, strict=False)),
         F.lit(float(model.weights[-1])),
     )
-    return measure(docs, model.automaton, ["doc_id"]).select(
-        "doc_id", (1 / (1 + F.exp(-z))).alias("score")
-    )
+    scored = (1 / (1 + F.exp(-z))).alias("__score")
+    return measure(rows, model.automaton, kept).select(*kept, scored)
+
+
+def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id and score of every row of ``docs``."""
+    return with_score(docs, model, ["doc_id"]).withColumnRenamed("__score", "score")
+
+
+def reject(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score under the threshold, all columns as they were."""
+    return with_score(docs, model, docs.columns).where(F.col("__score") < threshold).drop("__score")
 
 
 def classify(

@@ -5,13 +5,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm.queries import table
+from basketry.llm import decontamination, jaccard, packing, substrings, toxicity
+from basketry.llm.queries import table, vocabulary
 from basketry.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from the labels, does not reject."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.reject(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by similar five-word shingles (0.8 or more) the one of smallest
+    id, once; others, and those with a null id, stay."""
+    groups = jaccard.jaccard_join(docs, size=5, percent=80)
+    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns).dropDuplicates(
+        ["doc_id", "text"]
+    )
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 100 bytes or more that began in an earlier one."""
+    kept = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    cut = substrings.remove_repeats(docs, kept=kept, with_text=True)
+    return cut.select(
+        *[
+            F.col("kept_text").alias("text")
+            if c == "text"
+            else F.length("kept_text").cast(docs.schema[c].dataType).alias("n_chars")
+            if c == "n_chars"
+            else F.col(c)
+            for c in docs.columns
+        ]
+    )
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without ten consecutive words of a benchmark item."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    leaks = found.where("contaminated").select(F.col("doc_id").alias("__leak")).distinct()
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__leak"]), "left_anti")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all token pieces in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs.select("doc_id", "text"), vocabulary())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_array_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("best_fit_packing", pack_sequences),
+]
 
 # Learned, hashed and tokenised results have no SQL; tests compare with brute force.
 ORACLE_SQL = None
