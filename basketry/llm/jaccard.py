@@ -80,14 +80,16 @@ def region_keys(
     own = np.searchsorted(first, sizes, "right") - 1
     least = -(-sizes * percent // 100)  # the smallest partner
     out = []
-    for lower in (0, 1):
+    # A pair meets on the level of its smaller set, so a set also goes to lower levels that
+    # may hold a partner.
+    for lower in range(int(own.max(initial=0)) + 1):
         level = own - lower
         use = level >= 0
         if lower:
-            use &= least < first[np.maximum(own, 0)]
+            use &= least < first[np.maximum(level + 1, 0)]
         which = np.flatnonzero(use)
         if not len(which):
-            continue
+            break
         apart = most_apart(first[level[which] + 1] - 1, percent)
         classes = (apart * 11 + 9) // 10 + 2
         n = sizes[which]
