@@ -192,18 +192,19 @@ class ToxicityModel:
 
 
 def learn_terms(
-    sample: DataFrame, most: int = 400, least_hits: int = 12, ratio: float = 8.0
+    sample: DataFrame, most: int = 400, least_hits: int = 6, ratio: float = 8.0
 ) -> list[Term]:
     """At most ``most`` words and beginnings (3 to 8 letters) from doc_id, text, y.
 
-    Counted are distinct words of documents: a term needs ``least_hits`` in toxic rows, in
-    at least a quarter as many documents, and must be ``ratio`` times as frequent there.
+    Counted are distinct words of distinct texts: a term needs ``least_hits`` in toxic ones
+    and must be ``ratio`` times as frequent there as in others.
     """
     words = F.array_distinct(
         F.filter(F.split(F.lower("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
     )
     per_word = (
-        sample.select("y", F.explode(words).alias("word"))
+        sample.dropDuplicates(["text", "y"])
+        .select("y", F.explode(words).alias("word"))
         .groupBy("word")
         .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
     )

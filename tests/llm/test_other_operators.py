@@ -35,7 +35,7 @@ def accuracy(got, labels, name):
     [("op3_quality_classifier", "quality", 3, 1, 0.95), ("op7_toxicity", "toxic", 4, 2, 0.9)],
 )
 def test_classifiers_on_held_out_rows(spark, query, name, folds, out, least):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"  # enough labelled rows to learn from
     got = QUERIES[query](spark, folder).collect()
     assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
     for r in got:
