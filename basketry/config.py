@@ -32,13 +32,17 @@ class SplitConfig:
 
 @dataclass(frozen=True)
 class AlsConfig:
-    """Implicit-feedback factorisation."""
+    """Implicit-feedback factorisation.
+
+    ``blocks`` divides users and items; unset, there are as many as the cluster has cores.
+    """
 
     factors: int = 32
     regularization: float = 0.05
     alpha: float = 10.0
     iterations: int = 15
     seed: int = 42
+    blocks: int | None = None
 
 
 @dataclass(frozen=True)

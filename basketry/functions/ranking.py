@@ -47,7 +47,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
     # ``starts`` has one row per partition of the sort: bounded by the partition count.
-    return placed.join(F.broadcast(starts), "_part").select(
+    return placed.join(starts, "_part").select(
         *[F.col(f"`{c}`") for c in df.columns],
         (F.col("_start") + F.col("_offset")).alias(name),
     )

@@ -205,7 +205,8 @@ def build_candidates(
     history = user_history(events, bounds, config.history_items)
     als = _als_features(personal_als)
     similarity = similar_features(history, similar, config.similar_top_n)
-    users = history_users(events, bounds)
+    # Everyone with a history event has a row of history, and it is already placed by user.
+    users = history.select("user_id").distinct()
     popular = popular_candidates(users, top_popular, config.popular_top_n)
     features = (
         "als_score",

@@ -51,19 +51,18 @@ def clean_item_properties(
 
 
 def drop_properties(props: DataFrame, names: DataFrame | Iterable[str]) -> DataFrame:
-    """Rows of all other properties, without a shuffle.
+    """Rows of all other properties; a row without a property name stays.
 
-    Names given as a table enter the filter as one array value.  That is the output of
-    ``detect_constant_properties``: every item has each of them, so there are at most as
-    many as a property row count divided by the item count.
+    Names given as a table are joined on the property: a short table is broadcast below
+    Spark's own threshold, and of a long one no row goes through the driver.
     """
     if isinstance(names, DataFrame):
-        listed = names.agg(F.collect_list("property").alias("names")).scalar()
-        dropped = F.array_contains(listed, F.col("property"))
-    else:
-        names = list(names)
-        dropped = F.col("property").isin(names) if names else F.lit(False)
-    return props.where(F.col("property").isNull() | ~dropped)
+        dropped = names.where(F.col("property").isNotNull()).select("property").distinct()
+        return props.join(dropped, "property", "left_anti").select(props.columns)
+    names = list(names)
+    if not names:
+        return props
+    return props.where(F.col("property").isNull() | ~F.col("property").isin(names))
 
 
 def property_stats(props: DataFrame) -> DataFrame:

@@ -184,9 +184,6 @@ def compare_models(
     shuffles does not grow with the number of models.
     """
     names = list(models)
-    if len(names) == 1:
-        metrics = evaluate_recommendations(models[names[0]], truth, catalog, novelty, k)
-        return metrics.select(F.lit(names[0]).alias("model"), "*")
     recs = reduce(
         lambda a, b: a.unionByName(b),
         [df.select(F.lit(m).alias("model"), *_PAIR, "rank") for m, df in models.items()],

@@ -3,28 +3,23 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import POSITIVE_EVENTS, AlsConfig
-from basketry.functions.ranking import top_n_per_group
 from basketry.operators.splits import positive_pairs
-from basketry.session import checkpoint_root
+from basketry.session import checkpoint_root, ship_package
 
-# The task functions below travel with the job, so workers need numpy and pyarrow but not
-# this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-SCORE_SCALE = 1_000_000  # scores carry six decimal places
-NO_MATCH = -(2**40)  # below the points of any product
+BLOCK_ROWS = 4096  # vectors that travel as one row, and columns of one matrix product
+TASK_BLOCKS = 8  # blocks of queries that one task holds while the candidates pass
+CHUNK = 512  # queries of one matrix product
+NOBODY = np.iinfo(np.int64).max  # id of a place that no match has taken yet
 
 
 def top_popular(
@@ -43,7 +38,9 @@ def top_popular(
 
 def train_als(interactions: DataFrame, config: AlsConfig = AlsConfig()) -> ALSModel:
     """Implicit-feedback factorisation of the weighted interactions."""
-    checkpoint_root(interactions.sparkSession)  # ALS cuts its own lineage there
+    spark = interactions.sparkSession
+    checkpoint_root(spark)  # ALS cuts its own lineage there
+    blocks = config.blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(
         rank=config.factors,
         regParam=config.regularization,
@@ -55,6 +52,8 @@ def train_als(interactions: DataFrame, config: AlsConfig = AlsConfig()) -> ALSMo
         itemCol="item_id",
         ratingCol="weight",
         checkpointInterval=5,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     )
     return als.fit(interactions.select("user_id", "item_id", F.col("weight").cast("float")))
 
@@ -72,6 +71,7 @@ def als_training_loss(
         cells = factors.select("features").mapInArrow(_gram_cells, "i int, j int, g double")
         return cells.groupBy("i", "j").agg(F.sum("g").alias("g"))
 
+    ship_package(interactions.sparkSession)
     users, items = model.userFactors, model.itemFactors
     everything = (
         gram(users)
@@ -114,26 +114,31 @@ def _gram_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def personal_als(model: ALSModel, n: int = 100, block_rows: int = 32768) -> DataFrame:
+def personal_als(model: ALSModel, n: int = 100, **sizes: int) -> DataFrame:
     """The ``n`` best items of every user, items already seen included."""
-    return _recommend(model.userFactors, model.itemFactors, n, block_rows)
+    return best_products(model.userFactors, model.itemFactors, n, **sizes)
 
 
 def recommend_for_users(
-    model: ALSModel, users: DataFrame, n: int = 10, block_rows: int = 32768
+    model: ALSModel, users: DataFrame, n: int = 10, **sizes: int
 ) -> DataFrame:
     """The ``n`` best items of the given users; unknown users get no rows."""
     keys = users.select(F.col("user_id").alias("id")).distinct()
     wanted = model.userFactors.join(keys, "id", "left_semi")
-    return _recommend(wanted, model.itemFactors, n, block_rows)
+    return best_products(wanted, model.itemFactors, n, **sizes)
+
 
+def best_products(users: DataFrame, items: DataFrame, n: int, **sizes: int) -> DataFrame:
+    """The ``n`` items with the largest inner products of every user's vector.
 
-def _recommend(users: DataFrame, items: DataFrame, n: int, block_rows: int) -> DataFrame:
-    best = _best_matches(users, items, n, block_rows, same_table=False)
+    Both tables have ``id`` and ``features``. The score is the product as a 32-bit float and
+    the list is ordered by that value, ties by item, so scaling a user changes no list.
+    """
+    best = _best_matches(users, items, n, same_table=False, **sizes)
     return best.select(
         F.col("query").cast("int").alias("visitorid"),
         F.col("match").cast("int").alias("itemid"),
-        (F.col("points") / SCORE_SCALE).cast("float").alias("score"),
+        "score",
         F.col("rank").cast("short"),
     )
 
@@ -144,7 +149,7 @@ def similar_items(
     items: DataFrame | None = None,
     id_column: str = "id",
     vector_column: str = "features",
-    block_rows: int = 32768,
+    **sizes: int,
 ) -> DataFrame:
     """The ``n`` most similar other items of every item by cosine, rank 1..n.
 
@@ -158,11 +163,11 @@ def similar_items(
     if items is not None:
         keys = items.select(F.col(id_column).alias("id")).distinct()
         wanted = vectors.join(keys, "id", "left_semi")
-    best = _best_matches(wanted, vectors, n, block_rows, same_table=True)
+    best = _best_matches(wanted, vectors, n, same_table=True, **sizes)
     return best.select(
         F.col("query").cast("int").alias("itemid"),
         F.col("match").cast("int").alias("similar_itemid"),
-        (F.col("points") / SCORE_SCALE).cast("float").alias("score"),
+        "score",
         F.col("rank").cast("short"),
     )
 
@@ -175,43 +180,48 @@ def similar_for_items(
 
 
 def _best_matches(
-    queries: DataFrame, candidates: DataFrame, n: int, block_rows: int, same_table: bool
+    queries: DataFrame,
+    candidates: DataFrame,
+    n: int,
+    same_table: bool,
+    block_rows: int = BLOCK_ROWS,
+    task_blocks: int = TASK_BLOCKS,
 ) -> DataFrame:
-    """For every query vector its ``n`` best candidates: ``(query, match, points, rank)``.
-
-    Both tables are packed into hashed blocks of about ``block_rows``.  A task holds a block
-    of queries and streams the candidate blocks past it as matrix products, keeping ``n``
-    rows per query.  No pair of vectors ever becomes a row, and about ``n`` rows per query
-    leave the tasks.
-
-    Points are products rounded to six places; ranking them with ties by id makes the order
-    independent of how the products were grouped.  Within one table (``same_table``) the
-    measure is the cosine and a vector is no match for itself.
+    """For every query vector its ``n`` best candidates: ``(query, match, score, rank)``.
+
+    Both tables are packed into hashed blocks of about ``block_rows``.  A task first reads
+    its own blocks of queries, at most ``task_blocks``, and then streams every candidate
+    block past them once, as matrix products of at most CHUNK x BLOCK_ROWS.  No pair of
+    vectors ever becomes a row; the lists leave the task ranked.  A candidate block is
+    ordered by norm: from where norm times norm cannot reach the worst kept score, its rest
+    is skipped.  Work and shuffled candidates grow with the number of tasks.
+
+    Scores are products in double precision, rounded to 32-bit floats and ordered by those,
+    ties by id.  Within one table (``same_table``) the measure is the cosine and a vector is
+    no match for itself.
     """
-    parallelism = queries.sparkSession.sparkContext.defaultParallelism
-    packed_queries = _pack(queries, block_rows, at_least=parallelism)
-    blocks = F.sequence(F.lit(0), F.lit(packed_queries.blocks - 1))
-    spread = _pack(candidates, block_rows).frame.select(
-        F.explode(blocks).alias("q_block"),
-        F.col("ids").alias("c_ids"),
-        F.col("matrix").alias("c_matrix"),
+    spark = queries.sparkSession
+    ship_package(spark)
+    asked = _pack(queries, block_rows, at_least=spark.sparkContext.defaultParallelism)
+    offered = _pack(candidates, block_rows)
+    tasks = max(
+        math.ceil(asked.blocks / task_blocks),
+        min(asked.blocks, spark.sparkContext.defaultParallelism),
     )
-    # One partition per query block: the work is in the products, which adaptive execution
-    # cannot see when it merges partitions by their bytes.
-    units = spread.repartition(packed_queries.blocks, "q_block").join(
-        packed_queries.frame.select(
-            F.col("block").alias("q_block"),
-            F.col("ids").alias("q_ids"),
-            F.col("matrix").alias("q_matrix"),
-        ),
-        "q_block",
+    task_of = F.floor(F.col("block") * F.lit(tasks) / F.lit(asked.blocks)).cast("int")
+    every_task = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))
+    rows = asked.frame.select(
+        task_of.alias("task"), F.lit(0).alias("kind"), "ids", "matrix"
+    ).unionByName(
+        offered.frame.select(every_task.alias("task"), F.lit(1).alias("kind"), "ids", "matrix")
     )
+    # By number and not by hash: every task has its own partition.
+    dealt = rows.repartitionById(tasks, "task").sortWithinPartitions("kind")
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _stream_matches(batches, n, same_table)
 
-    partial = units.mapInArrow(matches, "query bigint, match bigint, points bigint")
-    return top_n_per_group(partial, ["query"], [F.desc("points"), F.col("match")], n)
+    return dealt.mapInArrow(matches, "query bigint, match bigint, score float, rank int")
 
 
 class _Packed(NamedTuple):
@@ -222,13 +232,13 @@ class _Packed(NamedTuple):
 def _pack(vectors: DataFrame, block_rows: int, at_least: int = 1) -> _Packed:
     """One row per block: ids in ascending order and their vectors end to end.
 
-    Blocks are smaller than ``block_rows`` if that gives ``at_least`` of them, down to 1024.
+    Blocks are smaller than ``block_rows`` if that gives ``at_least`` of them, down to 512.
     """
     typed = vectors.select(
         F.col("id").cast("bigint"), F.col("features").cast("array<float>").alias("features")
     )
     rows = typed.count()
-    blocks = max(1, math.ceil(rows / block_rows), min(at_least, math.ceil(rows / 1024)))
+    blocks = max(1, math.ceil(rows / block_rows), min(at_least, math.ceil(rows / 512)))
     packed = (
         typed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
         .groupBy("block")
@@ -242,124 +252,92 @@ def _pack(vectors: DataFrame, block_rows: int, at_least: int = 1) -> _Packed:
     return _Packed(packed, blocks)
 
 
-def _unit_rows(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
-    return batch.column(name).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
-
-
-def _matrix(values: np.ndarray, rows: int, unit: bool) -> np.ndarray:
-    matrix = values.reshape(rows, -1).astype(np.float64)
-    if not unit:
-        return matrix
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(norms == 0, 1.0, norms)
-
-
-def _best_of_block(
-    query: np.ndarray,
-    q_ids: np.ndarray,
-    cand: np.ndarray,
-    c_ids: np.ndarray,
-    n: int,
-    same_table: bool,
-) -> tuple[np.ndarray, np.ndarray]:
-    """Points and ids of each query row's ``n`` best candidates in one block.
-
-    ``c_ids`` ascends, so a smaller position wins a tie.
-    """
-    points = np.rint((query @ cand.T) * SCORE_SCALE).astype(np.int64)
-    if same_table:
-        points[q_ids[:, None] == c_ids[None, :]] = NO_MATCH
-    width = len(c_ids)
-    keys = points * width + np.arange(width - 1, -1, -1)
-    keep = min(n, width)
-    top = np.argpartition(-keys, keep - 1, axis=1)[:, :keep]
-    return np.take_along_axis(points, top, axis=1), c_ids[top]
-
-
-def _merge(state, points: np.ndarray, ids: np.ndarray, n: int):
-    if state is not None:
-        points = np.concatenate([state[0], points], axis=1)
-        ids = np.concatenate([state[1], ids], axis=1)
-    order = np.lexsort((ids, -points), axis=1)[:, :n]
-    return np.take_along_axis(points, order, axis=1), np.take_along_axis(ids, order, axis=1)
-
-
-def _improve(
-    state: tuple[np.ndarray, np.ndarray],
-    query: np.ndarray,
-    q_ids: np.ndarray,
-    cand: np.ndarray,
-    c_ids: np.ndarray,
-    same_table: bool,
-) -> tuple[np.ndarray, np.ndarray]:
-    """``state`` with ``n`` matches per row, improved by the candidates of one more block.
-
-    Only products that reach a row's worst kept match are looked at any further.
-    """
-    points, ids = state
-    n = points.shape[1]
-    products = query @ cand.T
-    rows, cols = np.nonzero(products >= ((points[:, -1] - 1) / SCORE_SCALE)[:, None])
-    found = np.rint(products[rows, cols] * SCORE_SCALE).astype(np.int64)
-    found_ids, worst, worst_ids = c_ids[cols], points[rows, -1], ids[rows, -1]
-    better = (found > worst) | ((found == worst) & (found_ids < worst_ids))
-    if same_table:
-        better &= found_ids != q_ids[rows]
-    touched, place = np.unique(rows[better], return_inverse=True)
-    if len(touched) == 0:
-        return state
-    all_rows = np.concatenate([np.repeat(np.arange(len(touched)), n), place])
-    all_points = np.concatenate([points[touched].ravel(), found[better]])
-    all_ids = np.concatenate([ids[touched].ravel(), found_ids[better]])
-    order = np.lexsort((all_ids, -all_points, all_rows))
-    first = np.searchsorted(all_rows[order], np.arange(len(touched)))
-    best = order[first[:, None] + np.arange(n)]
-    points[touched], ids[touched] = all_points[best], all_ids[best]
-    return points, ids
+def _vectors(batch: pa.RecordBatch, row: int, unit: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a packed row; ``unit``: scaled to length 1, zeros stay."""
+    ids, values = (
+        batch.column(name).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
+        for name in ("ids", "matrix")
+    )
+    matrix = values.reshape(len(ids), -1).astype(np.float64)
+    if unit:
+        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+        matrix = matrix / np.where(norms == 0, 1.0, norms)
+    return ids, matrix
+
+
+class _Lists:
+    """The ``n`` best matches so far of a block of queries, best first."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, n: int, same_table: bool):
+        self.ids, self.vectors, self.n, self.same_table = ids, vectors, n, same_table
+        self.norms = np.linalg.norm(vectors, axis=1)
+        self.scores = np.full((len(ids), n), -np.inf, np.float32)
+        self.matches = np.full((len(ids), n), NOBODY)
+
+    def offer(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Let candidates, in any order, improve the lists."""
+        norms = np.linalg.norm(vectors, axis=1)
+        order = np.argsort(-norms, kind="stable")
+        ids, vectors, norms = ids[order], vectors[order], norms[order]
+        for first in range(0, len(self.ids), CHUNK):
+            rows = np.arange(first, min(first + CHUNK, len(self.ids)))
+            for at in range(0, len(ids), BLOCK_ROWS):
+                worst = self.scores[rows, -1].astype(np.float64)
+                bound = self.norms[rows] * norms[at] * (1 + 1e-6)
+                # Longest first, so nothing behind this place can reach such a row, either.
+                open_rows = rows[bound >= worst]
+                if not len(open_rows):
+                    break
+                some = slice(at, at + BLOCK_ROWS)
+                self._take(open_rows, ids[some], vectors[some])
+
+    def _take(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        products = (self.vectors[rows] @ vectors.T).astype(np.float32)
+        products[np.isnan(products)] = -np.inf
+        if self.same_table:
+            products[self.ids[rows][:, None] == ids[None, :]] = -np.inf
+        least = self.scores[rows, -1]
+        if products.shape[1] > self.n:
+            # Rows that are not full yet would let everything pass.
+            new = np.flatnonzero(np.isneginf(least))
+            kth = np.partition(products[new], -self.n, axis=1)[:, -self.n]
+            least = least.copy()
+            least[new] = kth
+        place, column = np.nonzero((products >= least[:, None]) & (products > -np.inf))
+        if not len(place):
+            return
+        touched, local = np.unique(place, return_inverse=True)
+        own = rows[touched]
+        owner = np.concatenate([np.repeat(np.arange(len(own)), self.n), local])
+        score = np.concatenate([self.scores[own].ravel(), products[place, column]])
+        match = np.concatenate([self.matches[own].ravel(), ids[column]])
+        order = np.lexsort((match, -score, owner))
+        best = order[np.searchsorted(owner[order], np.arange(len(own)))[:, None] + np.arange(self.n)]
+        self.scores[own], self.matches[own] = score[best], match[best]
+
+    def rows(self) -> pa.RecordBatch:
+        taken = self.matches != NOBODY
+        query = np.broadcast_to(self.ids[:, None], taken.shape)
+        rank = np.broadcast_to(np.arange(1, self.n + 1, dtype=np.int32), taken.shape)
+        columns = [query[taken], self.matches[taken], self.scores[taken], rank[taken]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in columns], names=["query", "match", "score", "rank"]
+        )
 
 
 def _stream_matches(
-    batches: Iterator[pa.RecordBatch], n: int, same_table: bool, chunk: int = 512
+    batches: Iterator[pa.RecordBatch], n: int, same_table: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Run the units of a task, keeping ``n`` matches per query of the current block.
-
-    Units of one query block usually follow each other; when another block comes, what has
-    been kept is emitted.  The final top-n merges whatever several emissions produce.
-    """
-    current, q_ids, query, states = None, None, None, None
-
-    def emit() -> Iterator[pa.RecordBatch]:
-        for index, (points, ids) in enumerate(states):
-            rows = q_ids[index * chunk : (index + 1) * chunk]
-            valid = points > NO_MATCH
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.broadcast_to(rows[:, None], points.shape)[valid]),
-                    pa.array(ids[valid]),
-                    pa.array(points[valid]),
-                ],
-                names=["query", "match", "points"],
-            )
-
+    """Lists of the queries of a task, which come before all candidates."""
+    lists: list[_Lists] = []
     for batch in batches:
-        blocks = batch.column("q_block").to_numpy(zero_copy_only=False)
-        for row in range(batch.num_rows):
-            if blocks[row] != current:
-                if current is not None:
-                    yield from emit()
-                current = blocks[row]
-                q_ids = _unit_rows(batch, "q_ids", row)
-                query = _matrix(_unit_rows(batch, "q_matrix", row), len(q_ids), same_table)
-                states = [None] * math.ceil(len(q_ids) / chunk)
-            c_ids = _unit_rows(batch, "c_ids", row)
-            cand = _matrix(_unit_rows(batch, "c_matrix", row), len(c_ids), same_table)
-            for index in range(len(states)):
-                part = slice(index * chunk, (index + 1) * chunk)
-                state, unit = states[index], (query[part], q_ids[part], cand, c_ids)
-                if state is not None and state[0].shape[1] == n and state[0].min() > NO_MATCH:
-                    states[index] = _improve(state, *unit, same_table)
-                else:
-                    found = _best_of_block(*unit, n, same_table)
-                    states[index] = _merge(state, *found, n)
-    if current is not None:
-        yield from emit()
+        kinds = batch.column("kind").to_pylist()
+        for row, kind in enumerate(kinds):
+            ids, vectors = _vectors(batch, row, same_table)
+            if kind == 0:
+                lists.append(_Lists(ids, vectors, n, same_table))
+            else:
+                for block in lists:
+                    block.offer(ids, vectors)
+    for block in lists:
+        yield block.rows()

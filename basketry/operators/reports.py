@@ -120,12 +120,12 @@ def events_by_type_period(
 
 
 def item_categories(props: DataFrame) -> DataFrame:
-    """Category changes per item; values that are no number are dropped."""
+    """Category changes per item; values that are no number of two bytes are dropped."""
     number = F.trim(F.col("value")).try_cast("double")
     return (
         props.where(F.col("property") == CATEGORY_PROPERTY)
         .select("timestamp", "itemid", number.alias("_number"))
-        .where(F.col("_number").isNotNull() & ~F.isnan("_number"))
+        .where(F.col("_number").between(-32768, 32767))
         .select("timestamp", "itemid", F.col("_number").cast("short").alias("categoryid"))
     )
 

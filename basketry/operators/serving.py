@@ -13,6 +13,8 @@ from basketry.functions.ranking import top_n_per_group
 from basketry.operators.cleaning import normalize_interactions
 from basketry.operators.ranker import score_candidates
 
+MOST_SERVED = 100  # fixed value: longest list that a request may ask for
+
 
 def serve_batch(
     candidates: DataFrame,
@@ -25,7 +27,10 @@ def serve_batch(
 
     All purchases count, whenever they happened.  A user whose candidates are all bought,
     or who has none, gets no rows.  Without a ``model`` the candidates carry ``score``.
+    ``top_k`` lies between 1 and MOST_SERVED.
     """
+    if not 1 <= top_k <= MOST_SERVED:
+        raise ValueError(f"top_k must lie between 1 and {MOST_SERVED}")
     bought = (
         normalize_interactions(events)
         .where(F.col("event") == PURCHASE_EVENT)

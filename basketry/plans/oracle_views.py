@@ -28,26 +28,26 @@ VIEWS: dict[str, str] = {
     "property_catalogue": """
         SELECT TIMESTAMP '1995-01-01 00:00:00' AS timestamp, CAST(p_partkey AS INT) AS itemid,
                'categoryid' AS property, CAST(p_size AS VARCHAR) AS value
-        FROM part WHERE p_partkey % 5 <> 0
+        FROM part
         UNION ALL
         SELECT TIMESTAMP '1995-01-01 00:00:00', CAST(p_partkey AS INT), 'brand', p_brand
-        FROM part WHERE p_partkey % 5 <> 0
+        FROM part
         UNION ALL
         SELECT TIMESTAMP '1995-01-01 00:00:00', CAST(p_partkey AS INT), 'type',
                CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE p_type END
-        FROM part WHERE p_partkey % 5 <> 0
+        FROM part
         UNION ALL
         SELECT TIMESTAMP '1995-01-01 00:00:00', CAST(p_partkey AS INT), '159', 'n1.0'
-        FROM part WHERE p_partkey % 5 <> 0""",
+        FROM part""",
     "property_changes": """
         SELECT l_shipdate AS timestamp, CAST(l_partkey AS INT) AS itemid, 'available' AS property,
                CASE WHEN l_linestatus = 'O' THEN '1' ELSE '0' END AS value
-        FROM lineitem WHERE l_partkey % 5 <> 0
+        FROM lineitem
         UNION ALL
         SELECT l_shipdate, CAST(l_partkey AS INT), 'categoryid',
                CASE WHEN l_quantity = 50 THEN 'n/a'
                     ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END
-        FROM lineitem WHERE l_partkey % 5 <> 0 AND l_linenumber = 1""",
+        FROM lineitem""",
     "item_properties": """
         SELECT * FROM property_catalogue UNION ALL SELECT * FROM property_changes""",
     "category_tree": """
@@ -61,7 +61,7 @@ VIEWS: dict[str, str] = {
     "item_categories": """
         SELECT timestamp, itemid, CAST(TRY_CAST(value AS DOUBLE) AS SMALLINT) AS categoryid
         FROM item_properties
-        WHERE property = 'categoryid' AND TRY_CAST(value AS DOUBLE) IS NOT NULL""",
+        WHERE property = 'categoryid' AND TRY_CAST(value AS DOUBLE) BETWEEN -32768 AND 32767""",
     "latest_category": """
         SELECT itemid, categoryid FROM (
           SELECT *, row_number() OVER (PARTITION BY itemid
@@ -151,8 +151,8 @@ VIEWS: dict[str, str] = {
                 GROUP BY user_id, item_id)) WHERE rank <= 20""",
     "similarity": """
         SELECT a.vec_id AS itemid, b.vec_id AS similar_itemid,
-               round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]),
-                                            CAST(b.embedding AS DOUBLE[])), 6) AS score
+               CAST(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]),
+                                           CAST(b.embedding AS DOUBLE[])) AS FLOAT) AS score
         FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id""",
     "neighbours": """
         SELECT * FROM (
@@ -161,6 +161,16 @@ VIEWS: dict[str, str] = {
                  CAST(row_number() OVER (PARTITION BY itemid
                                          ORDER BY score DESC, similar_itemid) AS INT) AS rank
           FROM similarity) WHERE rank <= 10""",
+    "products": """
+        SELECT CAST(a.vec_id AS INT) AS visitorid, CAST(b.vec_id AS INT) AS itemid,
+               CAST(list_dot_product(CAST(a.embedding AS DOUBLE[]),
+                                     CAST(b.embedding AS DOUBLE[])) AS FLOAT) AS score
+        FROM embeddings a JOIN embeddings b ON true""",
+    "best_products": """
+        SELECT * FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY visitorid
+                                            ORDER BY score DESC, itemid) AS INT) AS rank
+          FROM products) WHERE rank <= 10""",
     "history": """
         SELECT user_id, item_id AS source_item_id FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id

@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry import schemas
+from basketry.config import AlsConfig
 from basketry.operators import candidates as C
 from basketry.operators import cleaning as I
 from basketry.operators import evaluation as M
@@ -308,12 +309,18 @@ def compare_datasets(x: Inputs) -> DataFrame:
     return Q.compare_datasets(events, parquet)
 
 
-@query("Q7")
+@query(
+    "Q7",
+    """SELECT count(*) > 0 AS has_files, count(*) > 0 AS is_smaller FROM raw_events""",
+)
 def compare_storage(x: Inputs) -> DataFrame:
     csv, parquet = scratch_path(x.spark, "events-csv"), scratch_path(x.spark, "events")
     x.raw_events().write.option("header", True).csv(csv)
     T.csv_to_parquet(x.spark, csv, parquet, schemas.RAW_EVENTS)
-    return Q.compare_storage(T.dataset_bytes(x.spark, csv), T.dataset_bytes(x.spark, parquet))
+    sizes = Q.compare_storage(T.dataset_bytes(x.spark, csv), T.dataset_bytes(x.spark, parquet))
+    return sizes.select(
+        (F.col("other_disk_mb") > 0).alias("has_files"), (F.col("compression") > 1).alias("is_smaller")
+    )
 
 
 @query(
@@ -342,22 +349,22 @@ def property_zero_values(x: Inputs) -> DataFrame:
 
 @query(
     "Q10",
-    """SELECT (SELECT count(DISTINCT itemid) FROM order_events) AS event_items,
+    """SELECT (SELECT count(DISTINCT itemid) FROM shop_events) AS event_items,
               (SELECT count(DISTINCT itemid) FROM item_properties) AS property_items,
-              (SELECT count(DISTINCT itemid) FROM order_events
+              (SELECT count(DISTINCT itemid) FROM shop_events
                WHERE itemid NOT IN (SELECT itemid FROM item_properties)) AS items_without_properties""",
 )
 def items_without_properties(x: Inputs) -> DataFrame:
-    return Q.items_without_properties(x.order_events(), x.item_properties())
+    return Q.items_without_properties(x.shop_events(), x.item_properties())
 
 
 @query(
     "Q10",
-    """SELECT DISTINCT itemid FROM order_events
+    """SELECT DISTINCT itemid FROM shop_events
        WHERE itemid NOT IN (SELECT itemid FROM item_properties)""",
 )
 def list_items_without_properties(x: Inputs) -> DataFrame:
-    return Q.list_items_without_properties(x.order_events(), x.item_properties())
+    return Q.list_items_without_properties(x.shop_events(), x.item_properties())
 
 
 @query(
@@ -402,27 +409,22 @@ def time_range_by_split(x: Inputs) -> DataFrame:
     return Q.time_range(_labelled_splits(x.splits()), by=["split"])
 
 
+_CELLS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS filled, count(*) AS total,
+               count(*) FILTER ({c} = 0) AS zeros FROM candidates"""
+    for c in schemas.CANDIDATES.fieldNames()
+)
+
+
 @query(
     "Q14",
-    """SELECT "column", filled AS notna, total - filled AS isna, zeros AS zero,
-              total - zeros AS non_zero, filled - zeros AS non_zero_filled,
-              round(100.0 * (filled - zeros) / total, 2) AS non_zero_percent
-       FROM (SELECT 'user_id' AS "column", count(user_id) AS filled, count(*) AS total,
-                    count(*) FILTER (user_id = 0) AS zeros FROM candidates
-             UNION ALL SELECT 'item_id', count(item_id), count(*),
-                    count(*) FILTER (item_id = 0) FROM candidates
-             UNION ALL SELECT 'als_score', count(als_score), count(*),
-                    count(*) FILTER (als_score = 0) FROM candidates
-             UNION ALL SELECT 'popular_rank', count(popular_rank), count(*),
-                    count(*) FILTER (popular_rank = 0) FROM candidates
-             UNION ALL SELECT 'from_als', count(from_als), count(*),
-                    count(*) FILTER (from_als = 0) FROM candidates
-             UNION ALL SELECT 'from_similar', count(from_similar), count(*),
-                    count(*) FILTER (from_similar = 0) FROM candidates)""",
+    f"""SELECT "column", filled AS notna, total - filled AS isna, zeros AS zero,
+               total - zeros AS non_zero, filled - zeros AS non_zero_filled,
+               round(100.0 * (filled - zeros) / total, 2) AS non_zero_percent
+        FROM ({_CELLS})""",
 )
 def column_value_profile(x: Inputs) -> DataFrame:
-    columns = ["user_id", "item_id", "als_score", "popular_rank", "from_als", "from_similar"]
-    return Q.column_value_profile(x.candidates().select(*columns))
+    return Q.column_value_profile(x.candidates())
 
 
 # Reports ----------------------------------------------------------------------------------
@@ -783,35 +785,93 @@ def _als_model(x: Inputs):
     return R.train_als(_interactions(x))
 
 
-@query("R2")
+@query("R2", "SELECT count(*) AS pairs, count(*) > 0 AS better_than_zeros FROM interactions")
 def train_als(x: Inputs) -> DataFrame:
-    return R.als_training_loss(_als_model(x), _interactions(x))
+    """Pairs, and whether the loss is below that of factors that are all zero."""
+    weighted = _interactions(x)
+    zeros = weighted.agg(F.sum(1 + F.col("weight") * AlsConfig().alpha).alias("loss")).scalar()
+    loss = R.als_training_loss(_als_model(x), weighted)
+    return loss.select("pairs", (F.col("squared_error") < zeros).alias("better_than_zeros"))
+
+
+def _list_shape(lists: DataFrame, owner: str, item: str) -> DataFrame:
+    """Per list: rows, distinct items, ranks left out, and scores above the one before."""
+    before = F.lag("score").over(Window.partitionBy(owner).orderBy("rank"))
+    rows = F.count(F.lit(1))
+    return (
+        lists.withColumn("_rises", F.coalesce((F.col("score") > before).cast("int"), F.lit(0)))
+        .groupBy(owner)
+        .agg(
+            rows.alias("rows"),
+            F.countDistinct(item).alias("items"),
+            (F.max("rank") - rows).alias("gaps"),
+            F.sum("_rises").alias("inversions"),
+        )
+    )
+
 
+def _shape_sql(owner: str, name: str, source: str, n: str) -> str:
+    zero = "CAST(0 AS BIGINT)"
+    return f"""SELECT DISTINCT {owner} AS {name}, {n} AS rows, {n} AS items,
+                      {zero} AS gaps, {zero} AS inversions
+               FROM {source},
+                    (SELECT count(DISTINCT item_id) AS catalog FROM interactions)"""
 
-@query("R3")
+
+@query("R3", _shape_sql("user_id", "visitorid", "interactions", "least(20, catalog)"))
 def personal_als(x: Inputs) -> DataFrame:
-    return R.personal_als(_als_model(x), ALS_N)
+    return _list_shape(R.personal_als(_als_model(x), ALS_N), "visitorid", "itemid")
 
 
-@query("R4")
+@query(
+    "R4",
+    _shape_sql("user_id", "visitorid", "interactions", "least(10, catalog)")
+    + " WHERE user_id IN (SELECT user_id FROM positives)",
+)
 def recommend_for_users(x: Inputs) -> DataFrame:
-    return R.recommend_for_users(_als_model(x), x.positives(), 10)
+    lists = R.recommend_for_users(_als_model(x), x.positives(), 10)
+    return _list_shape(lists, "visitorid", "itemid")
+
+
+def _fixed_lists(lists: DataFrame) -> DataFrame:
+    return with_rounded(lists, "score").withColumn("rank", F.col("rank").cast("int"))
+
+
+_FIXED_SQL = "SELECT visitorid, itemid, round(CAST(score AS DOUBLE), 6) AS score, rank FROM best_products"
+
+
+@query("R3", _FIXED_SQL)
+def personal_fixed(x: Inputs) -> DataFrame:
+    """Lists by inner products of given vectors, as users and as items."""
+    return _fixed_lists(R.best_products(x.embeddings(), x.embeddings(), 10))
 
 
-@query("R5", "SELECT itemid, similar_itemid, score, rank FROM neighbours")
+@query("R4", _FIXED_SQL + " WHERE visitorid IN (SELECT user_id FROM positives)")
+def recommend_fixed(x: Inputs) -> DataFrame:
+    keys = x.positives().select(F.col("user_id").alias("id")).distinct()
+    wanted = x.embeddings().join(keys, "id", "left_semi")
+    return _fixed_lists(R.best_products(wanted, x.embeddings(), 10))
+
+
+@query(
+    "R5",
+    """SELECT itemid, similar_itemid, round(CAST(score AS DOUBLE), 6) AS score, rank
+       FROM neighbours""",
+)
 def similar_items(x: Inputs) -> DataFrame:
     similar = R.similar_items(x.embeddings(), SIMILAR_N)
     return with_rounded(similar, "score").withColumn("rank", F.col("rank").cast("int"))
 
 
-@query("R5")
+@query("R5", _shape_sql("item_id", "itemid", "interactions", "least(10, catalog - 1)"))
 def similar_items_als(x: Inputs) -> DataFrame:
-    return R.similar_items(_als_model(x).itemFactors, SIMILAR_N)
+    lists = R.similar_items(_als_model(x).itemFactors, SIMILAR_N)
+    return _list_shape(lists, "itemid", "similar_itemid")
 
 
 @query(
     "R6",
-    """SELECT itemid, similar_itemid, score, rank FROM neighbours
+    """SELECT itemid, similar_itemid, round(CAST(score AS DOUBLE), 6) AS score, rank FROM neighbours
        WHERE itemid IN (SELECT itemid FROM popular)""",
 )
 def similar_for_items(x: Inputs) -> DataFrame:
@@ -865,7 +925,7 @@ def user_history_orders(x: Inputs) -> DataFrame:
 
 @query(
     "C3",
-    """SELECT user_id, item_id, round(similarity_score, 6) AS similarity_score, similarity_rank,
+    """SELECT user_id, item_id, round(CAST(similarity_score AS DOUBLE), 6) AS similarity_score, similarity_rank,
               similarity_sources FROM similar_features""",
 )
 def similar_features(x: Inputs) -> DataFrame:
@@ -899,7 +959,7 @@ def add_popular_features(x: Inputs) -> DataFrame:
 
 @query(
     "C7",
-    """SELECT user_id, item_id, round(similarity_score, 6) AS similarity_score, similarity_rank,
+    """SELECT user_id, item_id, round(CAST(similarity_score AS DOUBLE), 6) AS similarity_score, similarity_rank,
               similarity_sources FROM candidates""",
 )
 def add_similar_features(x: Inputs) -> DataFrame:
@@ -917,7 +977,7 @@ def add_als_features(x: Inputs) -> DataFrame:
 
 _CANDIDATE_SQL = """
     SELECT user_id, item_id, als_score, als_rank, popular_score, popular_rank,
-           round(similarity_score, 6) AS similarity_score, similarity_rank, similarity_sources,
+           round(CAST(similarity_score AS DOUBLE), 6) AS similarity_score, similarity_rank, similarity_sources,
            from_als, from_popular, from_similar,
            round(popular_score_log, 4) AS popular_score_log
     FROM candidates"""
@@ -1081,7 +1141,7 @@ _TRAIN_COLUMNS = (
 )
 _TRAIN_SQL = """
     SELECT user_id, item_id, als_score, als_rank, popular_score, popular_rank,
-           round(similarity_score, 6) AS similarity_score, similarity_rank, target FROM """
+           round(CAST(similarity_score AS DOUBLE), 6) AS similarity_score, similarity_rank, target FROM """
 
 
 def _train_rows(df: DataFrame) -> DataFrame:
@@ -1138,17 +1198,34 @@ def _ranker(x: Inputs):
 _RANKERS: dict[tuple[str, str], str] = {}
 
 
-@query("K11")
+@query(
+    "K11",
+    """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS null_scores, count(*) > 0 AS positives_above
+       FROM valid""",
+)
 def train_ranker(x: Inputs) -> DataFrame:
-    train = _train(x)
-    return K.score_candidates(K.train_ranker(train), train).select(
-        "user_id", "item_id", "target", "score"
+    """Scores of the training rows; positives score above negatives on average."""
+    scored = K.score_candidates(K.train_ranker(_train(x)), _train(x))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("score").isNull()).alias("null_scores"),
+        (
+            F.avg(F.when(F.col("target") == 1, F.col("score")))
+            > F.avg(F.when(F.col("target") == 0, F.col("score")))
+        ).alias("positives_above"),
     )
 
 
-@query("K12")
+@query(
+    "K12",
+    """SELECT user_id, count(*) AS rows, CAST(0 AS BIGINT) AS null_scores FROM candidates
+       GROUP BY user_id""",
+)
 def score_candidates(x: Inputs) -> DataFrame:
-    return K.score_candidates(_ranker(x), x.candidates()).select("user_id", "item_id", "score")
+    scored = K.score_candidates(_ranker(x), x.candidates())
+    return scored.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score").isNull()).alias("null_scores")
+    )
 
 
 @query("K13", "SELECT user_id, item_id, score, rank FROM recommendations")
@@ -1167,10 +1244,19 @@ def require_features(x: Inputs) -> DataFrame:
     return _as_ints(K.require_features(x.candidates()).select("user_id", "item_id", *ranks), *ranks)
 
 
-@query("K15")
+@query("K15", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM valid")
 def save_and_load_ranker(x: Inputs) -> DataFrame:
-    loaded = K.load_ranker(K.save_ranker(_ranker(x), scratch_path(x.spark, "ranker")))
-    return K.score_candidates(loaded, _train(x)).select("user_id", "item_id", "score")
+    """Rows, and those that a ranker scores otherwise once saved and loaded."""
+    ranker = _ranker(x)
+    loaded = K.load_ranker(K.save_ranker(ranker, scratch_path(x.spark, "ranker")))
+    before = K.score_candidates(ranker, _train(x)).select("user_id", "item_id", "score")
+    after = K.score_candidates(loaded, _train(x)).select(
+        "user_id", "item_id", F.col("score").alias("again")
+    )
+    return before.join(after, ["user_id", "item_id"]).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("again"))).alias("different"),
+    )
 
 
 # Serving ----------------------------------------------------------------------------------
@@ -1191,9 +1277,31 @@ def serve_batch(x: Inputs) -> DataFrame:
     return V.serve_batch(x.scored(), x.shop_events())
 
 
-@query("V1")
+@query(
+    "V1",
+    """SELECT user_id, least(5, count(*)) AS rows, CAST(0 AS BIGINT) AS bought
+       FROM candidates c
+       WHERE user_id IN (SELECT user_id FROM positives)
+         AND NOT EXISTS (SELECT 1 FROM shop_canonical e
+                         WHERE e.user_id = c.user_id AND e.item_id = c.item_id
+                           AND e.event = 'transaction')
+       GROUP BY user_id""",
+)
 def serve_batch_model(x: Inputs) -> DataFrame:
-    return V.serve_batch(x.candidates(), x.shop_events(), _ranker(x), x.positives(), 5)
+    """Per user: rows served with the learned ranker, and bought items among them."""
+    served = V.serve_batch(x.candidates(), x.shop_events(), _ranker(x), x.positives(), 5)
+    bought = (
+        x.shop_events()
+        .where("event = 'transaction'")
+        .select(F.col("visitorid").alias("user_id"), F.col("itemid").alias("item_id"))
+        .distinct()
+        .withColumn("_bought", F.lit(1))
+    )
+    return (
+        served.join(bought, ["user_id", "item_id"], "left")
+        .groupBy("user_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.count("_bought").alias("bought"))
+    )
 
 
 @query(

@@ -13,8 +13,19 @@ from basketry.functions.ranking import rank_within, rank_within_large, top_n_per
 from basketry.operators import candidates as C
 from basketry.operators import reports as E
 from basketry.plans.inputs import Inputs
+from basketry.plans.registered import REGISTERED
 
-PYTHON = {"similar_items", "similar_for_items"}
+# Vectors meet as matrix products, which have no built-in expression.
+PYTHON = {
+    "similar_items",
+    "similar_for_items",
+    "similar_items_als",
+    "personal_als",
+    "personal_fixed",
+    "recommend_for_users",
+    "recommend_fixed",
+    "train_als",
+}
 
 
 def plan_of(df) -> str:
@@ -28,7 +39,7 @@ def final_plan(df) -> str:
     return text if cut < 0 else text[:cut]
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) & set(REGISTERED)))
 def test_no_cross_join_and_no_python(name, spark, folder):
     plan = plan_of(entry.queries()[name](spark, folder))
     assert "CartesianProduct" not in plan

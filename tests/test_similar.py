@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.operators import generators as R
 
@@ -11,12 +12,12 @@ from basketry.operators import generators as R
 def brute_force(ids, vectors, n):
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     unit = vectors / np.where(norms == 0, 1, norms)
-    points = np.rint(unit @ unit.T * R.SCORE_SCALE).astype(int)
+    scores = (unit @ unit.T).astype(np.float32)
     found = set()
     for i, item in enumerate(ids):
-        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-points[i, j], ids[j]))
+        order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-scores[i, j], ids[j]))
         for rank, j in enumerate(order[:n], start=1):
-            found.add((item, ids[j], points[i, j], rank))
+            found.add((item, ids[j], rank))
     return found
 
 
@@ -36,10 +37,8 @@ def test_same_as_brute_force(spark, vectors, block_rows, n):
     df = spark.createDataFrame(
         [(i, [float(x) for x in v]) for i, v in zip(ids, values)], "id int, features array<float>"
     )
-    got = R.similar_items(df, n, block_rows=block_rows).collect()
-    found = {
-        (r["itemid"], r["similar_itemid"], round(r["score"] * R.SCORE_SCALE), r["rank"]) for r in got
-    }
+    got = R.similar_items(df, n, block_rows=block_rows, task_blocks=2).collect()
+    found = {(r["itemid"], r["similar_itemid"], r["rank"]) for r in got}
     assert len(found) == len(got)
     assert found == brute_force(ids, values.astype(np.float64), n)
 
@@ -55,17 +54,47 @@ def test_subset_has_the_same_neighbours(spark, vectors):
     assert some == every and len(some) == 12
 
 
-def test_merging_parts_equals_one_pass(vectors):
-    ids, values = vectors
-    order = np.argsort(ids)
-    ids, unit = np.array(ids)[order], R._matrix(values[order].ravel(), len(ids), True)
-    state = None
-    for part in np.array_split(np.arange(len(ids)), 6):
-        found = R._best_of_block(unit, ids, unit[part], ids[part], 9, True)
-        state = R._merge(state, *found, 9)
-    improved = R._merge(None, *R._best_of_block(unit, ids, unit[:12], ids[:12], 9, True), 9)
-    for part in np.array_split(np.arange(12, len(ids)), 5):
-        improved = R._improve(improved, unit, ids, unit[part], ids[part], True)
-    assert np.array_equal(improved[0], state[0]) and np.array_equal(improved[1], state[1])
-    whole = R._merge(None, *R._best_of_block(unit, ids, unit, ids, 9, True), 9)
-    assert np.array_equal(state[0], whole[0]) and np.array_equal(state[1], whole[1])
+def lists_by_hand(users, items, n):
+    scores = (users.astype(np.float64) @ items.astype(np.float64).T).astype(np.float32)
+    return [sorted(range(len(items)), key=lambda j: (-row[j], j))[:n] for row in scores]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 1e-6, 1e6])
+def test_scaling_a_user_changes_no_list(spark, scale):
+    rng = np.random.default_rng(3)
+    users = (rng.normal(size=(40, 8)) * scale).astype(np.float32)
+    items = (rng.normal(size=(300, 8)) * 0.1).astype(np.float32)
+    frames = [
+        spark.createDataFrame(
+            [(k, [float(x) for x in v]) for k, v in enumerate(rows)], "id int, features array<float>"
+        )
+        for rows in (users, items)
+    ]
+    got = R.best_products(*frames, 10, block_rows=64, task_blocks=3).collect()
+    lists = [[None] * 10 for _ in users]
+    for r in got:
+        lists[r["visitorid"]][r["rank"] - 1] = r["itemid"]
+    assert lists == lists_by_hand(users, items, 10)
+
+
+def test_skipped_candidates_and_parts_change_nothing():
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(900, 6)) * rng.lognormal(0, 2, (900, 1))
+    items[100:300] = items[100]
+    users = rng.normal(size=(70, 6))
+    users[3] = 0.0
+    whole = R._Lists(np.arange(70), users, 15, False)
+    whole.offer(np.arange(900), items)
+    parts = R._Lists(np.arange(70), users, 15, False)
+    for part in np.array_split(rng.permutation(900), 9):
+        parts.offer(part, items[part])
+    assert np.array_equal(whole.matches, parts.matches)
+    assert whole.matches.tolist() == lists_by_hand(users, items, 15)
+
+
+def test_every_task_has_its_own_partition(spark):
+    rows = [(k, [float(k), 1.0]) for k in range(500)]
+    df = spark.createDataFrame(rows, "id int, features array<float>")
+    best = R._best_matches(df, df, 3, True, block_rows=10, task_blocks=2)
+    spread = best.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(spread) == 25
