@@ -9,7 +9,7 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import RANKER_FEATURES, RankerConfig
@@ -145,13 +145,17 @@ def label_candidates(candidates: DataFrame, positives: DataFrame) -> DataFrame:
 
 
 def valid_groups(train: DataFrame) -> DataFrame:
-    """Rows of users with at least one positive and at least one negative."""
-    mixed = (
-        train.groupBy("user_id")
-        .agg(F.max("target").alias("_best"), F.min("target").alias("_worst"))
+    """Rows of users with at least one positive and at least one negative.
+
+    A window over the user, which labelled candidates are placed by already.
+    """
+    user = Window.partitionBy("user_id")
+    return (
+        train.withColumn("_best", F.max("target").over(user))
+        .withColumn("_worst", F.min("target").over(user))
         .where("_best = 1 AND _worst = 0")
+        .select(train.columns)
     )
-    return train.join(mixed, "user_id", "left_semi")
 
 
 def order_groups(train: DataFrame) -> DataFrame:
@@ -272,7 +276,9 @@ def rank_recommendations(scored: DataFrame, large_users: bool = False) -> DataFr
 
 
 def save_ranker(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+    """Save under a path that must not exist yet: a crash never leaves half a ranker in
+    place of a whole one."""
+    model.write().save(path)
     return path
 
 

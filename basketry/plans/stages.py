@@ -6,7 +6,8 @@ can be re-run alone and a lost cluster costs at most the stage that was running.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,25 @@ class Settings:
     serving: ServingConfig = field(default_factory=ServingConfig)
 
 
+    @classmethod
+    def of(cls, values: Mapping[str, Mapping[str, object]]) -> Settings:
+        """Settings from nested values such as {"als": {"factors": 64}}; others keep their
+        defaults, unknown names are an error."""
+        groups = {f.name: f.default_factory for f in fields(cls)}
+        unknown = set(values) - set(groups)
+        if unknown:
+            raise ValueError(f"unknown settings: {sorted(unknown)}")
+        made = {}
+        for name, chosen in values.items():
+            known = {f.name for f in fields(groups[name])}
+            if set(chosen) - known:
+                raise ValueError(f"unknown settings of {name}: {sorted(set(chosen) - known)}")
+            made[name] = groups[name](
+                **{k: tuple(v) if isinstance(v, list) else v for k, v in chosen.items()}
+            )
+        return cls(**made)
+
+
 class Stages:
     """All stages over one base folder of published tables."""
 
@@ -51,8 +71,8 @@ class Stages:
     def uri(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def publish(self, name: str, df: DataFrame) -> DataFrame:
-        return T.publish_dataset(df, self.uri(name), drop_previous=True)
+    def publish(self, name: str, df: DataFrame, *layout: str) -> DataFrame:
+        return T.publish_dataset(df, self.uri(name), drop_previous=True, layout=layout)
 
     def read(self, name: str, *columns: str) -> DataFrame:
         return T.read_published(self.spark, self.uri(name), columns=columns or None)
@@ -75,20 +95,26 @@ class Stages:
             "category_tree": self.publish("raw/category_tree", tree),
         }
         constants = I.detect_constant_properties(raw["item_properties"])
-        self.publish("events", I.clean_events(raw["events"]))
+        # By time, so that a window reads its files only; by property for the reports.
+        self.publish("events", I.clean_events(raw["events"]), "timestamp")
         self.publish(
-            "item_properties", I.clean_item_properties([raw["item_properties"]], constants)
+            "item_properties",
+            I.clean_item_properties([raw["item_properties"]], constants),
+            "property",
+            "itemid",
         )
         self.publish("category_tree", I.clean_category_tree(raw["category_tree"]))
         return self.report("quality", Q.quality_summary(raw))
 
-    def _bounds(self, events: DataFrame) -> DataFrame:
-        return S.time_boundaries(events, self.settings.split)
+    def _bounds(self) -> DataFrame:
+        """Windows as ``generate`` fixed them; events published later do not move them."""
+        return self.read("bounds")
 
     def generate(self) -> DataFrame:
         """Popular items, factorisation lists and similar items from the history."""
         events = self.read("events")
-        history = S.temporal_split(events, self._bounds(events)).history
+        self.publish("bounds", S.time_boundaries(events, self.settings.split))
+        history = S.temporal_split(events, self._bounds()).history
         sizes = self.settings.generators
         self.publish("top_popular", R.top_popular(history, sizes.top_n))
         probability = W.conversion_probability(history)
@@ -110,24 +136,27 @@ class Stages:
             "candidates",
             C.build_candidates(
                 events,
-                self._bounds(events),
+                self._bounds(),
                 self.read("top_popular"),
                 self.read("personal_als"),
                 self.read("similar"),
                 self.settings.candidates,
             ),
+            "user_id",
+            "item_id",
         )
         return self.report("candidates", C.candidate_stats(candidates))
 
     def rank(self) -> DataFrame:
         """Train on the ranker window, score every candidate, publish ranked lists."""
         events, candidates = self.read("events"), self.read("candidates")
-        positives = S.positive_pairs(S.temporal_split(events, self._bounds(events)).ranker)
+        positives = S.positive_pairs(S.temporal_split(events, self._bounds()).ranker)
         train = self.publish(
-            "ranker_train", K.order_groups(K.valid_groups(K.label_candidates(candidates, positives)))
+            "ranker_train", K.valid_groups(K.label_candidates(candidates, positives))
         )
         model = K.train_ranker(train, self.settings.ranker)
-        K.save_ranker(model, self.uri("ranker"))
+        path = K.save_ranker(model, T.new_version(self.spark, self.uri("ranker")))
+        T.point_to(self.spark, self.uri("ranker"), path, 1)
         scored = K.score_candidates(model, candidates, self.settings.ranker.features)
         ranked = K.rank_recommendations(scored).withColumn("rank", F.col("rank").cast("short"))
         self.publish("recommendations", ranked)
@@ -153,7 +182,7 @@ class Stages:
             V.serve_batch(
                 self.read("candidates"),
                 self.read("events"),
-                K.load_ranker(self.uri("ranker")),
+                K.load_ranker(T.published_path(self.spark, self.uri("ranker"))),
                 top_k=self.settings.serving.top_k,
             ),
         )
@@ -162,7 +191,7 @@ class Stages:
     def evaluate(self, k: int = 10) -> DataFrame:
         """Popularity, factorisation and final lists on the evaluation window."""
         events = self.read("events")
-        bounds = self._bounds(events)
+        bounds = self._bounds()
         truth = M.ground_truth(events, bounds)
         als = self.read("personal_als")
         users = M.eval_users(truth, als, k)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -17,6 +18,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A join on (user, item) may use a partitioning by user.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
@@ -48,7 +53,8 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a master whose tasks all run in this process may fall back to a folder of this
+    machine; a cluster of worker processes on one machine is a cluster.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,7 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     shared = sc.getConf().get("spark.checkpoint.dir")
     if not shared:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="basketry-checkpoint-")
     sc.setCheckpointDir(shared)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -98,38 +97,83 @@ def _pointer(uri: str) -> str:
     return f"{uri.rstrip('/')}/pointer"
 
 
+KEPT_VERSIONS = 3  # readers of the last versions before the current one can finish
+
+
 def publish_dataset(
-    df: DataFrame, uri: str, min_rows: int = 1, drop_previous: bool = False
+    df: DataFrame,
+    uri: str,
+    min_rows: int = 1,
+    drop_previous: bool = False,
+    layout: Sequence[str] = (),
+    keep: int = KEPT_VERSIONS,
 ) -> DataFrame:
     """Publish a stage output under a fixed name and return the published table.
 
     The rows go to a fresh version folder and are validated there.  Only then is a row
     appended to the pointer table, so readers see the old version or the new one and never
-    a part of it, also when an executor or the driver is lost half-way.
+    a part of it, also when an executor or the driver is lost half-way.  A version that
+    fails is removed.  ``layout`` names columns by whose ranges the rows are dealt out and
+    sorted: row groups then hold narrow ranges and filters on them skip files.
+    ``drop_previous`` removes versions older than the last ``keep``.
     """
     spark = df.sparkSession
-    previous = published_version(spark, uri)
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    path = f"{_versions(uri)}/{version}"
-    df.write.parquet(path)
-    written = spark.read.parquet(path)
-    counts = validate_outputs({version: written}, min_rows)
-    counts.select(
-        F.col("dataset").alias("version"), "rows", F.current_timestamp().alias("published_at")
-    ).coalesce(1).write.mode("append").parquet(_pointer(uri))
-    if drop_previous and previous is not None:
-        _delete(spark, f"{_versions(uri)}/{previous}")
+    path = new_version(spark, uri)
+    if layout:
+        df = df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    try:
+        df.write.parquet(path)
+        written = spark.read.parquet(path)
+        counts = validate_outputs({path: written}, min_rows)
+    except Exception:
+        _delete(spark, path)
+        raise
+    point_to(spark, uri, path, counts.first()["rows"])
+    if drop_previous:
+        drop_versions(spark, uri, keep)
     return written
 
 
+def new_version(spark: SparkSession, uri: str) -> str:
+    """Folder of a version that comes after the current one, whatever a clock says."""
+    current = published_version(spark, uri)
+    number = int(current.split("-")[0]) + 1 if current else 1
+    return f"{_versions(uri)}/{number:012d}-{uuid.uuid4().hex[:8]}"
+
+
+def point_to(spark: SparkSession, uri: str, path: str, rows: int) -> None:
+    """Make a complete version the current one."""
+    row = [(path.rsplit("/", 1)[1], rows)]
+    pointer = spark.createDataFrame(row, "version string, rows bigint")
+    stamped = pointer.withColumn("published_at", F.current_timestamp())
+    stamped.coalesce(1).write.mode("append").parquet(_pointer(uri))
+
+
+def drop_versions(spark: SparkSession, uri: str, keep: int = KEPT_VERSIONS) -> None:
+    """Remove all published versions but the last ``keep``; unpublished ones stay."""
+    if keep < 1:
+        raise ValueError("the current version must be kept")
+    versions = [r["version"] for r in spark.read.parquet(_pointer(uri)).select("version").collect()]
+    for version in sorted(set(versions))[:-keep]:
+        _delete(spark, f"{_versions(uri)}/{version}")
+
+
 def published_version(spark: SparkSession, uri: str) -> str | None:
-    """Name of the version the pointer table names last; None before the first one."""
+    """Name of the version with the highest number; None before the first one."""
     pointer = spark._jvm.org.apache.hadoop.fs.Path(_pointer(uri))
     if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
         return None
     return spark.read.parquet(_pointer(uri)).agg(F.max("version")).first()[0]
 
 
+def published_path(spark: SparkSession, uri: str) -> str:
+    """Folder of the current version."""
+    version = published_version(spark, uri)
+    if version is None:
+        raise FileNotFoundError(f"nothing published under {uri}")
+    return f"{_versions(uri)}/{version}"
+
+
 def read_published(
     spark: SparkSession,
     uri: str,
@@ -138,10 +182,7 @@ def read_published(
     predicate: Column | str | None = None,
 ) -> DataFrame:
     """The version of a published table that is current now."""
-    version = published_version(spark, uri)
-    if version is None:
-        raise FileNotFoundError(f"nothing published under {uri}")
-    return read_dataset(spark, f"{_versions(uri)}/{version}", schema, columns, predicate)
+    return read_dataset(spark, published_path(spark, uri), schema, columns, predicate)
 
 
 def dataset_bytes(spark: SparkSession, path: str) -> DataFrame:

@@ -310,3 +310,19 @@ def test_ids_are_encoded_in_order_without_gaps(frame):
     assert rows_of(encoding) == sorted(((i, i) for i in range(101)), key=repr)
     back = S.decode_ids(S.apply_encoding(df, encoding, "visitorid"), encoding, "visitorid")
     assert rows_of(back) == rows_of(df.where("visitorid IS NOT NULL"))
+
+
+def test_categories_out_of_range_are_dropped(frame):
+    values = ["70000", "-40000", "Infinity", "-Infinity", "NaN", "x", None, " 12 ", "32767"]
+    rows = [(None, k, "categoryid", v) for k, v in enumerate(values)]
+    props = frame(rows, "timestamp timestamp_ntz, itemid int, property string, value string")
+    got = {r["itemid"]: r["categoryid"] for r in E.item_categories(props).collect()}
+    assert got == {7: 12, 8: 32767}
+
+
+def test_served_lists_have_bounds(frame):
+    empty = frame([], "user_id int, item_id int, score float")
+    events = frame([], "timestamp timestamp_ntz, visitorid int, event string, itemid int")
+    for k in (0, 101):
+        with pytest.raises(ValueError, match="between 1 and 100"):
+            V.serve_batch(empty, events, top_k=k)

@@ -67,8 +67,46 @@ def test_publication_switches_versions(spark, events, tmp_path):
     with pytest.raises(ValueError):
         T.publish_dataset(events.limit(0), uri)
     assert T.read_published(spark, uri).count() == 2
-    T.publish_dataset(events, uri, drop_previous=True)
-    assert len(list((tmp_path / "events" / "versions").iterdir())) == 3
+    # The failed version is gone; a reader of the version before the current one can finish.
+    assert len(list((tmp_path / "events" / "versions").iterdir())) == 2
+    reader = T.read_published(spark, uri)
+    T.publish_dataset(events.limit(1), uri, drop_previous=True, keep=2)
+    assert reader.count() == 2
+    assert len(list((tmp_path / "events" / "versions").iterdir())) == 2
+    with pytest.raises(ValueError, match="must be kept"):
+        T.drop_versions(spark, uri, 0)
+
+
+def test_a_clock_that_goes_back_hides_nothing(spark, events, tmp_path, monkeypatch):
+    import time
+
+    uri = str(tmp_path / "events")
+    T.publish_dataset(events.limit(1), uri)
+    monkeypatch.setattr(time, "time_ns", lambda: 0)
+    monkeypatch.setattr(time, "time", lambda: 0.0)
+    T.publish_dataset(events, uri)
+    assert T.read_published(spark, uri).count() == 2
+
+
+def test_layout_gives_files_ranges_that_do_not_overlap(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS t", "id % 3 AS kind")
+    # Otherwise so few rows are merged into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        T.publish_dataset(df, str(tmp_path / "t"), layout=["t"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ranges = []
+    for path in (tmp_path / "t" / "versions").glob("*/part-*"):
+        meta = pq.ParquetFile(path).metadata
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(0).statistics
+            ranges.append((stats.min, stats.max))
+    assert len(ranges) > 1
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
 def test_sizes_come_from_the_files(spark, events, tmp_path):

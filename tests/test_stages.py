@@ -90,3 +90,39 @@ def test_metrics_are_given_for_every_model(stages):
     assert set(rows) == {"Top Popular", "ALS", "Final Ranker"}
     for row in rows.values():
         assert 0 <= row["precision"] <= 1 and 0 <= row["recall"] <= 1 and row["novelty"] > 0
+
+
+def test_settings_come_from_file_and_command_line(tmp_path):
+    from basketry.jobs.run_stage import read_settings
+
+    path = tmp_path / "settings.json"
+    path.write_text('{"als": {"factors": 8, "alpha": 2.0}, "serving": {"top_k": 3}}')
+    settings = read_settings(str(path), ["als.factors=9", "split.ranker_days=2"])
+    assert (settings.als.factors, settings.als.alpha, settings.serving.top_k) == (9, 2.0, 3)
+    assert settings.split.ranker_days == 2 and settings.als.iterations == AlsConfig().iterations
+    for bad in (["als.speed=1"], ["cheese.x=1"]):
+        with pytest.raises(ValueError, match="unknown"):
+            read_settings(None, bad)
+    with pytest.raises(ValueError, match="form"):
+        read_settings(None, ["als"])
+
+
+def test_job_starts_from_another_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = Path(__file__).resolve().parents[1] / "basketry" / "jobs" / "run_stage.py"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script), "--help"], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=120
+    )
+    assert done.returncode == 0 and "--settings" in done.stdout, done.stderr
+
+
+def test_windows_stay_when_events_come_later(stages):
+    before = stages.read("bounds").first()
+    assert stages.read("bounds").count() == 1
+    assert before["ranker_start"] < before["evaluation_start"] < before["data_end"]
+    assert stages._bounds().first() == before
