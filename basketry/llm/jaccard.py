@@ -3,7 +3,9 @@
 1. Region keys. The universe of shingles is divided into k classes by hash. Sets that are
    near enough differ in fewer shingles than there are classes, so in some class they are
    equal: the part of a set in a class, hashed, is a region that both are replicated to. k
-   follows from the triangle inequality on set sizes, per level of size.
+   follows from the triangle inequality on set sizes, per level of size. Shingles that many
+   documents share are left out of these parts, so a common passage makes no region; only a
+   set with too few others has regions of all its shingles, too.
 2. Regions that share documents are merged into areas, and the sets of an area meet once.
 3. In an area, pivots are taken one after another. What is within the threshold of the
    pivot is linked to it (its Voronoi cell); of the others, and of those linked sets that
@@ -33,12 +35,17 @@ AREA_SETS = 8000  # sets of an area that meet in one task
 PIVOT_ROUNDS = 8
 GROWTH = 1.3  # of sizes from one level to the next
 FILTER_BITS = 24
+FREQUENT = 8  # documents with a shingle from which on it is a common one
+COMMON_BITS = 26  # places of the table of common shingles, whatever the corpus
+FLUSH_KEYS = 250_000
+SUB_ROWS = 256  # rows of a batch that are unpacked at once
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 
 DOC = [("doc", "<i8"), ("null", "u1"), ("n", "<i8"), ("set", "<u8")]
 KEY = [("key", "<u8"), ("set", "<u8")]
 EDGE = [("a", "<u8"), ("b", "<u8")]
+COUNT = [("low", "<u4"), ("high", "u1"), ("n", "<u2")]
 KEYS, DOCS, EDGES = 0, 1, 2
 
 
@@ -71,17 +78,88 @@ def set_ids(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, np.maximum(ids >> np.uint64(1), 1), 0).astype(np.uint64)
 
 
+def _short(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and 40 bits of hashes."""
+    rest = (values // np.uint64(parts)) & np.uint64((1 << 40) - 1)
+    return (values % np.uint64(parts)).astype(np.int64), rest
+
+
+def _common_place(part: np.ndarray, rest: np.ndarray, parts: int) -> np.ndarray:
+    spread = texts.mixed(rest * np.uint64(parts) + part.astype(np.uint64))
+    return (spread & np.uint64((1 << COMMON_BITS) - 1)).astype(np.int64)
+
+
+def common_shingles(docs: DataFrame, size: int, parts: int, least: int = FREQUENT) -> np.ndarray:
+    """Bits of the places of all shingles that ``least`` documents have, counted over all.
+
+    Which shingles count as common only decides where sets meet, never which are near.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, waiting = [], 0
+            for piece in texts.slices(batch.column(0)):
+                held.append(sets_of(piece, size)[0])
+                waiting += len(held[-1])
+                if waiting > 4 * FLUSH_KEYS:
+                    yield _batch(_counted(held, parts))
+                    held, waiting = [], 0
+            if waiting:
+                yield _batch(_counted(held, parts))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in _parts(batches):
+            r = unpack(COUNT, rows[0])
+            rest = (r["high"].astype(np.uint64) << np.uint64(32)) | r["low"]
+            order = np.argsort(rest)
+            rest, n = rest[order], r["n"][order].astype(np.int64)
+            heads = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+            often = rest[heads][np.add.reduceat(n, heads) >= least]
+            if len(often):
+                places = _common_place(np.full(len(often), part), often, parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([places.astype("<u4").tobytes()], pa.binary())], names=["places"]
+                )
+
+    counted = docs.select("text").mapInArrow(count, ROWS).repartitionById(parts, "part")
+    bits = np.zeros(1 << COMMON_BITS, bool)
+    for row in counted.mapInArrow(choose, "places binary").toLocalIterator():
+        bits[np.frombuffer(row["places"], "<u4")] = True
+    return np.packbits(bits)
+
+
+def _counted(held: list[np.ndarray], parts: int) -> list[tuple[int, int, bytes]]:
+    value, n = np.unique(np.concatenate(held), return_counts=True)
+    part, rest = _short(value, parts)
+    columns = {
+        "low": rest & np.uint64(0xFFFFFFFF),
+        "high": rest >> np.uint64(32),
+        "n": np.minimum(n, 65535),
+    }
+    return _by_part(part, COUNT, columns, 0)
+
+
+def _is_rare(values: np.ndarray, common: np.ndarray, parts: int) -> np.ndarray:
+    place = _common_place(*_short(values, parts), parts)
+    return (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 0
+
+
 def region_keys(
-    values: np.ndarray, begin: np.ndarray, percent: int
+    values: np.ndarray, begin: np.ndarray, percent: int, rare: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, key) of all regions of some sets."""
+    """(set number, key) of all regions of some sets; ``rare``: shingles that are not common.
+
+    A pair meets on the level of its smaller set, so a set also goes to lower levels that may
+    hold a partner. There the pair differs in at most ``apart`` classes. If either set has
+    more classes filled with rare shingles, some such class is equal; if neither has, both
+    also have regions of all shingles, and if even those are too few, of every shingle.
+    """
+    rare = np.ones(len(values), bool) if rare is None else rare
     sizes = np.diff(begin)
     first = levels(percent, int(sizes.max(initial=1)))
     own = np.searchsorted(first, sizes, "right") - 1
     least = -(-sizes * percent // 100)  # the smallest partner
-    out = []
-    # A pair meets on the level of its smaller set, so a set also goes to lower levels that
-    # may hold a partner.
+    out: list[tuple[np.ndarray, np.ndarray]] = []
     for lower in range(int(own.max(initial=0)) + 1):
         level = own - lower
         use = level >= 0
@@ -94,63 +172,80 @@ def region_keys(
         classes = (apart * 11 + 9) // 10 + 2
         n = sizes[which]
         owner = np.repeat(np.arange(len(which)), n)
-        item = values[np.repeat(begin[which] - np.cumsum(n) + n, n) + np.arange(len(owner))]
-        spread = texts.mixed(item + np.uint64(77))
-        cls = (spread >> np.uint64(20)) % classes[owner].astype(np.uint64)
+        at = np.repeat(begin[which] - np.cumsum(n) + n, n) + np.arange(len(owner))
+        spread = texts.mixed(values[at] + np.uint64(77))
         tops = np.concatenate(([0], np.cumsum(classes)))
-        cell = tops[owner] + cls.astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        cell = cell[order]
-        heads = np.flatnonzero(np.diff(cell, prepend=-1))
-        sums = np.add.reduceat(spread[order], heads) if len(heads) else spread[:0]
-        cell = cell[heads]
-        of = np.searchsorted(tops, cell, "right") - 1
-        tag = (level[which][of] * 1_000_003 + cell - tops[of] + 1).astype(np.uint64)
-        out.append((which[of], texts.mixed(sums ^ texts.mixed(tag))))
-        # With too few classes filled, the equal ones may all be empty: every shingle is a key.
-        filled = np.bincount(of, minlength=len(which))
-        poor = filled[owner] <= apart[owner]
-        tag = (level[which][owner[poor]] + 1 << 40).astype(np.uint64)
-        out.append((which[owner[poor]], texts.mixed(item[poor] ^ texts.mixed(tag))))
+        cell = tops[owner] + ((spread >> np.uint64(20)) % classes[owner].astype(np.uint64)).astype(np.int64)
+        chosen, poor = rare[at], None
+        for family in (0, 1):
+            of, number, sums = _filled(cell[chosen], spread[chosen], tops)
+            tag = (level[which][of] * 2 + family) * 1_000_003 + number + 1
+            out.append((which[of], texts.mixed(sums ^ texts.mixed(tag.astype(np.uint64)))))
+            few = np.bincount(of, minlength=len(which)) <= apart
+            poor = few if poor is None else poor & few
+            chosen = poor[owner]
+            if not chosen.any():
+                break
+        else:
+            tag = (level[which][owner[chosen]] + 1 << 40).astype(np.uint64)
+            out.append((which[owner[chosen]], texts.mixed(spread[chosen] ^ texts.mixed(tag))))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate([o for o, _ in out]), np.concatenate([k for _, k in out])
 
 
-def send_keys(docs: DataFrame, size: int, percent: int, parts: int) -> DataFrame:
+def _filled(cell: np.ndarray, spread: np.ndarray, tops: np.ndarray):
+    """Filled classes: number of the set, number of the class, sum of what is in it."""
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    heads = np.flatnonzero(np.diff(cell, prepend=-1))
+    sums = np.add.reduceat(spread[order], heads) if len(heads) else spread[:0]
+    of = np.searchsorted(tops, cell[heads], "right") - 1
+    return of, cell[heads] - tops[of], sums
+
+
+def send_keys(docs: DataFrame, size: int, percent: int, parts: int, common: np.ndarray) -> DataFrame:
     """Packed rows: region keys of every distinct set of a batch, and every row's set."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
             null = ids.is_null().to_numpy(zero_copy_only=False)
             doc = ids.fill_null(0).to_numpy(zero_copy_only=False)
-            all_sets, all_sizes, keys, owners = [], [], [], []
+            keys, owners, waiting = [], [], 0
             seen: set[int] = set()
             for piece in texts.slices(batch.column(1)):
                 values, begin = sets_of(piece, size)
                 sets = set_ids(values, begin)
-                all_sets.append(sets)
-                all_sizes.append(np.diff(begin))
+                rows = slice(piece.first, piece.first + len(sets))
+                columns = {"doc": doc[rows], "null": null[rows], "n": np.diff(begin), "set": sets}
+                yield _batch(_by_part((sets % np.uint64(parts)).astype(np.int64), DOC, columns, DOCS))
                 new = [k for k, s in enumerate(sets.tolist()) if s and not (s in seen or seen.add(s))]
                 which = np.array(new, np.int64)
                 n = np.diff(begin)[which]
                 at = np.repeat(begin[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                of, key = region_keys(values[at], np.concatenate(([0], np.cumsum(n))), percent)
+                some = values[at]
+                rare = _is_rare(some, shared.value, parts)
+                of, key = region_keys(some, np.concatenate(([0], np.cumsum(n))), percent, rare)
                 keys.append(key)
                 owners.append(sets[which][of])
-            if not all_sets:
-                continue
-            sets = np.concatenate(all_sets)
-            columns = {"doc": doc, "null": null, "n": np.concatenate(all_sizes), "set": sets}
-            rows = _by_part((sets % np.uint64(parts)).astype(np.int64), DOC, columns, DOCS)
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            bucket = (key % np.uint64(parts)).astype(np.int64)
-            yield _batch(rows + _by_part(bucket, KEY, {"key": key, "set": owner}, KEYS))
+                waiting += len(key)
+                if waiting > FLUSH_KEYS:
+                    yield _batch(_keys_out(keys, owners, parts))
+                    keys, owners, waiting = [], [], 0
+            if waiting:
+                yield _batch(_keys_out(keys, owners, parts))
 
     return docs.select("doc_id", "text").mapInArrow(run, ROWS)
 
 
+def _keys_out(keys: list[np.ndarray], owners: list[np.ndarray], parts: int):
+    columns = {"key": np.concatenate(keys), "set": np.concatenate(owners)}
+    bucket = (columns["key"] % np.uint64(parts)).astype(np.int64)
+    return _by_part(bucket, KEY, columns, KEYS)
+
+
 def meet(sent: DataFrame, parts: int) -> DataFrame:
     """Packed rows: every row's set as it came, and a star of edges for each shared region."""
 
@@ -224,6 +319,12 @@ def _candidate_sets(docs: DataFrame, areas: DataFrame, size: int) -> DataFrame:
     return found.groupBy("set").agg(F.first("items").alias("items"))
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SUB_ROWS):
+            yield batch.slice(at, SUB_ROWS)
+
+
 class Area:
     """Sets that may be near each other; ``root`` numbers those known to be connected."""
 
@@ -327,7 +428,7 @@ def _join_areas(members: DataFrame, percent: int) -> DataFrame:
                 [pa.array(ids[moved]), pa.array(ids[root[moved]])], names=["a", "b"]
             )
 
-        for batch in batches:
+        for batch in _cut(batches):
             columns = (batch.column(k).to_pylist() for k in range(3))
             for where, one, data in zip(*columns, strict=True):
                 if where != area:
@@ -348,13 +449,18 @@ def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     pivots = members.groupBy("area").agg(F.min_by("items", F.struct("inner", "set")).alias("p_items"), F.min_by("set", F.struct("inner", "set")).alias("p_set"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared = [
-                len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-                for a, b in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)
-            ]
+        for batch in _cut(batches):
+            shared, sizes = [], []
+            for mine, other in zip(batch.column(2), batch.column(4), strict=True):
+                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (mine, other))
+                shared.append(len(np.intersect1d(a, b, assume_unique=True)))
+                sizes.append(len(b))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(shared, pa.int64()), pa.array([len(b) // 8 for b in batch.column(4).to_pylist()], pa.int64())],
+                [
+                    *[batch.column(k) for k in range(4)],
+                    pa.array(shared, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                ],
                 names=["area", "set", "items", "p_set", "shared", "p_size"],
             )
 
@@ -379,8 +485,8 @@ def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
 def _by_rarest(members: DataFrame, percent: int) -> DataFrame:
     """Members of large areas, replicated to a smaller area for each of their rarest shingles."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            items = [np.frombuffer(b, np.int64) for b in batch.column(1).to_pylist()]
+        for batch in _cut(batches):
+            items = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column(1)]
             sets = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(x) for x in items])
             sizes = np.repeat([len(x) for x in items], [len(x) for x in items])
             yield pa.RecordBatch.from_arrays(
@@ -422,7 +528,8 @@ def jaccard_join(
     ship_package(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = max(1, math.ceil(source.count() / PART_DOCS))
-    met = _kept(meet(send_keys(source, size, percent, parts), parts), "regions")
+    common = common_shingles(source, size, parts)
+    met = _kept(meet(send_keys(source, size, percent, parts, common), parts), "regions")
     rows = _plain(met, DOCS, DOC, "doc long, n long, set long")
     edges = _plain(met, EDGES, EDGE, "a long, b long").distinct()
     areas = _kept(components(edges), "areas")

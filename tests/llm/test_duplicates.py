@@ -82,10 +82,12 @@ def test_near_sets_share_a_region_key():
             common = len(np.intersect1d(a, b))
             if 100 * common < percent * (len(a) + len(b) - common) or len(a) == len(b) == common:
                 continue
-            which, key = jaccard.region_keys(
-                np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), percent
-            )
-            assert set(key[which == 0].tolist()) & set(key[which == 1].tolist())
+            both = np.concatenate((a, b))
+            for share in (0, 2, 5, 10):  # tenths of the shingles that are common
+                which, key = jaccard.region_keys(
+                    both, np.array([0, len(a), len(both)]), percent, both % np.uint64(10) >= share
+                )
+                assert set(key[which == 0].tolist()) & set(key[which == 1].tolist())
 
 
 def test_components_of_paths_and_stars(spark):
