@@ -88,11 +88,25 @@ def property_stats(props: DataFrame) -> DataFrame:
 
 
 def detect_constant_properties(props: DataFrame) -> DataFrame:
-    """Properties every item has and that take exactly one value."""
+    """Properties every item has and that take exactly one value.
+
+    One aggregation on (property, item) gives both the items of a property and the items of
+    all: a property has one value if its least is its greatest.
+    """
+    pairs = props.groupBy("property", "itemid").agg(
+        F.min("value").alias("_least"), F.max("value").alias("_most")
+    )
+    total = single_value(pairs.agg(F.countDistinct("itemid").alias("items")), "items")
     return (
-        property_stats(props)
-        .where((F.col("items_count") == F.col("total_items")) & (F.col("unique_values") == 1))
-        .select("property", "items_count", "unique_values")
+        pairs.where(F.col("property").isNotNull())
+        .groupBy("property")
+        .agg(
+            F.count("itemid").alias("items_count"),
+            F.min("_least").alias("_least"),
+            F.max("_most").alias("_most"),
+        )
+        .where((F.col("items_count") == total) & (F.col("_least") == F.col("_most")))
+        .select("property", "items_count", F.lit(1).cast("bigint").alias("unique_values"))
     )
 
 

@@ -186,6 +186,26 @@ def compare_storage(left_bytes: DataFrame, right_bytes: DataFrame) -> DataFrame:
     )
 
 
+def comparison_report(
+    pairs: Mapping[str, tuple[DataFrame, DataFrame, DataFrame, DataFrame]],
+) -> DataFrame:
+    """One row per dataset: shapes and rows of two forms of it, their sizes and ratio.
+
+    ``pairs``: by name the two tables, then the bytes of the files of either (see
+    ``dataset_bytes``).
+    """
+    rows = []
+    for name, (left, right, left_bytes, right_bytes) in pairs.items():
+        sizes = compare_storage(left_bytes, right_bytes).select(F.struct("*").alias("s")).scalar()
+        rows.append(
+            compare_datasets(left, right)
+            .withColumn("_sizes", sizes)
+            .select(F.lit(name).alias("dataset"), "*", "_sizes.*")
+            .drop("_sizes")
+        )
+    return union_parts(rows)
+
+
 def property_missing_share(props: DataFrame) -> DataFrame:
     """Per property: rows and share of null or blank values; only where there are some."""
     return (
