@@ -71,7 +71,8 @@ class RankerConfig:
     """Boosted trees of the second stage.
 
     ``bins`` quantile bins per feature: rows that differ only within bins are alike to the
-    trees, so finer differences than one bin in 254 are lost.
+    trees, so finer differences than one bin in 254 are lost.  ``loss`` "pointwise" fits
+    labels, "grouped" the order of positives and negatives within a user.
     """
 
     iterations: int = 50
@@ -79,6 +80,7 @@ class RankerConfig:
     learning_rate: float = 0.05
     seed: int = 42
     bins: int = 254
+    loss: str = "pointwise"
     features: tuple[str, ...] = RANKER_FEATURES
 
 

@@ -175,3 +175,90 @@ def test_saved_ranker_scores_alike(ranker, candidates, tmp_path):
 def test_scoring_needs_every_feature(ranker, candidates):
     with pytest.raises(ValueError, match="popular_rank"):
         K.score_candidates(ranker, candidates.drop("popular_rank"))
+
+
+@pytest.fixture(scope="module")
+def confounded(spark):
+    """Popularity tells users with many positives from others and nothing within a user;
+    the rank within a user is what counts."""
+    rows = spark.range(60).select(F.col("id").cast("int").alias("user_id")).select(
+        "user_id", F.explode(F.sequence(F.lit(1), F.lit(16))).alias("item_id")
+    )
+    noise = F.pmod(F.xxhash64("user_id", "item_id", F.lit(5)), F.lit(100))
+    rich = F.col("user_id") % 2 == 0
+    odds = F.when(rich, 75).otherwise(8) - 4 * F.col("item_id") + F.when(rich, 20).otherwise(30)
+    return rows.select(
+        "user_id",
+        "item_id",
+        F.lit(None).cast("float").alias("als_score"),
+        F.col("item_id").cast("short").alias("als_rank"),
+        (F.when(rich, 50).otherwise(10) + noise / 10).cast("float").alias("popular_score"),
+        F.lit(None).cast("short").alias("popular_rank"),
+        F.lit(None).cast("float").alias("similarity_score"),
+        F.lit(None).cast("short").alias("similarity_rank"),
+        (noise < odds).cast("byte").alias("target"),
+    ).cache()
+
+
+def mean_ndcg(scored, k=10):
+    import math
+    from collections import defaultdict
+
+    users = defaultdict(list)
+    for r in scored.collect():
+        users[r["user_id"]].append((-r["score"], r["item_id"], r["target"]))
+    total = []
+    for rows in users.values():
+        gains = [t for _, _, t in sorted(rows)]
+        best = sorted(gains, reverse=True)
+        if sum(gains):
+            ideal = sum(g / math.log2(p + 2) for p, g in enumerate(best[:k]))
+            total.append(sum(g / math.log2(p + 2) for p, g in enumerate(gains[:k])) / ideal)
+    return sum(total) / len(total)
+
+
+def test_grouped_loss_orders_within_users(confounded, tmp_path):
+    sizes = {"iterations": 8, "depth": 3, "learning_rate": 0.3, "bins": 32}
+    scores = {}
+    for loss in ("pointwise", "grouped"):
+        model = K.train_ranker(confounded, RankerConfig(loss=loss, **sizes))
+        scores[loss] = mean_ndcg(K.score_candidates(model, confounded))
+    assert scores["grouped"] > scores["pointwise"]
+    path = K.save_ranker(model, str(tmp_path / "grouped"))
+    again = K.score_candidates(K.load_ranker(path), confounded)
+    assert rows_of(again, "user_id", "item_id", "score") == rows_of(
+        K.score_candidates(model, confounded), "user_id", "item_id", "score"
+    )
+    with pytest.raises(ValueError, match="unknown loss"):
+        K.train_ranker(confounded, RankerConfig(loss="x"))
+
+
+def test_pair_gradients_equal_the_sum_over_pairs():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 3, (9, 2)).astype(np.float32), np.array([1, 0, 0, 1, 0, 0, 1, 1, 0])
+    groups = [(0, 5), (5, 9)]
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([x[a:b].ravel() for a, b in groups], pa.list_(pa.float32())),
+            pa.array([y[a:b] for a, b in groups], pa.list_(pa.int32())),
+        ],
+        names=["x", "y"],
+    )
+    tree = np.array([[0, 0.5, 1, 2, 0.0], [-1, 0, 0, 0, 0.7], [-1, 0, 0, 0, -0.2]])
+    got = K._pair_gradients(batch, ["a", "b"], [tree], 0.5).to_pylist()
+    score = 0.5 * np.where(x[:, 0] <= 0.5, 0.7, -0.2)
+    g = np.zeros(9)
+    for a, b in groups:
+        good, bad = [k for k in range(a, b) if y[k]], [k for k in range(a, b) if not y[k]]
+        for i in good:
+            for j in bad:
+                p = 1 / (1 + np.exp(score[i] - score[j])) / (len(good) * len(bad))
+                g[i] += p
+                g[j] -= p
+    for row in got:
+        same = (x[:, 0] == row["a"]) & (x[:, 1] == row["b"])
+        assert row["g"] == pytest.approx(g[same].sum())
+        assert row["h"] > 0
