@@ -147,11 +147,12 @@ def match(automaton: Automaton, data: np.ndarray, start: np.ndarray, end: np.nda
     return automaton.value[state]
 
 
-FEATURES = ("__density", "__near", "__hits", "__quoted")
+FEATURES = ("__density", "__near", "__weight", "__quoted")
 
 
 def evidence(automaton: Automaton, column: pa.Array) -> np.ndarray:
-    """Per text: weighted hits per word, the fullest window, log of hits, quoted share."""
+    """Per text: weighted hits per word, the fullest window, hits against the root of the
+    length, which chance hits of a long text grow with, and the quoted share."""
     out = np.zeros((len(column), len(FEATURES)))
     for piece in texts.slices(pc.utf8_lower(column.cast(pa.large_string()))):
         n = len(piece.bounds) - 1
@@ -178,7 +179,7 @@ def evidence(automaton: Automaton, column: pa.Array) -> np.ndarray:
         np.maximum.at(rows[:, 1], owner, np.where(quoted, 0.3, 1.0) * around)
         rows[:, 0] = np.minimum(40 * total / (counts + 20), 6)
         rows[:, 1] = np.minimum(rows[:, 1], 12)
-        rows[:, 2] = np.log1p(total)
+        rows[:, 2] = np.minimum(3 * total / np.sqrt(counts + 10), 9)
         hits = np.bincount(owner, minlength=n)
         rows[:, 3] = np.bincount(owner, weights=quoted, minlength=n) / np.maximum(hits, 1)
     return out
