@@ -40,7 +40,7 @@ def train_als(interactions: DataFrame, config: AlsConfig = AlsConfig()) -> ALSMo
     """Implicit-feedback factorisation of the weighted interactions."""
     spark = interactions.sparkSession
     checkpoint_root(spark)  # ALS cuts its own lineage there
-    blocks = config.blocks or max(10, spark.sparkContext.defaultParallelism)
+    blocks = config.blocks or spark.sparkContext.defaultParallelism
     als = ALS(
         rank=config.factors,
         regParam=config.regularization,

@@ -70,7 +70,7 @@ def test_lists_equal_the_built_in_ones(model, block_rows):
 def test_factors_have_as_many_blocks_as_asked(planted, spark):
     for blocks in (3, None):
         made = R.train_als(planted[0], AlsConfig(factors=2, iterations=1, blocks=blocks))
-        expected = blocks or max(10, spark.sparkContext.defaultParallelism)
+        expected = blocks or spark.sparkContext.defaultParallelism
         assert made.userFactors.rdd.getNumPartitions() == expected
         assert made.itemFactors.rdd.getNumPartitions() == expected
 
