@@ -16,6 +16,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.llm.small import small_table
+
 RING = 1 << 60  # places on the ring: 15 hexadecimal digits of a digest
 CELL_ROWS = 256  # rows that a cell holds on average
 
@@ -120,8 +122,10 @@ def bounded_ring(
         r["__arc"]: r["n"] for r in per_cell.groupBy("__arc").agg(F.sum("__n").alias("n")).collect()
     }
     segments = fill(counts, points, capacities(rows, shards, load))
-    plan = docs.sparkSession.createDataFrame(
-        segments, "s_arc int, s_from long, s_to long, s_shard int, s_slot long"
+    plan = small_table(
+        docs.sparkSession,
+        segments,
+        "s_arc int, s_from long, s_to long, s_shard int, s_slot long",
     )
     earlier = Window.partitionBy("__arc").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     before = per_cell.select(

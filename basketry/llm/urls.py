@@ -10,12 +10,14 @@ index lookup, so the rules may be many.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.small import small_table
+
 TOKEN = r"[a-z0-9]+"
 
 
@@ -82,7 +84,7 @@ def filter_urls(
     parted = pages.withColumns(split_url(F.col(url)))
     places = parted.select("host", "path").where("host <> ''").distinct()
     offered = places.select("host", "path", F.explode(_tokens(F.col("host"), F.col("path"))).alias("token"))
-    wanted = _frame(spark, [(t,) for t in sorted({t for r in rules for t in r.tokens})], "token string")
+    wanted = small_table(spark, [(t,) for t in sorted({t for r in rules for t in r.tokens})], "token string")
     # One row for each token that a rule names, so as few as the list of rules makes.
     counted = offered.join(wanted, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     seen = {r["token"]: r["n"] for r in counted.collect()}
@@ -90,7 +92,7 @@ def filter_urls(
         (k, r.name, r.verdict, r.pattern, min(r.tokens, key=lambda t: (seen.get(t, 0), t)))
         for k, r in enumerate(rules)
     ]
-    index = _frame(
+    index = small_table(
         spark, filed, "rule_no int, rule string, verdict string, pattern string, token string"
     )
     fits = F.expr("regexp_like(concat(host, path), pattern)")
@@ -109,6 +111,3 @@ def filter_urls(
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
     )
 
-
-def _frame(spark, rows: Iterable[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
