@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from basketry.functions.ranking import rank_within, rank_within_large, top_n_per_group
 from basketry.operators import candidates as C
+from basketry.operators import ranker as K
 from basketry.operators import reports as E
 from basketry.plans.inputs import Inputs
 from basketry.plans.registered import REGISTERED
@@ -153,3 +154,13 @@ def test_candidates_take_one_shuffle_on_pairs(spark, folder):
     pairs = re.findall(r"Exchange hashpartitioning\(user_id#\d+, item_id#\d+, \d+\)", plan)
     # history, similarity features, and the one that merges all sources
     assert len(set(pairs)) <= 3
+
+
+def test_labelled_groups_take_one_shuffle_of_the_candidates(skewed_session, spark, folder):
+    """By user, for the users with positives, the join on pairs and the window alike."""
+    x = Inputs(spark, folder)
+    plan = plan_of(K.valid_groups(K.label_candidates(x.candidates(), x.positives())))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    # candidates; users with positives; positive pairs made distinct, then placed by user
+    assert len(exchanges) == 4
+    assert sum("item_id" in keys for keys in exchanges) == 1
