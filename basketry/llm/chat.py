@@ -31,8 +31,8 @@ def format_chats(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_spans.
 
     ``turns`` has conv_id, turn, role and text; other columns are ignored. Turns are sorted
-    by (turn, role, text), nulls first; repeated rows stay. A null text or role is empty; rows with a
-    null conv_id form one conversation. loss_spans are (start, length) in code points of
+    by (turn, role, text), nulls first; repeated rows stay. A null text or role is empty; rows
+    with a null conv_id form one conversation. loss_spans are (start, length) in code points of
     the texts of ``learn_from``, in order; an empty text has a span of length 0. An empty
     table gives no rows.
     """
@@ -42,7 +42,7 @@ def format_chats(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     sorted_turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(part)).alias("turns"))
-    # Blocks: turns that begin one, by position; a turn joins the block before it if the role is the same.
+    # A turn joins the block before it if the role is the same.
     marked = sorted_turns.withColumn(
         "parts",
         F.transform(

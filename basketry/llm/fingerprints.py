@@ -89,7 +89,8 @@ def compare_with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
     Edited: the last floor(n/2) code points are replaced by as many first ones, or all, of
     the next row in ascending (doc_id, text), after the last row by those of the first. A
-    null text is empty; a null id comes first. With one row, that row follows itself. An empty table gives none.
+    null text is empty; a null id comes first. With one row, that row follows itself. An empty
+    table gives none.
     Other columns than doc_id and text are ignored.
 
     Rows move once, to ranges of ids cut at ids of the table; the first row of a range also
@@ -181,5 +182,5 @@ def _pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                 pa.array(likeness(here, changed)),
                 pa.array(likeness(here, after)),
             ],
-            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            names=[column.split()[0] for column in OUT.split(", ")],
         )

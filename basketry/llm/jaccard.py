@@ -10,7 +10,8 @@
 3. In an area, pivots are taken one after another. What is within the threshold of the
    pivot is linked to it (its Voronoi cell); of the others, and of those linked sets that
    the triangle inequality allows to be near one of the others, the join goes on. Areas too
-   large for a task take their pivots across tasks, are divided by their rarest shingles and then join within tasks.
+   large for a task take their pivots across tasks, are divided by their rarest shingles and
+   then join within tasks.
 
 Sets are compared by 64-bit hashes of shingles; equal sets are joined as one.
 """
@@ -175,7 +176,8 @@ def region_keys(
         at = np.repeat(begin[which] - np.cumsum(n) + n, n) + np.arange(len(owner))
         spread = texts.mixed(values[at] + np.uint64(77))
         tops = np.concatenate(([0], np.cumsum(classes)))
-        cell = tops[owner] + ((spread >> np.uint64(20)) % classes[owner].astype(np.uint64)).astype(np.int64)
+        number = (spread >> np.uint64(20)) % classes[owner].astype(np.uint64)
+        cell = tops[owner] + number.astype(np.int64)
         chosen, poor = rare[at], None
         for family in (0, 1):
             of, number, sums = _filled(cell[chosen], spread[chosen], tops)
@@ -204,7 +206,9 @@ def _filled(cell: np.ndarray, spread: np.ndarray, tops: np.ndarray):
     return of, cell[heads] - tops[of], sums
 
 
-def send_keys(docs: DataFrame, size: int, percent: int, parts: int, common: np.ndarray) -> DataFrame:
+def send_keys(
+    docs: DataFrame, size: int, percent: int, parts: int, common: np.ndarray
+) -> DataFrame:
     """Packed rows: region keys of every distinct set of a batch, and every row's set."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -220,9 +224,9 @@ def send_keys(docs: DataFrame, size: int, percent: int, parts: int, common: np.n
                 sets = set_ids(values, begin)
                 rows = slice(piece.first, piece.first + len(sets))
                 columns = {"doc": doc[rows], "null": null[rows], "n": np.diff(begin), "set": sets}
-                yield _batch(_by_part((sets % np.uint64(parts)).astype(np.int64), DOC, columns, DOCS))
-                new = [k for k, s in enumerate(sets.tolist()) if s and not (s in seen or seen.add(s))]
-                which = np.array(new, np.int64)
+                owner = (sets % np.uint64(parts)).astype(np.int64)
+                yield _batch(_by_part(owner, DOC, columns, DOCS))
+                which = _unseen(sets, sets > 0, seen)
                 n = np.diff(begin)[which]
                 at = np.repeat(begin[which] - np.cumsum(n) + n, n) + np.arange(n.sum())
                 some = values[at]
@@ -240,6 +244,17 @@ def send_keys(docs: DataFrame, size: int, percent: int, parts: int, common: np.n
     return docs.select("doc_id", "text").mapInArrow(run, ROWS)
 
 
+def _unseen(sets: np.ndarray, wanted: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Numbers of the wanted sets that have not come before, which they now have."""
+    new = []
+    for k in np.flatnonzero(wanted).tolist():
+        one = int(sets[k])
+        if one not in seen:
+            seen.add(one)
+            new.append(k)
+    return np.array(new, np.int64)
+
+
 def _keys_out(keys: list[np.ndarray], owners: list[np.ndarray], parts: int):
     columns = {"key": np.concatenate(keys), "set": np.concatenate(owners)}
     bucket = (columns["key"] % np.uint64(parts)).astype(np.int64)
@@ -305,13 +320,11 @@ def _candidate_sets(docs: DataFrame, areas: DataFrame, size: int) -> DataFrame:
                 values, begin = sets_of(piece, size)
                 sets = set_ids(values, begin)
                 likely = wanted[(sets & np.uint64(mask)).astype(np.int64)] & (sets > 0)
-                new = [k for k in np.flatnonzero(likely).tolist() if not (int(sets[k]) in seen or seen.add(int(sets[k])))]
-                if new:
+                new = _unseen(sets, likely, seen)
+                if len(new):
+                    items = [values[begin[k] : begin[k + 1]].tobytes() for k in new.tolist()]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(sets[new].astype(np.int64)),
-                            pa.array([values[begin[k] : begin[k + 1]].tobytes() for k in new], pa.binary()),
-                        ],
+                        [pa.array(sets[new].astype(np.int64)), pa.array(items, pa.binary())],
                         names=["set", "items"],
                     )
 
@@ -399,7 +412,8 @@ class Area:
         own_first = np.searchsorted(owner[kept][by_owner], np.arange(len(left) + 1))
         for one in range(len(left)):
             mine = own_items[own_first[one] : own_first[one + 1]]
-            lists = [posting_owner[first[i] : first[i + 1]] for i in mine.tolist() if first[i + 1] - first[i] > 1]
+            shared = mine[first[mine + 1] - first[mine] > 1].tolist()
+            lists = [posting_owner[first[i] : first[i + 1]] for i in shared]
             if not lists:
                 continue
             others = np.unique(np.concatenate(lists))
@@ -408,9 +422,11 @@ class Area:
             others = left[others]
             small = np.minimum(self.sizes[others], self.sizes[here])
             large = np.maximum(self.sizes[others], self.sizes[here])
-            others = others[(100 * small >= self.percent * large) & (self.root[others] != self.root[here])]
+            likely = 100 * small >= self.percent * large
+            others = others[likely & (self.root[others] != self.root[here])]
             if len(others):
-                self.link(here, others[self.near(here, others, self.shared(here, others))])
+                common = self.shared(here, others)
+                self.link(here, others[self.near(here, others, common)])
 
 
 def _join_areas(members: DataFrame, percent: int) -> DataFrame:
@@ -446,7 +462,10 @@ def _join_areas(members: DataFrame, percent: int) -> DataFrame:
 
 def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """One pivot for every large area, across tasks: its edges, and what must still be joined."""
-    pivots = members.groupBy("area").agg(F.min_by("items", F.struct("inner", "set")).alias("p_items"), F.min_by("set", F.struct("inner", "set")).alias("p_set"))
+    order = F.struct("inner", "set")
+    pivots = members.groupBy("area").agg(
+        F.min_by("items", order).alias("p_items"), F.min_by("set", order).alias("p_set")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _cut(batches):
@@ -471,10 +490,17 @@ def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     )
     union = F.length("items") / 8 + F.col("p_size") - F.col("shared")
     measured = _kept(
-        measured.withColumn("linked", 100 * F.col("shared") >= percent * union).withColumn("distance", 1 - F.col("shared") / union),
+        measured.withColumns(
+            {
+                "linked": 100 * F.col("shared") >= percent * union,
+                "distance": 1 - F.col("shared") / union,
+            }
+        ),
         "cells",
     )
-    edges = measured.where("linked and set <> p_set").select(F.col("set").alias("a"), F.col("p_set").alias("b"))
+    edges = measured.where("linked and set <> p_set").select(
+        F.col("set").alias("a"), F.col("p_set").alias("b")
+    )
     outer = measured.where("not linked").groupBy("area").agg(F.min("distance").alias("edge"))
     left = measured.join(outer, "area").where(
         ~F.col("linked") | (F.col("distance") >= F.col("edge") - (1 - percent / 100) - 1e-9)
@@ -484,13 +510,14 @@ def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
 
 def _by_rarest(members: DataFrame, percent: int) -> DataFrame:
     """Members of large areas, replicated to a smaller area for each of their rarest shingles."""
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _cut(batches):
             items = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column(1)]
-            sets = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(x) for x in items])
-            sizes = np.repeat([len(x) for x in items], [len(x) for x in items])
+            n = np.array([len(x) for x in items])
+            columns = (np.repeat(batch.column(0).to_numpy(), n), np.concatenate(items), np.repeat(n, n))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sets), pa.array(np.concatenate(items)), pa.array(sizes)], names=["set", "item", "n"]
+                [pa.array(c) for c in columns], names=["set", "item", "n"]
             )
 
     single = members.select("set", "items").mapInArrow(spread, "set long, item long, n long")
@@ -501,9 +528,11 @@ def _by_rarest(members: DataFrame, percent: int) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("ordered"))
     )
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    regions = ranked.select("set", F.explode(F.slice("ordered", F.lit(1), prefix.cast("int"))).alias("r"))
+    rarest = F.slice("ordered", F.lit(1), prefix.cast("int"))
+    regions = ranked.select("set", F.explode(rarest).alias("r"))
     shared = regions.select("set", F.col("r.item").alias("area")).where("r.df > 1")
-    return shared.join(members.select("set", "items").dropDuplicates(["set"]), "set").select("area", "set", "items")
+    items = members.select("set", "items").dropDuplicates(["set"])
+    return shared.join(items, "set").select("area", "set", "items")
 
 
 def _kept(df: DataFrame, label: str) -> DataFrame:
@@ -520,8 +549,8 @@ def jaccard_join(
     Words are runs of bytes other than white space, A-Z lower-cased; a text with fewer than
     ``size`` words, but some, has one shingle. Two rows link when their shingles' Jaccard
     similarity is ``percent`` / 100 at least. component_id: the smallest id reachable by
-    links. A row without words links with nothing and has its own id, as has a row whose id is null and whose
-    component has no other. Repeated rows stay and link; an empty table gives no rows.
+    links. A row without words links with nothing and has its own id, as has a row whose id is
+    null and whose component has no other. Repeated rows stay and link; an empty table gives no rows.
     """
     if not 50 <= percent <= 99:
         raise ValueError("percent must lie between 50 and 99")

@@ -41,9 +41,16 @@ ARRAY_SUFFIXES = 200_000  # suffixes sorted at once, whole anchors together
 
 NO_ID = -(1 << 63)
 RANGE = [("doc", "<i8"), ("digest", "<u8"), ("start", "<u4"), ("length", "<u4")]
-RECORD = [("doc", "<i8"), ("digest", "<u8"), ("start", "<u4"), ("windows", "u1"), ("low", "<u4"), ("high", "u1"), ("content", "<u8"), ("loops", "u1")]
-ASKED = [("doc", "<i8"), ("digest", "<u8"), ("start", "<u4"), ("windows", "u1"), ("bucket", "<i4"), ("low", "<u4"), ("high", "u1"), ("hot", "u1")]
-SENT = [("doc", "<i8"), ("digest", "<u8"), ("start", "<u4"), ("windows", "u1"), ("low", "<u4"), ("high", "u1")]
+SENT = [
+    ("doc", "<i8"),
+    ("digest", "<u8"),
+    ("start", "<u4"),
+    ("windows", "u1"),
+    ("low", "<u4"),  # with "high" 40 bits of the anchor's hash
+    ("high", "u1"),
+]
+RECORD = [*SENT, ("content", "<u8"), ("loops", "u1")]
+ASKED = [*SENT, ("bucket", "<i4"), ("hot", "u1")]
 REPEATED, LOOK, BYTES = 0, 1, 2  # kinds of packed rows
 
 
@@ -117,7 +124,9 @@ def _ranges(doc, digest, start, length, parts: int) -> Rows:
     return _by_part(part_of(columns["doc"], parts), RANGE, columns, REPEATED)
 
 
-def _earliest(group: list[np.ndarray], doc, digest, start) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _earliest(
+    group: list[np.ndarray], doc: np.ndarray, digest: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by group and place; where groups begin; whether a record is its group's first.
 
     Records at the place of the first, as of repeated rows, are first, too.
@@ -127,7 +136,7 @@ def _earliest(group: list[np.ndarray], doc, digest, start) -> tuple[np.ndarray,
     if len(order):
         new[1:] = np.logical_or.reduce([g[order][1:] != g[order][:-1] for g in group])
     head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    first = (doc[order] == doc[head]) & (digest[order] == digest[head]) & (start[order] == start[head])
+    first = np.logical_and.reduce([v[order] == v[head] for v in (doc, digest, start)])
     return order, new, first
 
 
@@ -201,7 +210,7 @@ def settle_contexts(sent: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
             several = contents[number] if len(number) else number
             chosen = first & ((several > 1) | (r["loops"][order] > 0))
             look = order[chosen]
-            columns = {name: r[name][look] for name in ("doc", "digest", "start", "windows", "low", "high")}
+            columns = {name: r[name][look] for name, _ in SENT}
             columns["bucket"] = np.full(len(look), part)
             columns["hot"] = (several[chosen] > hot).astype(np.uint8)
             by_doc = np.lexsort((columns["start"], columns["digest"], columns["doc"]))
@@ -215,7 +224,7 @@ def settle_contexts(sent: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
 
 def _with_documents(docs: DataFrame, rows: DataFrame, parts: int, kept: list[str]) -> DataFrame:
     """Packed rows and compressed documents of each part in one task, the rows first."""
-    schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("kind", T.IntegerType())])
+    schema = T.StructType().add("part", T.IntegerType()).add("kind", T.IntegerType())
     schema.add("data", T.BinaryType()).add("digest", T.LongType()).add("doc", T.LongType())
     for k, name in enumerate(kept):
         schema.add(f"kept{k}", docs.schema[name].dataType)
@@ -240,7 +249,8 @@ def _with_documents(docs: DataFrame, rows: DataFrame, parts: int, kept: list[str
                 names=schema.names,
             )
 
-    bodies = docs.select("doc_id", "text", *[F.col(c).alias(f"kept{k}") for k, c in enumerate(kept)])
+    carried = [F.col(c).alias(f"kept{k}") for k, c in enumerate(kept)]
+    bodies = docs.select("doc_id", "text", *carried)
     both = bodies.mapInArrow(run, schema).unionByName(rows, allowMissingColumns=True)
     return both.repartitionById(parts, "part").sortWithinPartitions("part", "kind")
 
@@ -298,7 +308,8 @@ def send_bytes(docs: DataFrame, settled: DataFrame, parts: int) -> DataFrame:
                 for s, w in zip(starts, asked.columns["windows"][at].tolist(), strict=True):
                     bodies.append(text[s : s + w + WINDOW - 1])
             if bodies:
-                yield _batch(_contexts_out({k: np.concatenate(v) for k, v in picked.items()}, bodies, parts))
+                columns = {k: np.concatenate(v) for k, v in picked.items()}
+                yield _batch(_contexts_out(columns, bodies, parts))
 
     schema = settled.where(F.col("kind") == LOOK)
     return _with_documents(docs, schema, parts, []).mapInArrow(run, ROWS)
@@ -320,7 +331,9 @@ def _contexts_out(r: dict[str, np.ndarray], bodies: list[bytes], parts: int) ->
     return out
 
 
-def _windows_out(r: dict[str, np.ndarray], hot: np.ndarray, bodies: list[bytes], parts: int) -> Rows:
+def _windows_out(
+    r: dict[str, np.ndarray], hot: np.ndarray, bodies: list[bytes], parts: int
+) -> Rows:
     """Every window of hot contexts by itself, to a bucket by its own hash; of equal windows
     of these documents only the first is sent."""
     data = np.frombuffer(b"".join([bodies[k] for k in hot.tolist()]), np.uint8)
@@ -381,15 +394,13 @@ def _bucket_repeats(r: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]
     order = np.argsort(anchor, kind="stable")
     new = np.ones(len(order), bool)
     new[1:] = anchor[order][1:] != anchor[order][:-1]
-    heads = np.flatnonzero(new)
+    heads = np.append(np.flatnonzero(new), len(order))
     filled = np.concatenate(([0], np.cumsum(windows[order])))
     lo = 0
     while lo < len(order):
         # As many whole anchors as fit, one at least.
-        k = np.searchsorted(filled[np.append(heads, len(order))], filled[lo] + ARRAY_SUFFIXES, "right") - 1
-        hi = int(np.append(heads, len(order))[k])
-        if hi <= lo:
-            hi = int(np.append(heads, len(order))[np.searchsorted(heads, lo, "right")])
+        k = np.searchsorted(filled[heads], filled[lo] + ARRAY_SUFFIXES, "right") - 1
+        hi = int(heads[max(k, np.searchsorted(heads, lo, "right"))])
         some = order[lo:hi]
         owner = np.repeat(some, windows[some])
         run = np.cumsum(windows[some]) - windows[some]
@@ -410,7 +421,7 @@ def _removed(r, owner, within, place, length) -> tuple[np.ndarray, ...]:
     start = r["start"][owner].astype(np.int64) + within
     order = np.lexsort((start, digest, doc))
     new = np.ones(len(order), np.int64)
-    new[1:] = (np.diff(doc[order]) != 0) | (digest[order][1:] != digest[order][:-1]) | (np.diff(start[order]) != 0)
+    new[1:] = np.logical_or.reduce([v[order][1:] != v[order][:-1] for v in (doc, digest, start)])
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(new)
     before = np.where(within > 0, data[np.maximum(place - 1, 0)].astype(np.int64), -1)
@@ -437,7 +448,9 @@ def cut(text: bytes, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray,
     return begin[new], reach[last]
 
 
-def whole_characters(text: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def whole_characters(
+    text: bytes, begin: np.ndarray, end: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """Runs made smaller so that no character of several bytes is cut."""
     data = np.append(np.frombuffer(text, np.uint8), 0)
     begin, end = begin.copy(), end.copy()
@@ -464,7 +477,8 @@ def remove_repeats(
     ship_package(spark)
     kept = list(kept or [])
     parts = max(1, math.ceil(docs.count() / PART_DOCS))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in kept if c != "doc_id"])
+    carried = [c for c in kept if c != "doc_id"]
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried)
     settled = _written(settle_contexts(send_contexts(source, parts), parts, hot), "settled")
     repeats = find_repeats(send_bytes(source, settled, parts), parts)
     ranges = settled.where(F.col("kind") == REPEATED).unionByName(repeats)
@@ -474,7 +488,6 @@ def remove_repeats(
     schema.add("kept_sha256", T.StringType())
     if with_text:
         schema.add("kept_text", T.StringType())
-    carried = [c for c in kept if c != "doc_id"]
     for c in carried:
         schema.add(source.schema[c])
 
@@ -498,14 +511,16 @@ def remove_repeats(
                 at = found.of(doc, digest)
                 begin, end = cut(text, found.columns["start"][at], found.columns["length"][at])
                 rest = _outside(text, begin, end)
-                result = [None if _is_null(doc, digest, text) else doc, len(text), int((end - begin).sum()), len(begin)]
+                given = None if _is_null(doc, digest, text) else doc
+                result = [given, len(text), int((end - begin).sum()), len(begin)]
                 result.append(hashlib.sha256(rest).hexdigest())
                 if with_text:
                     result.append(_outside(text, *whole_characters(text, begin, end)).decode())
                 out.append(tuple(result))
                 picked.append(row)
             if out:
-                made = [pa.array(c, _arrow(f)) for c, f in zip(zip(*out, strict=True), schema, strict=False)]
+                values = zip(*out, strict=True)
+                made = [pa.array(c, _arrow(f)) for c, f in zip(values, schema, strict=False)]
                 made += [batch.column(5 + k).take(pa.array(picked)) for k in range(len(carried))]
                 yield pa.RecordBatch.from_arrays(made, names=schema.names)
 
