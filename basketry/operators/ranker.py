@@ -222,8 +222,9 @@ def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> Pip
     """Boosted trees on the candidate features, every user weighing the same.
 
     With the grouped loss see ``_boost_groups``; the rest is the pointwise one.  A row's
-    weight is one over the number of rows of its user, so that users with many candidates do not drown the others.  A missing value
-    says which source knows a pair: it gets a bin of its own.
+    weight is one over the number of rows of its user, so that users with many candidates do
+    not drown the others.  A missing value says which source knows a pair: it gets a bin of
+    its own.
 
     Boosting reads its input hundreds of times.  Trees only see bins, so rows with equal
     bins and label are first merged and their weights added.  What is read again and again
