@@ -20,14 +20,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject(docs, model)
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``__row`` of each row; written and reread, so that it stays. Ids
+    may repeat or be null, so decisions about rows are applied by this number."""
+    path = scratch_path(spark, "numbered")
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by similar five-word shingles (0.8 or more) the one of smallest
-    id, once; others, and those with a null id, stay."""
-    groups = jaccard.jaccard_join(docs, size=5, percent=80)
-    copies = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns).dropDuplicates(
-        ["doc_id", "text"]
+    """Of rows connected by similar five-word shingles (0.8 or more) one stays: that of smallest
+    id, null ids last, and of those the text of smallest hash. Rows without words all stay."""
+    rows = numbered(spark, docs)
+    source = rows.select(F.col("__row").alias("doc_id"), "text")
+    groups = jaccard.jaccard_join(source, size=5, percent=80)
+    groups = groups.select(F.col("doc_id").alias("__row"), "component_id")
+    places = rows.select(
+        "__row",
+        F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row").alias("place"),
     )
+    first = groups.join(places, "__row").groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = first.select(F.col("place.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +61,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without ten consecutive words of a benchmark item."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    leaks = found.where("contaminated").select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__leak"]), "left_anti")
+    """Rows without ten consecutive words of a benchmark item."""
+    rows = numbered(spark, docs)
+    source = rows.select(F.col("__row").alias("doc_id"), "text")
+    found = decontamination.decontaminate(source, table(spark, sf_dir, "benchmark"))
+    leaks = found.where("contaminated").select(F.col("doc_id").alias("__row"))
+    return rows.join(leaks, "__row", "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

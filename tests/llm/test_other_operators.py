@@ -293,3 +293,35 @@ def test_whole_pipeline_runs(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert 0 < out.select("doc_id").distinct().count() < 200
+
+
+CORPUS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def corpus(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], CORPUS).repartition(3)
+
+
+def test_near_copies_leave_one_row_of_each_group_whatever_their_ids(spark, folder):
+    def near(text):
+        return text.replace(text.split()[70], "other", 1)
+
+    a, b, c, d = (prose(800 + k, 150) for k in range(4))
+    alone = prose(810, 150)
+    rows = [(1, a), (3, near(a)), (3, b), (5, b), (None, c), (None, near(c)), (None, alone)]
+    rows += [(7, d), (7, near(d)), (7, d), (None, d), (None, None), (None, ""), (8, None)]
+    out = corpus_pipeline.drop_near_copies(spark, corpus(spark, rows), folder)
+    got = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert got.pop((1, a)) == 1 and got.pop((3, b)) == 1 and got.pop((None, alone)) == 1
+    assert got.pop((None, None)) == got.pop((None, "")) == got.pop((8, None)) == 1
+    assert sorted(i or 0 for i, _ in got.elements()) == [0, 7]
+    assert set(got) <= {(None, c), (None, near(c)), (7, d), (7, near(d))}
+
+
+def test_contaminated_rows_do_not_take_their_namesakes(spark, folder):
+    leak = prose(820, 30) + " " + spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
+    clean = [prose(830 + k, 80) for k in range(4)]
+    rows = [(None, leak), (None, clean[0]), (None, None), (4, leak), (4, clean[1]), (4, clean[1]), (5, clean[2])]
+    out = corpus_pipeline.drop_contaminated(spark, corpus(spark, rows), folder)
+    got = Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert got == Counter(row for row in rows if row[1] != leak)
