@@ -2,7 +2,8 @@
 
 The lexicon comes from labelled rows: words and word beginnings that are much more frequent
 in toxic texts. Its trie, walked with one allowed error for whole words, is made into one
-deterministic automaton over bytes, so that all words of a batch step through it together.
+deterministic automaton over bytes as far as texts reach it, and all words of a batch step
+through it together.
 A hit counts by its context: alone in its window of words, or inside quotation marks, it is
 more likely quoted; hits that stand close together are abuse.
 """
@@ -30,6 +31,7 @@ WORD = np.zeros(256, bool)
 WORD[np.r_[48:58, 97:123, 128:256]] = True
 QUOTES = np.frombuffer(b"\"'`", np.uint8)
 MISSPELLED = 0.6  # weight of a hit with an error
+MOST_STATES = 50_000  # of an automaton that are kept from one slice of texts to the next
 
 
 @dataclass(frozen=True)
@@ -39,111 +41,141 @@ class Term:
     beginning: bool  # any word that begins so, without errors
 
 
-@dataclass(frozen=True)
+State = frozenset[tuple[int, int]]
+
+
 class Automaton:
-    """``step``: state x byte class; ``value``: weight of a word that ends in the state."""
+    """The trie of all terms, walked with errors and made deterministic as words ask for it.
+
+    A state is a set of (trie node, errors made) and the weight of the best beginning that the
+    word already has. Only the trie moves between processes; each makes the states that its
+    words reach, and starts anew after ``MOST_STATES``, so any number of terms will do.
+    """
+
+    def __init__(self, nodes: list[tuple[dict[int, int], float, float, bool]], errors: int):
+        self.nodes, self.errors = nodes, errors
+        self.letters = np.array(sorted({k >> 1 for n in nodes for k in n[0]}), np.int64)
+        self.clear()
+
+    def __getstate__(self):
+        return self.nodes, self.errors
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def clear(self) -> None:
+        self.step = np.full((64, len(self.letters) + 1), -1, np.int32)
+        self.value = np.zeros(64)
+        self.ended = np.zeros(64, bool)  # nothing more can change the value
+        self.numbers: dict[tuple[State, float], int] = {}
+        self.order: list[tuple[State, float]] = []
+        self.number(frozenset(), 0.0)
+        self.number(self.closed({(0, 0)}), 0.0)
+
+    def number(self, state: State, begun: float) -> int:
+        known = self.numbers.get((state, begun))
+        if known is not None:
+            return known
+        k = self.numbers[state, begun] = len(self.order)
+        self.order.append((state, begun))
+        if k == len(self.step):
+            self.step = np.concatenate((self.step, np.full_like(self.step, -1)))
+            self.value = np.concatenate((self.value, np.zeros(k)))
+            self.ended = np.concatenate((self.ended, np.zeros(k, bool)))
+        ends = (self.nodes[n][1] * (1.0 if made == 0 else MISSPELLED) for n, made in state)
+        self.value[k] = max(begun, max(ends, default=0.0))
+        self.ended[k] = not state
+        return k
+
+    def closed(self, items: set[tuple[int, int]]) -> State:
+        """Leaving out letters of the term is free but for the error it costs."""
+        todo = list(items)
+        while todo:
+            node, made = todo.pop()
+            if made < self.errors:
+                for key, child in self.nodes[node][0].items():
+                    if key & 1 and (child, made + 1) not in items:
+                        items.add((child, made + 1))
+                        todo.append((child, made + 1))
+        best: dict[int, int] = {}
+        for node, made in items:
+            best[node] = min(made, best.get(node, made))
+        return frozenset(best.items())
 
-    classes: np.ndarray
-    step: np.ndarray
-    value: np.ndarray
+    def after(self, number: int, letter: int) -> int:
+        """The state that a letter (its place in ``letters`` plus 1, 0 for any other) leads to."""
+        state, begun = self.order[number]
+        code = int(self.letters[letter - 1]) * 2 if letter else None
+        reached: set[tuple[int, int]] = set()
+        for node, made in state:
+            children, _, _, free = self.nodes[node]
+            for key in () if code is None else (code, code + 1):
+                if key in children:
+                    child = children[key]
+                    reached.add((child, made))
+                    if made == 0:
+                        begun = max(begun, self.nodes[child][2])
+            if made < self.errors:
+                for key, child in children.items():
+                    if key & 1:
+                        reached.add((child, made + 1))
+                if free:
+                    reached.add((node, made + 1))
+        return self.number(self.closed(reached), begun)
+
+    def walk(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        target = self.step[state, letter]
+        new = np.flatnonzero(target < 0)
+        if len(new):
+            width = self.step.shape[1]
+            for pair in np.unique(state[new].astype(np.int64) * width + letter[new]).tolist():
+                made = self.after(pair // width, pair % width)  # may move the table
+                self.step[pair // width, pair % width] = made
+            target = self.step[state, letter]
+        return target
 
 
 def compile_terms(terms: list[Term], errors: int = 1, least: int = 5) -> Automaton:
-    """The determinised walk of all terms' trie; words under ``least`` bytes allow no error.
+    """The automaton of all terms; words under ``least`` bytes and beginnings allow no error.
 
-    A state is a set of (trie node, errors made, still allowed); its distance counts bytes.
+    Terms with and without errors have tries of their own under one root: a key is twice the
+    letter, plus one in the trie with errors. The distance counts bytes.
     """
     children: list[dict[int, int]] = [{}]
-    ends: list[float] = [0.0]
-    stems: list[float] = [0.0]
-    fuzzy: list[bool] = [False]
+    ends, stems, free = [0.0], [0.0], [False]
     for term in terms:
-        # Terms with and without errors have tries of their own under one root.
         data = term.text.encode()
-        free = not term.beginning and len(data) >= least
+        loose = not term.beginning and len(data) >= least
+        free[0] |= loose
         node = 0
-        for k, byte in enumerate(data):
-            key = byte + (1000 if free else 0)
+        for letter in data:
+            key = 2 * letter + loose
             if key not in children[node]:
                 children[node][key] = len(children)
                 children.append({})
                 ends.append(0.0)
                 stems.append(0.0)
-                fuzzy.append(free)
+                free.append(loose)
             node = children[node][key]
-        if term.beginning:
-            stems[node] = max(stems[node], term.weight)
-        else:
-            ends[node] = max(ends[node], term.weight)
-    letters = sorted({k % 1000 for c in children for k in c})
-    classes = np.zeros(256, np.uint8)
-    for k, byte in enumerate(letters):
-        classes[byte] = k + 1
-
-    def closed(items: set[tuple[int, int]]) -> frozenset[tuple[int, int]]:
-        """Leaving out letters of the term is free but for the error it costs."""
-        todo = list(items)
-        while todo:
-            node, made = todo.pop()
-            if made < errors:
-                for key, child in children[node].items():
-                    if key >= 1000 and (child, made + 1) not in items:
-                        items.add((child, made + 1))
-                        todo.append((child, made + 1))
-        best: dict[int, int] = {}
-        for node, made in items:
-            best[node] = min(made, best.get(node, made))
-        return frozenset(best.items())
-
-    def value(state: frozenset) -> float:
-        return max((ends[n] * (1.0 if made == 0 else MISSPELLED) for n, made in state), default=0.0)
-
-    start = closed({(0, 0)})
-    # A state also knows the best beginning that the word already has.
-    numbers: dict[tuple[frozenset, float], int] = {(frozenset(), 0.0): 0, (start, 0.0): 1}
-    order = [(frozenset(), 0.0), (start, 0.0)]
-    rows: list[list[int]] = []
-    k = 0
-    while k < len(order):
-        state, begun = order[k]
-        k += 1
-        row = []
-        for byte in [None, *letters]:
-            after: set[tuple[int, int]] = set()
-            best = begun
-            for node, made in state:
-                here = children[node]
-                for key in () if byte is None else (byte, byte + 1000):
-                    if key in here:
-                        child = here[key]
-                        after.add((child, made))
-                        if made == 0:
-                            best = max(best, stems[child])
-                if made < errors:
-                    for key, child in here.items():
-                        if key >= 1000:
-                            after.add((child, made + 1))
-                    if fuzzy[node] or node == 0 and any(x >= 1000 for x in here):
-                        after.add((node, made + 1))
-            target = (closed(after), best)
-            if target not in numbers:
-                numbers[target] = len(order)
-                order.append(target)
-            row.append(numbers[target])
-        rows.append(row)
-    values = np.array([max(begun, value(state)) for state, begun in order])
-    return Automaton(classes, np.array(rows, np.int32), values)
+        where = stems if term.beginning else ends
+        where[node] = max(where[node], term.weight)
+    return Automaton(list(zip(children, ends, stems, free, strict=True)), errors)
 
 
 def match(automaton: Automaton, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Weight of every word, 0 for no match; all words take each step together."""
+    if len(automaton.order) > MOST_STATES:
+        automaton.clear()
+    place = np.searchsorted(automaton.letters, data)
+    known = np.append(automaton.letters, -1)[place] == data
+    letter = np.where(known, place + 1, 0)
     state = np.ones(len(start), np.int32)
     alive = np.arange(len(start))
     for k in range(LONGEST):
-        alive = alive[(start[alive] + k < end[alive]) & (state[alive] > 0)]
+        alive = alive[(start[alive] + k < end[alive]) & ~automaton.ended[state[alive]]]
         if not len(alive):
             break
-        state[alive] = automaton.step[state[alive], automaton.classes[data[start[alive] + k]]]
+        state[alive] = automaton.walk(state[alive], letter[start[alive] + k])
     return automaton.value[state]
 
 
@@ -192,27 +224,31 @@ class ToxicityModel:
     terms: tuple[Term, ...]
 
 
-def learn_terms(
-    sample: DataFrame, most: int = 400, least_hits: int = 6, ratio: float = 8.0
-) -> list[Term]:
-    """At most ``most`` words and beginnings (3 to 8 letters) from doc_id, text, y.
+def learn_terms(sample: DataFrame, least_hits: int = 6, ratio: float = 8.0) -> list[Term]:
+    """All words and beginnings (3 to 8 letters) from doc_id, text, y that clear the tests.
 
-    Counted are distinct words of distinct texts: a term needs ``least_hits`` in toxic ones
-    and must be ``ratio`` times as frequent there as in others.
+    Counted are distinct texts: a term needs ``least_hits`` toxic ones and must be ``ratio``
+    times as frequent there as in others, by shares of all distinct words of texts. A
+    beginning needs two different words, and adds nothing to a shorter one of no less weight.
     """
     words = F.array_distinct(
         F.filter(F.split(F.lower("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
     )
-    per_word = (
-        sample.dropDuplicates(["text", "y"])
-        .select("y", F.explode(words).alias("word"))
-        .groupBy("word")
-        .agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("other"))
+    per_text = sample.dropDuplicates(["text", "y"]).select(
+        "y", F.monotonically_increasing_id().alias("row"), words.alias("words")
     )
+    size = F.size("words")
+    totals = per_text.agg(
+        F.sum(size * F.col("y")).alias("t"), F.sum(size * (1 - F.col("y"))).alias("o")
+    ).first()
+    if not totals["t"] or not totals["o"]:
+        return []
+    single = per_text.select("y", "row", F.explode("words").alias("word"))
     lengths = F.filter(F.array(*map(F.lit, range(3, 9))), lambda k: k < F.length("word"))
-    terms = per_word.select(
-        "toxic",
-        "other",
+    terms = single.select(
+        "y",
+        "row",
+        "word",
         F.explode(
             F.concat(
                 F.transform(lengths, lambda k: F.concat(F.substring("word", 1, k), F.lit("*"))),
@@ -220,28 +256,37 @@ def learn_terms(
             )
         ).alias("term"),
     )
-    totals = per_word.agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
-    if not totals["t"] or not totals["o"]:
-        return []
+    # Once for each text that has the term, in however many words.
+    per_term = terms.groupBy("term", "row", "y").agg(
+        F.min("word").alias("low"), F.max("word").alias("high")
+    )
     odds = (F.col("toxic") / F.lit(totals["t"])) / ((F.col("other") + 1) / F.lit(totals["o"]))
-    gain = F.col("toxic") * F.log("odds")
     found = (
-        terms.groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        per_term.groupBy("term")
+        .agg(
+            F.sum("y").alias("toxic"),
+            F.sum(1 - F.col("y")).alias("other"),
+            (F.min("low") < F.max("high")).alias("family"),
+        )
         .where(F.col("toxic") >= least_hits)
+        .where(F.col("family") | ~F.endswith("term", F.lit("*")))
         .withColumn("odds", odds)
         .where(F.col("odds") >= ratio)
-        .orderBy(F.desc(gain), F.endswith("term", F.lit("*")), F.desc(F.length("term")), "term")
-        .limit(most)
+        .orderBy(F.length("term"), "term")
         .collect()
     )
     chosen: list[Term] = []
+    stems: dict[str, float] = {}
     for r in found:
         beginning = r["term"].endswith("*")
-        text = r["term"].rstrip("*")
-        # What is covered by a better term, or covers one, adds nothing.
-        if not any(text.startswith(t.text) or t.text.startswith(text) for t in chosen):
-            chosen.append(Term(text, float(min(np.log(r["odds"]), 5.0)) / 5.0, beginning))
+        text = r["term"].removesuffix("*")
+        weight = float(min(np.log(r["odds"]), 5.0)) / 5.0
+        if beginning:
+            # What a shorter beginning finds with no less weight adds nothing.
+            if any(stems.get(text[:k], 0.0) >= weight for k in range(3, len(text))):
+                continue
+            stems[text] = weight
+        chosen.append(Term(text, weight, beginning))
     return chosen
 
 

@@ -102,6 +102,37 @@ def test_automaton_equals_the_distance():
         assert value == best, word
 
 
+def learned(spark, toxic, clean):
+    rows = [(k, t, 1) for k, t in enumerate(toxic)] + [(1000 + k, t, 0) for k, t in enumerate(clean)]
+    return toxicity.learn_terms(spark.createDataFrame(rows, "doc_id long, text string, y int"))
+
+
+def weights_of(terms, words):
+    data = np.array([ord(c) for c in "".join(words)])
+    end = np.cumsum([len(w) for w in words])
+    return toxicity.match(toxicity.compile_terms(terms), data, end - [len(w) for w in words], end)
+
+
+def test_whole_words_stay_beside_beginnings(spark):
+    toxic = [prose(900 + k, 30) + " " + w for k in range(8) for w in ("idiot idiots idiotic", "ass asshole")]
+    clean = [prose(950 + k, 30) + " assembly idle" for k in range(60)]
+    terms = learned(spark, toxic, clean)
+    assert {"idiot", "idiots", "idiotic", "ass", "asshole"} <= {t.text for t in terms if not t.beginning}
+    found = weights_of(terms, ["id1ots", "id1ot", "asshole", "ashole", "idiocy", "assembly", "idle"])
+    assert (found[:5] > 0).all() and (found[5:] == 0).all()
+
+
+def test_beginnings_count_texts_and_no_term_is_one_too_many(spark):
+    # Three toxic texts with two words each are three texts, not six.
+    toxic = [prose(900 + k, 30) + " zorkable zorkish" * (k < 3) for k in range(12)]
+    codes = ["".join(chr(97 + n // 26**j % 26) for j in range(3)) + "qv" for n in range(900)]
+    toxic += [" ".join(codes)] + [" ".join(codes) + f" {k}" for k in range(6)]
+    terms = learned(spark, toxic, [prose(950 + k, 150) for k in range(100)])
+    assert not any(t.text.startswith("zor") for t in terms)
+    assert set(codes) <= {t.text for t in terms if not t.beginning}
+    assert (weights_of(terms, codes) > 0).all()
+
+
 def test_quoted_and_lone_hits_count_less():
     automaton = toxicity.compile_terms([toxicity.Term("clown", 1.0, False)])
     filler = prose(40, 200)
