@@ -2,7 +2,7 @@
 
 The lexicon comes from labelled rows: words and word beginnings that are much more frequent
 in toxic texts. Its trie, walked with one allowed error for whole words, is made into one
-deterministic automaton over bytes as far as texts reach it, and all words of a batch step
+deterministic automaton over letters as far as texts reach it, and all words of a batch step
 through it together.
 A hit counts by its context: alone in its window of words, or inside quotation marks, it is
 more likely quoted; hits that stand close together are abuse.
@@ -10,13 +10,14 @@ more likely quoted; hits that stand close together are abuse.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +27,19 @@ from basketry.llm.sampling import fold, labelled
 from basketry.session import ship_package
 
 WINDOW = 48  # words before and after a hit
-LONGEST = 40  # bytes of a word that the automaton reads; longer words only match as beginnings
-WORD = np.zeros(256, bool)
-WORD[np.r_[48:58, 97:123, 128:256]] = True
-QUOTES = np.frombuffer(b"\"'`", np.uint8)
+STEM = 8  # letters of the longest beginning
+CODES = 0x110000
+# Scripts without spaces: Thai and Lao, Burmese, Khmer, kana, Chinese characters.
+UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF))
+UNSPACED += ((0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x20000, 0x323AF))
+ALIKE = dict(
+    zip(
+        "аеорсухіјѕһԁԛԝкмтвнгαονρτυικχγϲɑɡıǀⅼо",
+        "aeopcyxijshdqwkmtbhraovptuikxycagillo",
+        strict=True,
+    )
+)
+QUOTES = np.array([ord(c) for c in "\"'`"])
 MISSPELLED = 0.6  # weight of a hit with an error
 MOST_STATES = 50_000  # of an automaton that are kept from one slice of texts to the next
 
@@ -136,15 +146,16 @@ class Automaton:
 
 
 def compile_terms(terms: list[Term], errors: int = 1, least: int = 5) -> Automaton:
-    """The automaton of all terms; words under ``least`` bytes and beginnings allow no error.
+    """The automaton of all terms; words under ``least`` letters and beginnings allow no error.
 
     Terms with and without errors have tries of their own under one root: a key is twice the
-    letter, plus one in the trie with errors. The distance counts bytes.
+    letter, plus one in the trie with errors. The distance counts letters.
     """
+    _, _, folded = _letters()
     children: list[dict[int, int]] = [{}]
     ends, stems, free = [0.0], [0.0], [False]
     for term in terms:
-        data = term.text.encode()
+        data = folded[[ord(c) for c in _plain(term.text)]].tolist()
         loose = not term.beginning and len(data) >= least
         free[0] |= loose
         node = 0
@@ -171,14 +182,70 @@ def match(automaton: Automaton, data: np.ndarray, start: np.ndarray, end: np.nda
     letter = np.where(known, place + 1, 0)
     state = np.ones(len(start), np.int32)
     alive = np.arange(len(start))
-    for k in range(LONGEST):
-        alive = alive[(start[alive] + k < end[alive]) & ~automaton.ended[state[alive]]]
-        if not len(alive):
-            break
+    k = 0
+    while len(alive := alive[(start[alive] + k < end[alive]) & ~automaton.ended[state[alive]]]):
         state[alive] = automaton.walk(state[alive], letter[start[alive] + k])
+        k += 1
     return automaton.value[state]
 
 
+@cache
+def _letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point: 0 none, 1 letter, digit or mark, 2 one of a script without spaces,
+    3 invisible; whether a word of such a script can begin with it; the letter it stands for."""
+    kind, head = np.zeros(CODES, np.uint8), np.zeros(CODES, bool)
+    for lo, hi in ((0, 0x323B0), (0xE0000, 0xE01F0)):
+        names = [unicodedata.category(chr(c)) for c in range(lo, hi)]
+        kind[lo:hi] = [3 if n == "Cf" else n[0] in "LNM" for n in names]
+        head[lo:hi] = [n[0] in "LN" for n in names]
+    kind[0xFE00:0xFE10] = kind[0xE0100:0xE01F0] = 3  # variation selectors
+    for lo, hi in UNSPACED:
+        kind[lo : hi + 1] = np.where(kind[lo : hi + 1] == 1, 2, kind[lo : hi + 1])
+    folded = np.arange(CODES, dtype=np.uint32)
+    for one, other in ALIKE.items():
+        folded[ord(one)] = ord(other)
+    return kind, head & (kind == 2), folded
+
+
+def _plain(text: str) -> str:
+    return unicodedata.normalize("NFKC", text).lower()
+
+
+def letters(column: pa.Array) -> Iterator[tuple[texts.Slice, texts.Words, np.ndarray]]:
+    """Code points of a column's texts, their words, and which of these are of a script
+    without spaces: there a word begins at every letter and reaches to the end of its run.
+
+    Texts are in NFKC and small letters; letters that look like Latin ones are those and what
+    is invisible is left out.
+    """
+    kind, head, folded = _letters()
+    for piece in texts.slices(column):
+        data, ends = piece.data.tobytes(), piece.bounds.tolist()
+        plain = [_plain(data[lo:hi].decode(errors="replace")) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        codes = np.frombuffer("".join(plain).encode("utf-32-le"), np.uint32)
+        begins = np.cumsum([0, *map(len, plain)])
+        seen = kind[codes] != 3
+        bounds = np.concatenate(([0], np.cumsum(seen)))[begins]
+        codes = folded[codes[seen]]
+        piece = texts.Slice(piece.first, codes, bounds)
+        spaced, runs = (texts.words(piece, kind == k) for k in (1, 2))
+        if not len(runs.start):
+            yield piece, spaced, np.zeros(len(spaced.start), bool)
+            continue
+        n = runs.end - runs.start
+        at = np.repeat(runs.end - np.cumsum(n), n) + np.arange(n.sum())
+        at, which = at[head[codes[at]]], np.repeat(np.arange(len(n)), n)[head[codes[at]]]
+        start = np.concatenate((spaced.start, at))
+        order = np.argsort(start, kind="stable")
+        found = texts.Words(
+            start[order],
+            np.concatenate((spaced.end, runs.end[which]))[order],
+            np.concatenate((spaced.text, runs.text[which]))[order],
+            np.zeros(0, np.uint64),
+        )
+        yield piece, found, order >= len(spaced.start)
+
+
 FEATURES = ("__density", "__near", "__weight", "__quoted")
 
 
@@ -186,9 +253,8 @@ def evidence(automaton: Automaton, column: pa.Array) -> np.ndarray:
     """Per text: weighted hits per word, the fullest window, hits against the root of the
     length, which chance hits of a long text grow with, and the quoted share."""
     out = np.zeros((len(column), len(FEATURES)))
-    for piece in texts.slices(pc.utf8_lower(column.cast(pa.large_string()))):
+    for piece, found, _ in letters(column):
         n = len(piece.bounds) - 1
-        found = texts.words(piece, WORD)
         if not len(found.start):
             continue
         weight = match(automaton, piece.data, found.start, found.end)
@@ -224,41 +290,69 @@ class ToxicityModel:
     terms: tuple[Term, ...]
 
 
+def _beginnings(least: int, more: Column) -> Column:
+    """Beginnings of ``word``, marked by a star, and more; of a script without spaces the whole
+    of a short run, too."""
+    most = F.length("word") - (1 if least == 3 else 0)
+    lengths = F.filter(F.array(*map(F.lit, range(least, STEM + 1))), lambda k: k <= most)
+    return F.concat(F.transform(lengths, lambda k: F.concat(F.substring("word", 1, k), F.lit("*"))), more)
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """y, row, and the distinct words of every text; "open": beginnings in scripts without spaces."""
+    for batch in batches:
+        words: list[list[str]] = [[] for _ in range(batch.num_rows)]
+        inside: list[list[str]] = [[] for _ in range(batch.num_rows)]
+        for piece, found, free in letters(batch.column(2)):
+            whole = piece.data.tobytes().decode("utf-32-le")
+            end = np.where(free, np.minimum(found.end, found.start + STEM), found.end)
+            seen: set[tuple[int, bool, str]] = set()
+            columns = (found.text.tolist(), free.tolist(), found.start.tolist(), end.tolist())
+            for text, is_open, lo, hi in zip(*columns, strict=True):
+                key = (text, is_open, whole[lo:hi])
+                if key not in seen:
+                    seen.add(key)
+                    (inside if is_open else words)[piece.first + text].append(key[2])
+        kinds = pa.list_(pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(words, kinds), pa.array(inside, kinds)],
+            names=["y", "row", "words", "open"],
+        )
+
+
 def learn_terms(sample: DataFrame, least_hits: int = 6, ratio: float = 8.0) -> list[Term]:
-    """All words and beginnings (3 to 8 letters) from doc_id, text, y that clear the tests.
+    """All words and beginnings (3 to 8 letters) from doc_id, text, y that clear the tests; of
+    scripts without spaces, what begins anywhere (2 to 8 letters).
 
     Counted are distinct texts: a term needs ``least_hits`` toxic ones and must be ``ratio``
     times as frequent there as in others, by shares of all distinct words of texts. A
-    beginning needs two different words, and adds nothing to a shorter one of no less weight.
+    beginning needs two different words, but not in a script without spaces, and adds nothing
+    to a shorter one of no less weight.
     """
-    words = F.array_distinct(
-        F.filter(F.split(F.lower("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
-    )
+    ship_package(sample.sparkSession)
     per_text = sample.dropDuplicates(["text", "y"]).select(
-        "y", F.monotonically_increasing_id().alias("row"), words.alias("words")
+        "y", F.monotonically_increasing_id().alias("row"), "text"
     )
-    size = F.size("words")
+    per_text = per_text.mapInArrow(_distinct_words, "y int, row long, words array<string>, open array<string>")
+    size = F.size("words") + F.size("open")
     totals = per_text.agg(
         F.sum(size * F.col("y")).alias("t"), F.sum(size * (1 - F.col("y"))).alias("o")
     ).first()
     if not totals["t"] or not totals["o"]:
         return []
-    single = per_text.select("y", "row", F.explode("words").alias("word"))
-    lengths = F.filter(F.array(*map(F.lit, range(3, 9))), lambda k: k < F.length("word"))
+    single = per_text.select("y", "row", F.lit(False).alias("inside"), F.explode("words").alias("word"))
     terms = single.select(
-        "y",
-        "row",
-        "word",
-        F.explode(
-            F.concat(
-                F.transform(lengths, lambda k: F.concat(F.substring("word", 1, k), F.lit("*"))),
-                F.array("word"),
-            )
-        ).alias("term"),
+        "y", "row", "inside", "word", F.explode(_beginnings(3, F.array("word"))).alias("term")
+    )
+    inside = per_text.select("y", "row", F.lit(True).alias("inside"), F.explode("open").alias("word"))
+    terms = terms.unionByName(
+        inside.select(
+            "y", "row", "inside", "word", F.explode(_beginnings(2, F.array().cast("array<string>"))).alias("term")
+        )
     )
     # Once for each text that has the term, in however many words.
     per_term = terms.groupBy("term", "row", "y").agg(
-        F.min("word").alias("low"), F.max("word").alias("high")
+        F.min("word").alias("low"), F.max("word").alias("high"), F.max("inside").alias("inside")
     )
     odds = (F.col("toxic") / F.lit(totals["t"])) / ((F.col("other") + 1) / F.lit(totals["o"]))
     found = (
@@ -266,7 +360,7 @@ def learn_terms(sample: DataFrame, least_hits: int = 6, ratio: float = 8.0) -> l
         .agg(
             F.sum("y").alias("toxic"),
             F.sum(1 - F.col("y")).alias("other"),
-            (F.min("low") < F.max("high")).alias("family"),
+            ((F.min("low") < F.max("high")) | F.max("inside")).alias("family"),
         )
         .where(F.col("toxic") >= least_hits)
         .where(F.col("family") | ~F.endswith("term", F.lit("*")))
@@ -283,7 +377,7 @@ def learn_terms(sample: DataFrame, least_hits: int = 6, ratio: float = 8.0) -> l
         weight = float(min(np.log(r["odds"]), 5.0)) / 5.0
         if beginning:
             # What a shorter beginning finds with no less weight adds nothing.
-            if any(stems.get(text[:k], 0.0) >= weight for k in range(3, len(text))):
+            if any(stems.get(text[:k], 0.0) >= weight for k in range(2, len(text))):
                 continue
             stems[text] = weight
         chosen.append(Term(text, weight, beginning))

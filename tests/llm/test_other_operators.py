@@ -133,6 +133,23 @@ def test_beginnings_count_texts_and_no_term_is_one_too_many(spark):
     assert (weights_of(terms, codes) > 0).all()
 
 
+def test_words_are_letters_of_any_script(spark):
+    terms = [toxicity.Term("stupid", 1.0, False), toxicity.Term("idio", 0.8, True)]
+    terms += [toxicity.Term("дурак", 1.0, False), toxicity.Term("笨蛋", 1.0, True)]
+    automaton = toxicity.compile_terms(terms)
+    texts = ["“idiot”", "idiot’s", "«idiot»", "stup\u00efd", "st\u0443pid", "stu\u00adpid", "ｓｔｕｐｉｄ"]
+    texts += ["stupid…", "stupid\u00a0x", "дурaк", "дурик", "你真是个大笨蛋。", "idiot你", "x" * 50 + " stupid"]
+    found = toxicity.evidence(automaton, pa.array([*texts, "stöpïd", "一二三", "x" * 60]))
+    assert (found[: len(texts), 0] > 0).all() and (found[len(texts) :, 0] == 0).all()
+    # Learned from texts without spaces, too, and the same way as matched.
+    toxic = [prose(900 + k, 30) + f" “fiendish’s” 天地{k}玄黄笨蛋宇宙" for k in range(8)]
+    clean = [prose(950 + k, 60) + " 天地玄黄宇宙" for k in range(60)]
+    terms = learned(spark, toxic, clean)
+    assert any(t.text == "fiendish" and not t.beginning for t in terms)
+    found = toxicity.evidence(toxicity.compile_terms(terms), pa.array(["大笨蛋啊", "天地玄黄宇宙", "”fiendish“"]))
+    assert found[0, 0] > 0 and found[1, 0] == 0 and found[2, 0] > 0
+
+
 def test_quoted_and_lone_hits_count_less():
     automaton = toxicity.compile_terms([toxicity.Term("clown", 1.0, False)])
     filler = prose(40, 200)
