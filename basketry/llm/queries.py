@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
+    cascade,
     chat,
     decontamination,
     fingerprints,
@@ -170,3 +171,61 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose three-word shingles are alike by nine tenths."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.jaccard_join(docs)
+
+
+@query(
+    r"""
+    WITH cut AS (
+        SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+        FROM documents),
+    windows AS (
+        SELECT place, at, array_to_string(w[at:at + 4], ' ') AS five
+        FROM (SELECT place, w, unnest(range(1, len(w) - 3)) AS at FROM cut)),
+    again AS (
+        SELECT place, at FROM (
+            SELECT place, at, count(*) OVER (PARTITION BY place, five) AS n FROM windows)
+        WHERE n > 1),
+    covered AS (
+        SELECT place, count(DISTINCT at + k) AS n FROM again, range(5) AS r(k) GROUP BY place),
+    counted AS (
+        SELECT c.place, doc_id, text, w, l, len(w) AS n_words,
+               length(array_to_string(w, '')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words
+        FROM cut c LEFT JOIN covered v ON c.place = v.place),
+    failed AS (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_case,
+               length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower_case
+        FROM counted)
+    SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+           n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+           n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+           NOT (base_failed
+                OR 100 * n_symbols > 25 * n_words
+                OR 100 * n_dup_lines > 50 * len(l)
+                OR word_chars > 30 * n_words
+                OR 100 * upper_case > 50 * (upper_case + lower_case)
+                OR 100 * length(regexp_replace(text, '[^!]', '', 'g')) > 30 * n_words
+                OR 100 * len(list_filter(range(2, n_words + 1), lambda i: w[i] = w[i - 1]))
+                    > 30 * n_words
+                OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')))
+                    > 40 * n_words
+                OR (len(l) >= 10 AND
+                    100 * len(list_filter(l, lambda x: x[1:1] IN ('*', '-'))) > 90 * len(l))
+                OR (n_words >= 30 AND NOT list_has_any(
+                    list_transform(w, lambda x: translate(
+                        x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+                    [ """
+    + ", ".join(f"'{w}'" for w in cascade.FUNCTION_WORDS)
+    + """]))) AS kept
+    FROM failed
+    """
+)
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents and the verdict of the rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cascade.quality_rules(docs).drop("n_lines", "rejected_by")
