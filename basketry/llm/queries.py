@@ -182,14 +182,14 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                            lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
         FROM documents),
     windows AS (
-        SELECT place, at, array_to_string(w[at:at + 4], ' ') AS five
-        FROM (SELECT place, w, unnest(range(1, len(w) - 3)) AS at FROM cut)),
+        SELECT place, i, array_to_string(list_slice(w, i, i + 4), ' ') AS five
+        FROM (SELECT place, w, unnest(range(1, len(w) - 3)) AS i FROM cut)),
     again AS (
-        SELECT place, at FROM (
-            SELECT place, at, count(*) OVER (PARTITION BY place, five) AS n FROM windows)
+        SELECT place, i FROM (
+            SELECT place, i, count(*) OVER (PARTITION BY place, five) AS n FROM windows)
         WHERE n > 1),
     covered AS (
-        SELECT place, count(DISTINCT at + k) AS n FROM again, range(5) AS r(k) GROUP BY place),
+        SELECT place, count(DISTINCT i + k) AS n FROM again, range(5) AS r(k) GROUP BY place),
     counted AS (
         SELECT c.place, doc_id, text, w, l, len(w) AS n_words,
                length(array_to_string(w, '')) AS word_chars,
@@ -215,7 +215,7 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                 OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')))
                     > 40 * n_words
                 OR (len(l) >= 10 AND
-                    100 * len(list_filter(l, lambda x: x[1:1] IN ('*', '-'))) > 90 * len(l))
+                    100 * len(list_filter(l, lambda x: substr(x, 1, 1) IN ('*', '-'))) > 90 * len(l))
                 OR (n_words >= 30 AND NOT list_has_any(
                     list_transform(w, lambda x: translate(
                         x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
