@@ -19,6 +19,7 @@ from basketry.llm import (
     substrings,
     toxicity,
     urls,
+    whitening,
 )
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +230,9 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of all documents and the verdict of the rules."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return cascade.quality_rules(docs).drop("n_lines", "rejected_by")
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
