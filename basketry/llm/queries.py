@@ -15,6 +15,7 @@ from basketry.llm import (
     jaccard,
     packing,
     quality,
+    repair,
     sharding,
     substrings,
     toxicity,
@@ -236,3 +237,10 @@ def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 16 whitened components of all embeddings."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all conversations after stated damage, and the edits that mend them."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.audits(repair.damaged(turns), copies="copies")
