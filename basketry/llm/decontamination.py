@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import texts
+from basketry.llm.bitmaps import bitmap_of, holds
+from basketry.llm.memory import returning
 from basketry.session import scratch_path, ship_package
 
 WINDOW = 10
@@ -52,7 +54,7 @@ def benchmark_words(benchmark: DataFrame) -> DataFrame:
             )
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    return items.mapInArrow(run, "item string, words array<long>")
+    return items.mapInArrow(returning(run), "item string, words array<long>")
 
 
 def _ranges(found: texts.Words, n: int) -> Iterator[tuple[int, int]]:
@@ -64,22 +66,22 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """Postings of every row of ``docs``: row (a number of its own), doc_id, n_words, at, term.
 
     ``at`` and ``term`` are the positions, ascending, and hashes of the words for which the
-    filter ``vocabulary`` (sorted places under 2**FILTER_BITS) holds. Written and reread, so
+    filter ``vocabulary`` (a bitmap of 2**FILTER_BITS places) holds. Written and reread, so
     that the row numbers stay.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    packed = np.packbits(np.isin(np.arange(1 << FILTER_BITS), vocabulary))
+    wanted = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(packed).astype(bool)
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for piece, found in _words(batch.column(1)):
                 n = len(piece.bounds) - 1
                 counts = texts.word_counts(found, n)
                 begin = np.concatenate(([0], np.cumsum(counts)))
-                kept = np.flatnonzero(wanted[found.hash & np.uint64(wanted.size - 1)])
+                place = (found.hash & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                kept = np.flatnonzero(holds(wanted.value, place))
                 owner = found.text[kept]
                 offsets = pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32())
                 at = pa.array((kept - begin[owner]).astype(np.int32))
@@ -98,7 +100,8 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
     schema = "row long, doc_id long, n_words long, at array<int>, term array<long>"
     path = scratch_path(spark, "postings")
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema).write.parquet(path)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows.mapInArrow(returning(run), schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -204,7 +207,7 @@ def search(index: DataFrame, items: list[tuple[str, np.ndarray]], size: int, slo
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
-    counted = index.select("term").mapInArrow(count, "term long, n long").groupBy("term")
+    counted = index.select("term").mapInArrow(returning(count), "term long, n long").groupBy("term")
     counts = {r["term"]: r["n"] for r in counted.agg(F.sum("n").alias("n")).collect()}
     shared = spark.sparkContext.broadcast(make_windows(items, counts, size))
 
@@ -221,7 +224,7 @@ def search(index: DataFrame, items: list[tuple[str, np.ndarray]], size: int, slo
                 first = last
 
     schema = "row long, hits array<int>, items array<string>"
-    return index.select("row", "n_words", "at", "term").mapInArrow(run, schema)
+    return index.select("row", "n_words", "at", "term").mapInArrow(returning(run), schema)
 
 
 def _matches(w: Windows, batch: pa.RecordBatch, slop: int) -> pa.RecordBatch:
@@ -284,10 +287,9 @@ def decontaminate(
     items = benchmark_words(benchmark).withColumn("n", F.size("words")).where("n > 0")
     items = items.withColumn("item", F.coalesce("item", F.lit("null")))
     places = items.select(F.explode("words").alias("h")).select(
-        F.expr(f"h & {(1 << FILTER_BITS) - 1}").alias("h")
+        F.expr(f"h & {(1 << FILTER_BITS) - 1}").alias("place")
     )
-    vocabulary = np.array([r["h"] for r in places.distinct().collect()], np.int64)
-    index = build_index(docs, vocabulary)
+    index = build_index(docs, bitmap_of(places, FILTER_BITS))
     total = items.agg(F.sum("n").alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(total / block_words))
     part = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))

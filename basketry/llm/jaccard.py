@@ -27,7 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import texts
+from basketry.llm.bitmaps import bitmap_of, holds
 from basketry.llm.components import components
+from basketry.llm.memory import returning
 from basketry.llm.substrings import ROWS, _batch, _by_part, _parts, unpack
 from basketry.session import scratch_path, ship_package
 
@@ -118,15 +120,10 @@ def common_shingles(docs: DataFrame, size: int, parts: int, least: int = FREQUEN
             often = rest[heads][np.add.reduceat(n, heads) >= least]
             if len(often):
                 places = _common_place(np.full(len(often), part), often, parts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([places.astype("<u4").tobytes()], pa.binary())], names=["places"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(places)], names=["place"])
 
-    counted = docs.select("text").mapInArrow(count, ROWS).repartitionById(parts, "part")
-    bits = np.zeros(1 << COMMON_BITS, bool)
-    for row in counted.mapInArrow(choose, "places binary").toLocalIterator():
-        bits[np.frombuffer(row["places"], "<u4")] = True
-    return np.packbits(bits)
+    counted = docs.select("text").mapInArrow(returning(count), ROWS).repartitionById(parts, "part")
+    return bitmap_of(counted.mapInArrow(returning(choose), "place long"), COMMON_BITS)
 
 
 def _counted(held: list[np.ndarray], parts: int) -> list[tuple[int, int, bytes]]:
@@ -141,8 +138,7 @@ def _counted(held: list[np.ndarray], parts: int) -> list[tuple[int, int, bytes]]
 
 
 def _is_rare(values: np.ndarray, common: np.ndarray, parts: int) -> np.ndarray:
-    place = _common_place(*_short(values, parts), parts)
-    return (common[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 0
+    return ~holds(common, _common_place(*_short(values, parts), parts))
 
 
 def region_keys(
@@ -241,7 +237,7 @@ def send_keys(
             if waiting:
                 yield _batch(_keys_out(keys, owners, parts))
 
-    return docs.select("doc_id", "text").mapInArrow(run, ROWS)
+    return docs.select("doc_id", "text").mapInArrow(returning(run), ROWS)
 
 
 def _unseen(sets: np.ndarray, wanted: np.ndarray, seen: set[int]) -> np.ndarray:
@@ -281,7 +277,7 @@ def meet(sent: DataFrame, parts: int) -> DataFrame:
             if out:
                 yield _batch(out)
 
-    return sent.repartitionById(parts, "part").mapInArrow(run, ROWS)
+    return sent.repartitionById(parts, "part").mapInArrow(returning(run), ROWS)
 
 
 def _plain(rows: DataFrame, kind: int, layout, schema: str) -> DataFrame:
@@ -299,27 +295,23 @@ def _plain(rows: DataFrame, kind: int, layout, schema: str) -> DataFrame:
             names = [name for name, _ in layout if name != "null"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return rows.where(F.col("kind") == kind).select("data").mapInArrow(run, schema)
+    return rows.where(F.col("kind") == kind).select("data").mapInArrow(returning(run), schema)
 
 
 def _candidate_sets(docs: DataFrame, areas: DataFrame, size: int) -> DataFrame:
     """(set, items) of the sets of ``areas``, one row each. A filter of fixed size keeps most
     other sets from being sent; the join drops the rest."""
     mask = (1 << FILTER_BITS) - 1
-    some = areas.select((F.col("node").bitwiseAND(mask)).alias("h")).distinct()
-    taken = np.array([r["h"] for r in some.collect()], np.int64)
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[taken] = True
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    places = areas.select(F.col("node").bitwiseAND(mask).alias("place"))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(places, FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
             seen: set[int] = set()
             for piece in texts.slices(batch.column(0)):
                 values, begin = sets_of(piece, size)
                 sets = set_ids(values, begin)
-                likely = wanted[(sets & np.uint64(mask)).astype(np.int64)] & (sets > 0)
+                likely = holds(wanted.value, (sets & np.uint64(mask)).astype(np.int64)) & (sets > 0)
                 new = _unseen(sets, likely, seen)
                 if len(new):
                     items = [values[begin[k] : begin[k + 1]].tobytes() for k in new.tolist()]
@@ -328,7 +320,7 @@ def _candidate_sets(docs: DataFrame, areas: DataFrame, size: int) -> DataFrame:
                         names=["set", "items"],
                     )
 
-    found = docs.select("text").mapInArrow(run, "set long, items binary")
+    found = docs.select("text").mapInArrow(returning(run), "set long, items binary")
     return found.groupBy("set").agg(F.first("items").alias("items"))
 
 
@@ -457,7 +449,7 @@ def _join_areas(members: DataFrame, percent: int) -> DataFrame:
             yield settled()
 
     ordered = members.repartition("area").sortWithinPartitions("area")
-    return ordered.select("area", "set", "items").mapInArrow(run, "a long, b long")
+    return ordered.select("area", "set", "items").mapInArrow(returning(run), "a long, b long")
 
 
 def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -486,7 +478,7 @@ def _pivot_round(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     measured = (
         members.join(pivots, "area")
         .select("area", "set", "items", "p_set", "p_items")
-        .mapInArrow(run, "area long, set long, items binary, p_set long, shared long, p_size long")
+        .mapInArrow(returning(run), "area long, set long, items binary, p_set long, shared long, p_size long")
     )
     union = F.length("items") / 8 + F.col("p_size") - F.col("shared")
     measured = _kept(
@@ -520,7 +512,7 @@ def _by_rarest(members: DataFrame, percent: int) -> DataFrame:
                 [pa.array(c) for c in columns], names=["set", "item", "n"]
             )
 
-    single = members.select("set", "items").mapInArrow(spread, "set long, item long, n long")
+    single = members.select("set", "items").mapInArrow(returning(spread), "set long, item long, n long")
     frequency = single.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     ranked = (
         single.join(frequency, "item")

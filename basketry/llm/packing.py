@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.llm.memory import returning
 from basketry.session import ship_package
 
 SEQUENCE = 2048
@@ -134,7 +135,7 @@ def token_pieces(
                 columns.append(pa.array(ids, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*kept, "text").mapInArrow(pieces, schema)
+    return docs.select(*kept, "text").mapInArrow(returning(pieces), schema)
 
 
 class Bins:
@@ -209,7 +210,7 @@ def best_fit(
             columns += [pa.array(numbers, pa.int64()), pa.array(offsets, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return ordered.select(*kept, "__task").mapInArrow(pack, schema)
+    return ordered.select(*kept, "__task").mapInArrow(returning(pack), schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE) -> DataFrame:

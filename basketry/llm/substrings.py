@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from basketry.llm import texts
 from basketry.llm.anchors import contexts
+from basketry.llm.memory import returning
 from basketry.llm.suffixes import maximal_repeats
 from basketry.session import scratch_path, ship_package
 
@@ -177,7 +178,7 @@ def send_contexts(docs: DataFrame, parts: int) -> DataFrame:
             columns = {k: v[by_place] for k, v in columns.items()}
             yield _batch(rows + _by_part(bucket[by_place], RECORD, columns, LOOK))
 
-    return docs.select("doc_id", "text").mapInArrow(run, ROWS)
+    return docs.select("doc_id", "text").mapInArrow(returning(run), ROWS)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[bytes]]]]:
@@ -219,7 +220,7 @@ def settle_contexts(sent: DataFrame, parts: int, hot: int = HOT) -> DataFrame:
             if out:
                 yield _batch(out)
 
-    return sent.repartitionById(parts, "part").mapInArrow(run, ROWS)
+    return sent.repartitionById(parts, "part").mapInArrow(returning(run), ROWS)
 
 
 def _with_documents(docs: DataFrame, rows: DataFrame, parts: int, kept: list[str]) -> DataFrame:
@@ -251,7 +252,7 @@ def _with_documents(docs: DataFrame, rows: DataFrame, parts: int, kept: list[str
 
     carried = [F.col(c).alias(f"kept{k}") for k, c in enumerate(kept)]
     bodies = docs.select("doc_id", "text", *carried)
-    both = bodies.mapInArrow(run, schema).unionByName(rows, allowMissingColumns=True)
+    both = bodies.mapInArrow(returning(run), schema).unionByName(rows, allowMissingColumns=True)
     return both.repartitionById(parts, "part").sortWithinPartitions("part", "kind")
 
 
@@ -312,7 +313,7 @@ def send_bytes(docs: DataFrame, settled: DataFrame, parts: int) -> DataFrame:
                 yield _batch(_contexts_out(columns, bodies, parts))
 
     schema = settled.where(F.col("kind") == LOOK)
-    return _with_documents(docs, schema, parts, []).mapInArrow(run, ROWS)
+    return _with_documents(docs, schema, parts, []).mapInArrow(returning(run), ROWS)
 
 
 def _contexts_out(r: dict[str, np.ndarray], bodies: list[bytes], parts: int) -> Rows:
@@ -380,7 +381,7 @@ def find_repeats(sent: DataFrame, parts: int) -> DataFrame:
             if out:
                 yield _batch(out)
 
-    return sent.repartitionById(parts, "part").mapInArrow(run, ROWS)
+    return sent.repartitionById(parts, "part").mapInArrow(returning(run), ROWS)
 
 
 def _bucket_repeats(r: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -524,7 +525,7 @@ def remove_repeats(
                 made += [batch.column(5 + k).take(pa.array(picked)) for k in range(len(carried))]
                 yield pa.RecordBatch.from_arrays(made, names=schema.names)
 
-    return _with_documents(source, ranges, parts, carried).mapInArrow(run, schema)
+    return _with_documents(source, ranges, parts, carried).mapInArrow(returning(run), schema)
 
 
 def _arrow(field: T.StructField) -> pa.DataType:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.llm import texts
+from basketry.llm.memory import returning
 from basketry.llm.quality import fit_logistic
 from basketry.llm.sampling import fold, labelled
 from basketry.session import ship_package
@@ -333,7 +334,7 @@ def learn_terms(sample: DataFrame, least_hits: int = 6, ratio: float = 8.0) -> l
     per_text = sample.dropDuplicates(["text", "y"]).select(
         "y", F.monotonically_increasing_id().alias("row"), "text"
     )
-    per_text = per_text.mapInArrow(_distinct_words, "y int, row long, words array<string>, open array<string>")
+    per_text = per_text.mapInArrow(returning(_distinct_words), "y int, row long, words array<string>, open array<string>")
     size = F.size("words") + F.size("open")
     totals = per_text.agg(
         F.sum(size * F.col("y")).alias("t"), F.sum(size * (1 - F.col("y"))).alias("o")
@@ -417,7 +418,7 @@ def measure(rows: DataFrame, automaton: Automaton, kept: list[str]) -> DataFrame
             columns += [pa.array(found[:, k]) for k in range(len(FEATURES))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.select(*kept, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return rows.select(*kept, F.col("text").alias("__text")).mapInArrow(returning(run), schema)
 
 
 def with_score(rows: DataFrame, model: ToxicityModel, kept: list[str]) -> DataFrame:
