@@ -20,32 +20,37 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject(docs, model)
 
 
-def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with a number ``__row`` of each row; written and reread, so that it stays. Ids
-    may repeat or be null, so decisions about rows are applied by this number."""
+def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of each row, and the name of its column, which no other has;
+    written and reread, so that it stays. Ids may repeat or be null, so decisions about rows
+    are applied by this number."""
+    name = "__row"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
     path = scratch_path(spark, "numbered")
-    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)
+    docs.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
+    return spark.read.parquet(path), name
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows connected by similar five-word shingles (0.8 or more) one stays: that of smallest
     id, null ids last, and of those the text of smallest hash. Rows without words all stay."""
-    rows = numbered(spark, docs)
-    source = rows.select(F.col("__row").alias("doc_id"), "text")
+    rows, row = numbered(spark, docs)
+    source = rows.select(F.col(row).alias("doc_id"), "text")
     groups = jaccard.jaccard_join(source, size=5, percent=80)
-    groups = groups.select(F.col("doc_id").alias("__row"), "component_id")
+    groups = groups.select(F.col("doc_id").alias(row), "component_id")
     places = rows.select(
-        "__row",
-        F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row").alias("place"),
+        row,
+        F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row).alias("place"),
     )
-    first = groups.join(places, "__row").groupBy("component_id").agg(F.min("place").alias("place"))
-    kept = first.select(F.col("place.__row").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    first = groups.join(places, row).groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = first.select(F.col(f"place.{row}").alias(row))
+    return rows.join(kept, row, "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the passages of 100 bytes or more that began in an earlier one."""
+    """All documents without the passages of 100 bytes or more that began in an earlier one.
+    A document of which nothing is left stays, with an empty text."""
     kept = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     cut = substrings.remove_repeats(docs, kept=kept, with_text=True)
     return cut.select(
@@ -62,11 +67,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without ten consecutive words of a benchmark item."""
-    rows = numbered(spark, docs)
-    source = rows.select(F.col("__row").alias("doc_id"), "text")
+    rows, row = numbered(spark, docs)
+    source = rows.select(F.col(row).alias("doc_id"), "text")
     found = decontamination.decontaminate(source, table(spark, sf_dir, "benchmark"))
-    leaks = found.where("contaminated").select(F.col("doc_id").alias("__row"))
-    return rows.join(leaks, "__row", "left_anti").select(docs.columns)
+    leaks = found.where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(leaks, row, "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
