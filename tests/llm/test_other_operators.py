@@ -370,6 +370,10 @@ def test_contaminated_rows_do_not_take_their_namesakes(spark, folder):
     leak = prose(820, 30) + " " + spark.read.parquet(f"{folder}/benchmark.parquet").first()["text"]
     clean = [prose(830 + k, 80) for k in range(4)]
     rows = [(None, leak), (None, clean[0]), (None, None), (4, leak), (4, clean[1]), (4, clean[1]), (5, clean[2])]
-    out = corpus_pipeline.drop_contaminated(spark, corpus(spark, rows), folder)
-    got = Counter((r["doc_id"], r["text"]) for r in out.collect())
-    assert got == Counter(row for row in rows if row[1] != leak)
+    given = corpus(spark, rows).withColumn("__row", F.lit("mine"))
+    for stage in (corpus_pipeline.drop_contaminated, corpus_pipeline.drop_near_copies):
+        out = stage(spark, given, folder).collect()
+        assert {r["__row"] for r in out} == {"mine"}
+        if stage is corpus_pipeline.drop_contaminated:
+            got = Counter((r["doc_id"], r["text"]) for r in out)
+            assert got == Counter(row for row in rows if row[1] != leak)
