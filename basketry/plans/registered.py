@@ -233,10 +233,102 @@ def quality_by_column(x: Inputs) -> DataFrame:
 
 @query(
     "Q3",
+    """SELECT 'events' AS dataset, count(*) AS rows,
+              count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_events)) AS duplicates,
+              count(*) - count(transactionid) AS null_values, CAST(0 AS BIGINT) AS empty_strings
+       FROM raw_events
+       UNION ALL
+       SELECT 'category_tree', count(*), 0, count(*) - count(parentid), 0 FROM category_tree""",
+)
+def csv_quality(x: Inputs) -> DataFrame:
+    events, tree = scratch_path(x.spark, "events-csv"), scratch_path(x.spark, "tree-csv")
+    x.raw_events().write.option("header", True).csv(events)
+    x.raw_category_tree().write.option("header", True).csv(tree)
+    return Q.csv_quality(
+        x.spark,
+        {
+            "events": (events, schemas.RAW_EVENTS),
+            "category_tree": (tree, schemas.RAW_CATEGORY_TREE),
+        },
+    )
+
+
+@query(
+    "Q4",
+    """SELECT 'transactionid' AS "column", count(*) - count(transactionid) AS null_count,
+              round(100.0 * (count(*) - count(transactionid)) / count(*), 2) AS null_percent
+       FROM shop_events""",
+)
+def missing_by_column(x: Inputs) -> DataFrame:
+    return Q.missing_by_column(x.shop_events())
+
+
+@query(
+    "Q5",
+    """SELECT event, count(*) AS rows, count(*) - count(transactionid) AS null_count,
+              count(transactionid) AS filled_count
+       FROM order_events GROUP BY event""",
+)
+def missing_by_group(x: Inputs) -> DataFrame:
+    return Q.missing_by_group(x.order_events(), "event", "transactionid")
+
+
+@query(
+    "Q6",
+    """SELECT "column", dtype, CAST(low AS DOUBLE) AS "min", CAST(high AS DOUBLE) AS "max",
+              CASE WHEN low >= -128 AND high <= 127 THEN 'tinyint'
+                   WHEN low >= -32768 AND high <= 32767 THEN 'smallint'
+                   WHEN low >= -2147483648 AND high <= 2147483647 THEN 'int'
+                   ELSE 'bigint' END AS narrowest
+       FROM (SELECT 'timestamp' AS "column", 'bigint' AS dtype, min(timestamp) AS low,
+                    max(timestamp) AS high FROM raw_events
+             UNION ALL SELECT 'visitorid', 'int', min(visitorid), max(visitorid) FROM raw_events
+             UNION ALL SELECT 'itemid', 'int', min(itemid), max(itemid) FROM raw_events
+             UNION ALL SELECT 'transactionid', 'int', min(transactionid), max(transactionid)
+             FROM raw_events)""",
+)
+def numeric_profile(x: Inputs) -> DataFrame:
+    return Q.numeric_profile(x.raw_events())
+
+
+@query(
+    "Q7",
+    """SELECT count(*) AS rows, 5 AS columns, count(*) AS other_rows, 5 AS other_columns,
+              true AS same_shape, true AS same_data
+       FROM raw_events""",
+)
+def compare_datasets(x: Inputs) -> DataFrame:
+    csv = scratch_path(x.spark, "events-csv")
+    events = x.raw_events().withColumns(
+        {c: F.col(c).cast("bigint") for c in ("visitorid", "itemid", "transactionid")}
+    )
+    events.write.option("header", True).csv(csv)
+    parquet = T.csv_to_parquet(
+        x.spark, csv, scratch_path(x.spark, "events"), schemas.RAW_EVENTS
+    )
+    return Q.compare_datasets(events, parquet)
+
+
+@query(
+    "Q7",
+    """SELECT count(*) > 0 AS has_files, count(*) > 0 AS is_smaller FROM raw_events""",
+)
+def compare_storage(x: Inputs) -> DataFrame:
+    csv, parquet = scratch_path(x.spark, "events-csv"), scratch_path(x.spark, "events")
+    x.raw_events().write.option("header", True).csv(csv)
+    T.csv_to_parquet(x.spark, csv, parquet, schemas.RAW_EVENTS)
+    sizes = Q.compare_storage(T.dataset_bytes(x.spark, csv), T.dataset_bytes(x.spark, parquet))
+    return sizes.select(
+        (F.col("other_disk_mb") > 0).alias("has_files"), (F.col("compression") > 1).alias("is_smaller")
+    )
+
+
+@query(
+    "Q7",
     """SELECT 'events' AS dataset, count(*) AS rows, 5 AS columns, true AS same_shape,
-              true AS same_data FROM raw_events
+              true AS same_data, true AS has_sizes FROM raw_events
        UNION ALL
-       SELECT 'categories', count(*), 2, true, true FROM category_tree""",
+       SELECT 'categories', count(*), 2, true, true, true FROM category_tree""",
 )
 def comparison_report(x: Inputs) -> DataFrame:
     """CSV against Parquet for two datasets."""
@@ -255,7 +347,10 @@ def comparison_report(x: Inputs) -> DataFrame:
             T.dataset_bytes(x.spark, parquet),
         )
     report = Q.comparison_report(pairs)
-    return report.select("dataset", "rows", "columns", "same_shape", "same_data")
+    sizes = F.least("disk_mb", "other_disk_mb", "compression")
+    return report.select(
+        "dataset", "rows", "columns", "same_shape", "same_data", (sizes >= 0).alias("has_sizes")
+    )
 
 
 @query(

@@ -54,6 +54,12 @@ def test_every_query_has_sql():
     assert set(REGISTERED) <= set(entry.oracle_sql())
 
 
+def test_every_operator_has_a_query():
+    counts = {"I": 11, "Q": 14, "E": 16, "S": 9, "R": 6, "C": 11, "K": 15, "V": 2, "M": 12}
+    wanted = {f"{group}{k}" for group, n in counts.items() for k in range(1, n + 1)}
+    assert {q.item for q in REGISTERED.values()} == wanted
+
+
 def test_entry_gives_ranked_items(spark):
     rows = entry.entry(spark).orderBy("rank").collect()
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
