@@ -72,7 +72,8 @@ class RankerConfig:
 
     ``bins`` quantile bins per feature: rows that differ only within bins are alike to the
     trees, so finer differences than one bin in 254 are lost.  ``loss`` "pointwise" fits
-    labels, "grouped" the order of positives and negatives within a user.
+    labels, "grouped" the order of positives and negatives within a user, in random orders
+    around the scores.
     """
 
     iterations: int = 50

@@ -3,20 +3,12 @@
 from __future__ import annotations
 
 import math
-import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +16,8 @@ from basketry.config import RANKER_FEATURES, RankerConfig
 from basketry.functions.columns import ratio
 from basketry.functions.ranking import rank_within, rank_within_large
 from basketry.functions.stats import WIDE_PERCENTILES, describe_counts
-from basketry.session import cut_lineage, scratch_path, ship_package
+from basketry.operators.grouped_ranker import boost, prediction
+from basketry.session import cut_lineage
 
 _PAIR = ["user_id", "item_id"]
 _BIN = "_bin_{}"
@@ -265,135 +258,22 @@ def train_ranker(train: DataFrame, config: RankerConfig = RankerConfig()) -> Pip
 
 
 def _boost_groups(train: DataFrame, config: RankerConfig) -> PipelineModel:
-    """Boosted trees on the logistic loss of all pairs of a positive and a negative of one
-    user, divided by the number of the user's pairs.
-
-    Each user is a row with the bins of their candidates, which ``CandidateConfig`` bounds;
-    these are written once.  An iteration sends the trees so far to the tasks, which sum
-    gradients and second derivatives over equal bins before anything is shuffled, and fits
-    the next tree to that merged table: Newton steps weighted by the second derivatives.
-    """
-    spark = train.sparkSession
-    ship_package(spark)
+    """Boosted trees on the order within users, as an expression over the bins (see
+    ``grouped_ranker``)."""
     binning = _binning(train, config.features, config.bins)
     columns = [_BIN.format(f) for f in config.features]
-    bins = F.array(*[F.col(c).cast("float") for c in columns])
-    groups = (
-        binning.transform(train)
-        .select("user_id", F.struct(bins.alias("x"), F.col("target").cast("int").alias("y")).alias("row"))
-        .groupBy("user_id")
-        .agg(F.collect_list("row").alias("rows"))
-        .select(F.flatten("rows.x").alias("x"), F.col("rows.y").alias("y"))
-        .where(F.array_contains("y", 1) & F.array_contains("y", 0))
-    )
-    path = scratch_path(spark, "groups")
-    groups.write.parquet(path)
-    groups = spark.read.schema("x array<float>, y array<int>").parquet(path)
-    assembler = VectorAssembler(inputCols=columns, outputCol="_features")
-    names = ", ".join(f"`{c}` double" for c in columns)
-    trees: list[DecisionTreeRegressionModel] = []
-    tables: list[np.ndarray] = []
-    for k in range(config.iterations):
-
-        def gradients(batches: Iterator[pa.RecordBatch], made=tuple(tables)) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield _pair_gradients(batch, columns, made, config.learning_rate)
-
-        summed = (
-            groups.mapInArrow(gradients, f"{names}, g double, h double")
-            .groupBy(*columns)
-            .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-            .select(*columns, (F.col("g") / F.col("h")).alias("_step"), F.col("h").alias("_weight"))
-        )
-        # The tree reads its input once per level.
-        merged = assembler.transform(summed).persist()
-        tree = DecisionTreeRegressor(
-            featuresCol="_features",
-            labelCol="_step",
-            weightCol="_weight",
-            maxDepth=config.depth,
-            maxBins=config.bins + 2,
-            seed=config.seed + k,
-        ).fit(merged)
-        merged.unpersist()
-        trees.append(tree)
-        tables.append(_tree_table(tree))
-    gateway = spark.sparkContext._gateway
-    java_trees = gateway.new_array(
-        spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees)
-    )
-    weights = gateway.new_array(gateway.jvm.double, len(trees))
-    for k, tree in enumerate(trees):
-        java_trees[k], weights[k] = tree._java_obj, float(config.learning_rate)
-    boosted = GBTRegressionModel(
-        spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(
-            f"grouped-{uuid.uuid4().hex[:12]}", java_trees, weights
-        )
-    )
-    boosted.setFeaturesCol("_features")
-    return PipelineModel([*binning.stages, assembler, boosted])
-
-
-def _tree_table(tree: DecisionTreeRegressionModel) -> np.ndarray:
-    """Nodes of a tree: feature (-1 in a leaf), threshold, left, right, value."""
-    nodes: list[list[float]] = []
-
-    def add(node) -> int:
-        at = len(nodes)
-        nodes.append([-1.0, 0.0, 0.0, 0.0, node.prediction()])
-        if node.subtreeDepth() > 0:
-            split = node.split()
-            nodes[at][:2] = [split.featureIndex(), split.threshold()]
-            nodes[at][2] = add(node.leftChild())
-            nodes[at][3] = add(node.rightChild())
-        return at
-
-    add(tree._java_obj.rootNode())
-    return np.array(nodes)
-
-
-def _predict(table: np.ndarray, x: np.ndarray) -> np.ndarray:
-    at = np.zeros(len(x), np.int64)
-    while True:
-        feature = table[at, 0].astype(np.int64)
-        inner = np.flatnonzero(feature >= 0)
-        if not len(inner):
-            return table[at, 4]
-        here = at[inner]
-        left = x[inner, feature[inner]] <= table[here, 1]
-        at[inner] = np.where(left, table[here, 2], table[here, 3]).astype(np.int64)
-
-
-def _pair_gradients(
-    batch: pa.RecordBatch, columns: Sequence[str], tables: Sequence[np.ndarray], rate: float
-) -> pa.RecordBatch:
-    """Sums over equal bins of the gradients and second derivatives of all pairs."""
-    y = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-    x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(y), len(columns))
-    score = np.zeros(len(y))
-    for table in tables:
-        score += rate * _predict(table, x)
-    g, h = np.zeros(len(y)), np.zeros(len(y))
-    ends = np.cumsum(np.diff(batch.column(1).offsets.to_numpy()))
-    for lo, hi in zip(np.append(0, ends[:-1]), ends, strict=True):
-        good, bad = lo + np.flatnonzero(y[lo:hi] == 1), lo + np.flatnonzero(y[lo:hi] == 0)
-        if not len(good) or not len(bad):
-            continue
-        p = 1 / (1 + np.exp(np.clip(score[good][:, None] - score[bad][None, :], -30, 30)))
-        p /= len(good) * len(bad)
-        curve = p * (1 - p * len(good) * len(bad)) + 1e-9
-        g[good] += p.sum(1)
-        g[bad] -= p.sum(0)
-        h[good] += curve.sum(1)
-        h[bad] += curve.sum(0)
-    used = h > 0
-    tuples, place = np.unique(x[used], axis=0, return_inverse=True)
-    place = place.ravel()
-    sums = [np.bincount(place, weights=v[used], minlength=len(tuples)) for v in (g, h)]
-    arrays = [pa.array(tuples[:, k].astype(np.float64)) for k in range(len(columns))]
-    return pa.RecordBatch.from_arrays(
-        [*arrays, *map(pa.array, sums)], names=[*columns, "g", "h"]
+    trees = boost(
+        binning.transform(train).select("user_id", "target", *columns),
+        columns,
+        config.bins + 1,  # the last one is null's
+        config.iterations,
+        config.depth,
+        config.learning_rate,
+        config.seed,
     )
+    total = prediction(trees, columns, config.learning_rate)
+    scoring = SQLTransformer(statement=f"SELECT *, {total} AS prediction FROM __THIS__")
+    return PipelineModel([*binning.stages, scoring])
 
 
 def score_candidates(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry import schemas
-from basketry.config import AlsConfig
+from basketry.config import AlsConfig, RankerConfig
 from basketry.operators import candidates as C
 from basketry.operators import cleaning as I
 from basketry.operators import evaluation as M
@@ -1246,6 +1246,24 @@ def train_ranker(x: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "K11",
+    """SELECT count(*) AS rows, CAST(0 AS BIGINT) AS null_scores, count(*) > 0 AS positives_above
+       FROM valid""",
+)
+def train_ranker_grouped(x: Inputs) -> DataFrame:
+    """As ``train_ranker``, with the loss on the order within each user: positives score above
+    the mean of their own user's candidates."""
+    config = RankerConfig(loss="grouped")
+    scored = K.score_candidates(K.train_ranker(_train(x), config), _train(x))
+    own = F.avg("score").over(Window.partitionBy("user_id"))
+    return scored.withColumn("above", F.col("score") - own).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("score").isNull()).alias("null_scores"),
+        (F.avg(F.when(F.col("target") == 1, F.col("above"))) > 0).alias("positives_above"),
+    )
+
+
 @query(
     "K12",
     """SELECT user_id, count(*) AS rows, CAST(0 AS BIGINT) AS null_scores FROM candidates
@@ -1276,8 +1294,8 @@ def require_features(x: Inputs) -> DataFrame:
 
 @query("K15", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM valid")
 def save_and_load_ranker(x: Inputs) -> DataFrame:
-    """Rows, and those that a ranker scores otherwise once saved and loaded."""
-    ranker = _ranker(x)
+    """Rows, and those that a ranker in memory scores otherwise once saved and loaded."""
+    ranker = K.train_ranker(_train(x), RankerConfig(iterations=5))
     loaded = K.load_ranker(K.save_ranker(ranker, scratch_path(x.spark, "ranker")))
     before = K.score_candidates(ranker, _train(x)).select("user_id", "item_id", "score")
     after = K.score_candidates(loaded, _train(x)).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry.config import AlsConfig, RankerConfig
 from basketry.operators import evaluation as M
 from basketry.operators import generators as R
+from basketry.operators import grouped_ranker as G
 from basketry.operators import ranker as K
 
 SHORT = AlsConfig(factors=6, iterations=6)
@@ -233,32 +235,64 @@ def test_grouped_loss_orders_within_users(confounded, tmp_path):
         K.train_ranker(confounded, RankerConfig(loss="x"))
 
 
-def test_pair_gradients_equal_the_sum_over_pairs():
-    import numpy as np
-    import pyarrow as pa
-
+def test_order_gradients_equal_the_sum_over_pairs():
     rng = np.random.default_rng(2)
-    x, y = rng.integers(0, 3, (9, 2)).astype(np.float32), np.array([1, 0, 0, 1, 0, 0, 1, 1, 0])
-    groups = [(0, 5), (5, 9)]
-    batch = pa.RecordBatch.from_arrays(
-        [
-            pa.array([x[a:b].ravel() for a, b in groups], pa.list_(pa.float32())),
-            pa.array([y[a:b] for a, b in groups], pa.list_(pa.int32())),
-        ],
-        names=["x", "y"],
+    sizes = np.array([5, 4, 1])
+    y = np.array([1, 0, 0, 1, 0, 0, 1, 1, 0, 1])
+    score = rng.normal(size=10)
+    noises = [G.noise(np.array([7, 8, 9], np.uint64), sizes, seed) for seed in range(3)]
+    got = G.order_gradients(score, y, sizes, noises)
+    g, h = np.zeros(10), np.zeros(10)
+    for around in noises:
+        for lo, hi in ((0, 5), (5, 9), (9, 10)):
+            order = sorted(range(lo, hi), key=lambda k: -(score + around)[k])
+            worth = {k: 1 / np.log2(place + 2) for place, k in enumerate(order)}
+            best = sum(1 / np.log2(k + 2) for k in range(int(y[lo:hi].sum())))
+            for a in range(lo, hi):
+                for b in range(lo, hi):
+                    if y[a] > y[b]:
+                        p = 1 / (1 + np.exp(score[a] - score[b]))
+                        w = abs(worth[a] - worth[b]) / best / len(noises)
+                        g[a] += w * p
+                        g[b] -= w * p
+                        h[a] += w * p * (1 - p)
+                        h[b] += w * p * (1 - p)
+    assert np.allclose(got, (g, h))
+    alone = G.noise(np.array([8], np.uint64), np.array([4]), 1)
+    assert np.array_equal(alone, noises[1][5:9])  # whatever users stand beside
+
+
+def test_symmetric_split_equals_a_plain_search():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 4, (200, 3)).astype(np.uint16)
+    g, h = rng.normal(size=200), rng.random(200)
+    made = ((1, 2), (0, 0))
+    leaf = G.leaves(x, made)
+    best = max(
+        (
+            sum(
+                g[m].sum() ** 2 / (h[m].sum() + 0.5)
+                for k in range(4)
+                for m in ((leaf == k) & (x[:, f] <= t), (leaf == k) & (x[:, f] > t))
+            ),
+            (f, t),
+        )
+        for f in range(3)
+        for t in range(3)
     )
-    tree = np.array([[0, 0.5, 1, 2, 0.0], [-1, 0, 0, 0, 0.7], [-1, 0, 0, 0, -0.2]])
-    got = K._pair_gradients(batch, ["a", "b"], [tree], 0.5).to_pylist()
-    score = 0.5 * np.where(x[:, 0] <= 0.5, 0.7, -0.2)
-    g = np.zeros(9)
-    for a, b in groups:
-        good, bad = [k for k in range(a, b) if y[k]], [k for k in range(a, b) if not y[k]]
-        for i in good:
-            for j in bad:
-                p = 1 / (1 + np.exp(score[i] - score[j])) / (len(good) * len(bad))
-                g[i] += p
-                g[j] -= p
-    for row in got:
-        same = (x[:, 0] == row["a"]) & (x[:, 1] == row["b"])
-        assert row["g"] == pytest.approx(g[same].sum())
-        assert row["h"] > 0
+    assert G.best_split(G.histogram(x, g, h, made, 4), 0.5) == best[1]
+    assert G.best_split(np.zeros((2, 1, 3, 4)), 0.5) is None
+
+
+def test_grouped_trees_do_not_depend_on_tasks(confounded, monkeypatch):
+    config = RankerConfig(loss="grouped", iterations=4, depth=3, learning_rate=0.3, bins=16)
+    one = K.train_ranker(confounded, config).stages[-1].getStatement()
+    monkeypatch.setattr(G, "CHUNK_ROWS", 50)
+    monkeypatch.setattr(G, "REWRITE", 2)
+    monkeypatch.setattr(G, "FAN_IN", 2)
+    other = K.train_ranker(confounded.repartition(5), config).stages[-1].getStatement()
+    assert [p.split("array(")[0] for p in one.split("+ IF(")] == [
+        p.split("array(")[0] for p in other.split("+ IF(")
+    ]
+    nothing = K.train_ranker(confounded.where("target = 0"), config)
+    assert K.score_candidates(nothing, confounded).where("score <> 0").isEmpty()
