@@ -8,7 +8,7 @@ can be read back exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, SHUT, ALSO, CLOSE = "<turn ", ">", "<also>", "</turn>"
@@ -28,13 +28,15 @@ def unescaped(text: Column) -> Column:
 
 
 def format_chats(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
-    """One row per conversation: conv_id, formatted, loss_spans.
+    """One row per conversation: conv_id, formatted, loss_spans, learned.
 
     ``turns`` has conv_id, turn, role and text; other columns are ignored. Turns are sorted
     by (turn, role, text), nulls first; repeated rows stay. A null text or role is empty; rows
     with a null conv_id form one conversation. loss_spans are (start, length) in code points of
-    the texts of ``learn_from``, in order; an empty text has a span of length 0. An empty
-    table gives no rows.
+    the texts of ``learn_from``, in order; an empty text has a span of length 0. ``learned``
+    says the same turn by turn. An empty table gives no rows. Work grows with the length of a
+    conversation and not with its square: places are running sums over its turns, on the
+    partitioning that the collecting has made.
     """
     part = F.struct(
         F.col("turn"),
@@ -57,77 +59,51 @@ def format_chats(turns: DataFrame, learn_from: str = "assistant") -> DataFrame:
             ),
         ),
     ).select("conv_id", "parts")
-    empty = F.expr("cast(array() as array<struct<start: bigint, length: bigint>>)")
-    spans = F.aggregate(
-        "parts",
-        F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["mark"]) + F.length(p["text"])).alias("at"),
-            F.when(
-                p["learn"],
-                F.array_append(
-                    acc["spans"],
-                    F.struct(
-                        (acc["at"] + F.length(p["mark"])).alias("start"),
-                        F.length(p["text"]).cast("long").alias("length"),
-                    ),
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
+    each = marked.select("conv_id", F.posexplode("parts").alias("k", "part"))
+    before = Window.partitionBy("conv_id").orderBy("k")
+    length = F.length("part.text").cast("long")
+    placed = each.select(
+        "conv_id",
+        F.struct(
+            "k",
+            F.concat("part.mark", "part.text").alias("body"),
+            "part.learn",
+            (F.sum(F.length("part.mark") + length).over(before) - length).alias("start"),
+            length.alias("length"),
+        ).alias("piece"),
+    )
+    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    spans = F.transform(
+        F.filter("pieces", lambda p: p["learn"]),
+        lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length")),
     )
-    body = F.array_join(F.transform("parts", lambda p: F.concat(p["mark"], p["text"])), "")
-    return marked.select(
-        "conv_id", F.concat(body, F.lit(CLOSE)).alias("formatted"), spans.alias("loss_spans")
+    return whole.select(
+        "conv_id",
+        F.concat(F.array_join("pieces.body", ""), F.lit(CLOSE)).alias("formatted"),
+        spans.alias("loss_spans"),
+        F.col("pieces.learn").alias("learned"),
     )
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
-    """Turns and learned text read back from the output: conv_id, turns, loss_text.
+    """Turns and learned text read back from the output: conv_id, formatted, turns, loss_text.
 
-    turns: array of (role, text) in order, merged turns apart again.
+    turns: array of (role, text) in order, merged turns apart again. Every block is taken apart
+    by itself, so a role is read where its block begins.
     """
-    # Every piece after a "<" is "turn ROLE>TEXT", "also>TEXT" or "/turn>".
-    pieces = F.filter(F.split("formatted", "<"), lambda p: (p != "") & (p != "/turn>"))
-    cut = formatted.withColumn("__pieces", pieces)
-    tags = F.transform(
-        "__pieces",
-        lambda p: F.struct(
-            F.substring_index(p, ">", 1).alias("tag"), F.substring_index(p, ">", -1).alias("text")
-        ),
-    )
-    cut = cut.withColumn("__tags", tags)
-    roles = F.aggregate(
-        "__tags",
-        F.struct(F.lit("").alias("role"), F.expr("cast(array() as array<string>)").alias("roles")),
-        lambda acc, t: F.struct(
-            F.when(t["tag"] == "also", acc["role"])
-            .otherwise(unescaped(F.substring(t["tag"], 6, 2147483647)))
-            .alias("role"),
-            F.array_append(
-                acc["roles"],
-                F.when(t["tag"] == "also", acc["role"]).otherwise(
-                    unescaped(F.substring(t["tag"], 6, 2147483647))
+    blocks = F.filter(F.split("formatted", OPEN), lambda b: b != "")
+    turns = F.flatten(
+        F.transform(
+            blocks,
+            lambda b: F.transform(
+                # Without the role before the first and the closing after the last text.
+                F.split(F.replace(F.substr(b, F.instr(b, SHUT) + 1), F.lit(CLOSE), F.lit("")), ALSO),
+                lambda text: F.struct(
+                    unescaped(F.substring_index(b, SHUT, 1)).alias("role"), unescaped(text).alias("text")
                 ),
-            ).alias("roles"),
-        ),
-        lambda acc: acc["roles"],
-    )
-    cut = cut.withColumn("__roles", roles)
-    turns = F.transform(
-        "__tags",
-        lambda t, i: F.struct(
-            F.col("__roles")[i].alias("role"), unescaped(t["text"]).alias("text")
-        ),
-    )
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescaped(
-            F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))
-        ),
-    )
-    return cut.select(
-        "conv_id", "formatted", turns.alias("turns"), F.array_join(masked, "").alias("loss_text")
+            ),
+        )
     )
+    read = formatted.select("conv_id", "formatted", turns.alias("turns"), "learned")
+    masked = F.zip_with("turns", "learned", lambda t, learn: F.when(learn, t["text"]))
+    return read.select("conv_id", "formatted", "turns", F.array_join(masked, "").alias("loss_text"))

@@ -95,7 +95,28 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    r"""
+    WITH said AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    placed AS (
+        SELECT *, row_number() OVER w AS place, lag(role) OVER w AS before,
+               length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) AS role_chars,
+               length(text) + length(regexp_replace(text, '[^\\<>]', '', 'g')) AS text_chars
+        FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), ''))
+               AS loss_sha256,
+           (7 + sum(text_chars + CASE WHEN before IS NULL THEN 7 + role_chars
+                                      WHEN before = role THEN 6
+                                      ELSE 14 + role_chars END))::BIGINT AS formatted_chars
+    FROM placed GROUP BY conv_id
+    """
+)
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

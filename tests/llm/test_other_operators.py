@@ -281,10 +281,39 @@ def test_chats_are_read_back(spark, folder):
     assert {r["conv_id"]: tuple(r[n] for n in names) for r in whole} == expected
 
 
+def test_spans_are_the_learned_texts(spark):
+    rows = [(1, k, "assistant" if k % 3 else "user", f"<{k}> 日\\") for k in range(30)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat.format_chats(turns).first()
+    cut = [r["formatted"][s["start"] : s["start"] + s["length"]] for s in r["loss_spans"]]
+    plain = [c.replace("\\g", ">").replace("\\l", "<").replace("\\b", "\\") for c in cut]
+    assert plain == [text for _, _, role, text in rows if role == "assistant"]
+    assert r["learned"] == [role == "assistant" for _, _, role, _ in rows]
+
+
+def test_long_conversations_are_read_in_linear_time(spark):
+    import time
+
+    took = {}
+    for n in (1_000, 1_000, 20_000):
+        rows = spark.range(n).selectExpr(
+            "5 AS conv_id", "id AS turn", "if(id % 5 = 0, 'user', 'assistant') AS role",
+            "concat('<', id, '> ', repeat('word ', 40)) AS text",
+        )
+        begun = time.perf_counter()
+        r = chat.read_chats(chat.format_chats(rows)).selectExpr(
+            "size(turns) AS n", "sha2(to_json(turns), 256) AS h", "length(loss_text) AS l"
+        ).first()
+        took[n] = time.perf_counter() - begun
+        assert r["n"] == n and r["l"] == sum(len(f"<{k}> ") + 200 for k in range(n) if k % 5)
+    assert took[20_000] < 20 * (took[1_000] + 0.2)
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_with_sql_give_the_same_rows(spark, folder, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet'")
+    for table in ("pages", "conversations", "documents"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     cursor = con.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     got = Counter(tuple(r[n] for n in names) for r in QUERIES[name](spark, folder).collect())
