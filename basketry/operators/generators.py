@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from basketry.config import POSITIVE_EVENTS, AlsConfig
 from basketry.operators.splits import positive_pairs
-from basketry.session import checkpoint_root, ship_package
+from basketry.session import checkpoint_root, scratch_path, ship_package
 
 BLOCK_ROWS = 4096  # vectors that travel as one row, and columns of one matrix product
 TASK_BLOCKS = 8  # blocks of queries that one task holds while the candidates pass
 CHUNK = 512  # queries of one matrix product
+CELL_ROWS = 8192  # candidates to a cell, if that leaves two cells at least
+CELLS = 1024  # at most, however many candidates
+CELL_SAMPLE = 16  # vectors to a cell from which centres are found
 NOBODY = np.iinfo(np.int64).max  # id of a place that no match has taken yet
 
 
@@ -194,7 +197,8 @@ def _best_matches(
     block past them once, as matrix products of at most CHUNK x BLOCK_ROWS.  No pair of
     vectors ever becomes a row; the lists leave the task ranked.  A candidate block is
     ordered by norm: from where norm times norm cannot reach the worst kept score, its rest
-    is skipped.  Work and shuffled candidates grow with the number of tasks.
+    is skipped.  Many candidates are first cut into cells, see ``_matches_by_cells``; of few,
+    every task gets all.
 
     Scores are products in double precision, rounded to 32-bit floats and ordered by those,
     ties by id.  Within one table (``same_table``) the measure is the cosine and a vector is
@@ -202,6 +206,9 @@ def _best_matches(
     """
     spark = queries.sparkSession
     ship_package(spark)
+    cells = min(CELLS, candidates.count() // CELL_ROWS)
+    if cells > 1:
+        return _matches_by_cells(queries, candidates, n, same_table, cells, block_rows, task_blocks)
     asked = _pack(queries, block_rows, at_least=spark.sparkContext.defaultParallelism)
     offered = _pack(candidates, block_rows)
     tasks = max(
@@ -224,6 +231,151 @@ def _best_matches(
     return dealt.mapInArrow(matches, "query bigint, match bigint, score float, rank int")
 
 
+def _unit(matrix: np.ndarray, unit: bool) -> np.ndarray:
+    """``unit``: scaled to length 1, zeros stay."""
+    matrix = matrix.astype(np.float64)
+    if not unit:
+        return matrix
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(norms == 0, 1.0, norms)
+
+
+def _nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin((centres**2).sum(axis=1) - 2 * (vectors @ centres.T), axis=1)
+
+
+def _centres(vectors: DataFrame, cells: int, unit: bool, rounds: int = 6) -> np.ndarray:
+    """Means of groups in a sample of ``CELL_SAMPLE`` vectors to a cell, chosen by hash."""
+    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(cells * CELL_SAMPLE).select("features")
+    found = _unit(np.array([r["features"] for r in sample.collect()], np.float32), unit)
+    found = np.unique(found[np.isfinite(found).all(axis=1)], axis=0)
+    if not len(found):
+        return np.zeros((1, 1))
+    centres = found[np.random.default_rng(cells).permutation(len(found))[:cells]]
+    for _ in range(rounds):
+        cell = _nearest(found, centres)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, found)
+        size = np.bincount(cell, minlength=len(centres))[:, None]
+        centres = np.where(size > 0, sums / np.maximum(size, 1), centres)
+    return centres
+
+
+class _Celled(NamedTuple):
+    """Vectors with their cells, in written blocks, and of every cell rows and radius."""
+
+    frame: DataFrame  # block, cell, ids, matrix
+    blocks: int
+    rows: np.ndarray
+    radius: np.ndarray
+
+
+def _in_cells(vectors: DataFrame, centres: np.ndarray, unit: bool, block_rows: int, at_least: int) -> _Celled:
+    """Blocks of one cell each, cut by a hash of the id, so that a crowded cell has many."""
+    spark = vectors.sparkSession
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            matrix = _unit(values.reshape(batch.num_rows, -1), unit)
+            plain = np.isfinite(matrix).all(axis=1)
+            matrix = np.where(plain[:, None], matrix, 0.0)
+            cell = _nearest(matrix, centres)
+            # What is not finite matches nothing, so it makes no cell larger.
+            away = np.where(plain, np.linalg.norm(matrix - centres[cell], axis=1), 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(away)],
+                names=["id", "features", "cell", "away"],
+            )
+
+    path = scratch_path(spark, "cells")
+    assigned = vectors.mapInArrow(assign, "id bigint, features array<float>, cell int, away double")
+    assigned.write.parquet(path)
+    kept = spark.read.parquet(path)
+    rows, radius = np.zeros(len(centres), np.int64), np.zeros(len(centres))
+    for r in kept.groupBy("cell").agg(F.count("cell").alias("n"), F.max("away").alias("far")).collect():
+        rows[r["cell"]], radius[r["cell"]] = r["n"], r["far"]
+    most = min(block_rows, max(512, -(-int(rows.sum()) // at_least)))
+    parts = -(-rows // most)
+    start = np.cumsum(parts) - parts
+    first, count = (F.element_at(F.array(*map(F.lit, v.tolist())), F.col("cell") + 1) for v in (start, parts))
+    packed = (
+        kept.withColumn("block", first + F.pmod(F.xxhash64("id"), count))
+        .groupBy("cell", "block")
+        .agg(F.array_sort(F.collect_list(F.struct("id", "features"))).alias("rows"))
+        .select("block", "cell", F.col("rows.id").alias("ids"), F.flatten("rows.features").alias("matrix"))
+    )
+    path = scratch_path(spark, "blocks")
+    packed.write.parquet(path)
+    return _Celled(spark.read.parquet(path), int(parts.sum()), rows, radius)
+
+
+def _matches_by_cells(
+    queries: DataFrame, candidates: DataFrame, n: int, same_table: bool, cells: int, block_rows: int, task_blocks: int
+) -> DataFrame:
+    """The same lists; but a block of candidates only goes to tasks that it can matter to.
+
+    Vectors belong to the cell of their nearest centre, and a cell has a radius.  Centres and
+    radii bound every product of two cells.  In a first round each cell of queries meets the
+    cells of highest bounds that hold ``n`` others; the worst score kept there is a threshold,
+    and in the second round it meets all cells whose bound reaches it.  Centres, radii and
+    the table of cells that meet have at most ``CELLS`` squared entries, whatever the rows.
+    """
+    spark = queries.sparkSession
+    at_least = spark.sparkContext.defaultParallelism
+    typed = [
+        df.select(F.col("id").cast("bigint"), F.col("features").cast("array<float>").alias("features"))
+        for df in (candidates, queries)
+    ]
+    centres = _centres(typed[0], cells, same_table)
+    offered = _in_cells(typed[0], centres, same_table, block_rows, 1)
+    asked = _in_cells(typed[1], centres, same_table, block_rows, at_least)
+    norms = np.linalg.norm(centres, axis=1)
+    bound = centres @ centres.T + np.outer(norms, offered.radius)
+    bound += np.outer(asked.radius, norms + offered.radius)
+    bound += 1e-6 * np.outer(norms + asked.radius, norms + offered.radius)
+    used = (asked.rows > 0)[:, None] & (offered.rows > 0)[None, :]
+    bound[~used] = -np.inf
+    order = np.argsort(-bound, axis=1, kind="stable")
+    before = np.cumsum(offered.rows[order], axis=1) - offered.rows[order]
+    first = np.zeros_like(used)
+    np.put_along_axis(first, order, before < n + 1, axis=1)
+    worst = np.full(len(centres), np.inf)
+    least = _meet(asked, offered, first & used, n, same_table, task_blocks, only_worst=True)
+    for r in least.groupBy("cell").agg(F.min("worst").alias("worst")).collect():
+        worst[r["cell"]] = r["worst"]
+    return _meet(asked, offered, used & (bound >= worst[:, None]), n, same_table, task_blocks)
+
+
+def _meet(
+    asked: _Celled, offered: _Celled, wanted: np.ndarray, n: int, same_table: bool, task_blocks: int,
+    only_worst: bool = False,
+) -> DataFrame:
+    """Lists of all queries from the cells that theirs wants, or the worst score that any full
+    list of a cell keeps (minus infinity if one is not full)."""
+    spark = asked.frame.sparkSession
+    tasks = max(
+        math.ceil(asked.blocks / task_blocks), min(asked.blocks, spark.sparkContext.defaultParallelism), 1
+    )
+    task_of = F.floor(F.col("block") * F.lit(tasks) / F.lit(max(asked.blocks, 1))).cast("int")
+    own = asked.frame.select(task_of.alias("task"), F.lit(0).alias("kind"), "cell", "ids", "matrix")
+    pairs = spark.createDataFrame(
+        pa.table(dict(zip(("query_cell", "cell"), map(pa.array, np.nonzero(wanted)), strict=True)))
+    )
+    sends = own.select("task", F.col("cell").alias("query_cell")).distinct().join(pairs, "query_cell")
+    sends = sends.select("task", F.col("cell").cast("int").alias("cell")).distinct()
+    sent = offered.frame.join(sends, "cell").select("task", F.lit(1).alias("kind"), "cell", "ids", "matrix")
+    # By number and not by hash: every task has its own partition.
+    dealt = own.unionByName(sent).repartitionById(tasks, "task").sortWithinPartitions("kind")
+    meeting = spark.sparkContext.broadcast(wanted)
+
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _stream_matches(batches, n, same_table, meeting.value, only_worst)
+
+    schema = "cell int, worst double" if only_worst else "query bigint, match bigint, score float, rank int"
+    return dealt.mapInArrow(matches, schema)
+
+
 class _Packed(NamedTuple):
     frame: DataFrame
     blocks: int
@@ -258,11 +410,7 @@ def _vectors(batch: pa.RecordBatch, row: int, unit: bool) -> tuple[np.ndarray, n
         batch.column(name).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
         for name in ("ids", "matrix")
     )
-    matrix = values.reshape(len(ids), -1).astype(np.float64)
-    if unit:
-        norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-        matrix = matrix / np.where(norms == 0, 1.0, norms)
-    return ids, matrix
+    return ids, _unit(values.reshape(len(ids), -1), unit)
 
 
 class _Lists:
@@ -326,18 +474,32 @@ class _Lists:
 
 
 def _stream_matches(
-    batches: Iterator[pa.RecordBatch], n: int, same_table: bool
+    batches: Iterator[pa.RecordBatch],
+    n: int,
+    same_table: bool,
+    wanted: np.ndarray | None = None,
+    only_worst: bool = False,
 ) -> Iterator[pa.RecordBatch]:
     """Lists of the queries of a task, which come before all candidates."""
-    lists: list[_Lists] = []
+    lists: list[tuple[int, _Lists]] = []
     for batch in batches:
         kinds = batch.column("kind").to_pylist()
-        for row, kind in enumerate(kinds):
+        cells = [0] * len(kinds) if wanted is None else batch.column("cell").to_pylist()
+        for row, (kind, cell) in enumerate(zip(kinds, cells, strict=True)):
             ids, vectors = _vectors(batch, row, same_table)
             if kind == 0:
-                lists.append(_Lists(ids, vectors, n, same_table))
-            else:
-                for block in lists:
+                lists.append((cell, _Lists(ids, vectors, n, same_table)))
+                continue
+            for own, block in lists:
+                if wanted is None or wanted[own, cell]:
                     block.offer(ids, vectors)
-    for block in lists:
-        yield block.rows()
+    for own, block in lists:
+        if only_worst:
+            # A query that is not finite has no list, whatever it meets.
+            kept = block.scores[np.isfinite(block.norms), -1]
+            worst = float(kept.min()) if len(kept) else float("inf")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([own], pa.int32()), pa.array([worst])], names=["cell", "worst"]
+            )
+        else:
+            yield block.rows()

@@ -98,3 +98,64 @@ def test_every_task_has_its_own_partition(spark):
     best = R._best_matches(df, df, 3, True, block_rows=10, task_blocks=2)
     spread = best.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert len(spread) == 25
+
+
+def clustered(seed, rows, groups=12, size=8):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(groups, size)) * 3
+    values = middles[rng.integers(0, groups, rows)] + rng.normal(size=(rows, size)) * 0.05
+    return values.astype(np.float32)
+
+
+def framed(spark, values, ids=None):
+    ids = range(len(values)) if ids is None else ids
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(ids, values, strict=True)]
+    return spark.createDataFrame(rows, "id int, features array<float>")
+
+
+@pytest.mark.parametrize("n", [1, 6, 100])
+def test_cells_give_the_same_lists(spark, monkeypatch, vectors, n):
+    ids, values = vectors
+    extra = clustered(1, 300)
+    every = np.concatenate((values, extra, np.full((2, 8), np.nan, np.float32)))
+    names = [*ids, *range(5000, 5302)]
+    df = framed(spark, every, names)
+    plain = set(map(tuple, R.similar_items(df, n).collect()))
+    monkeypatch.setattr(R, "CELL_ROWS", 20)
+    assert set(map(tuple, R.similar_items(df, n, block_rows=16, task_blocks=2).collect())) == plain
+    finite = every[:-2]
+    expected = brute_force(names[:-2], finite.astype(np.float64), n)
+    assert {(a, b, r) for a, b, _, r in plain} == expected
+
+
+def test_cells_give_the_same_products(spark, monkeypatch):
+    users, items = clustered(2, 90) * 0.3, clustered(3, 500)
+    items[100:200] = items[100]
+    frames = framed(spark, users), framed(spark, items)
+    plain = set(map(tuple, R.best_products(*frames, 10).collect()))
+    monkeypatch.setattr(R, "CELL_ROWS", 25)
+    assert set(map(tuple, R.best_products(*frames, 10, block_rows=20, task_blocks=2).collect())) == plain
+    empty = framed(spark, users[:0])
+    assert R.best_products(empty, frames[1], 10).isEmpty()
+
+
+def test_cells_send_less_of_clustered_vectors(spark, monkeypatch):
+    df = framed(spark, clustered(4, 4000, groups=40))
+    sent = {}
+    meet = R._meet
+
+    def counted(asked, offered, wanted, n, same_table, task_blocks, only_worst=False):
+        tasks = -(-asked.blocks // task_blocks)
+        cells = asked.frame.select((F.col("block") * tasks / asked.blocks).cast("int").alias("t"), "cell")
+        rows = {r["t"]: set() for r in cells.collect()}
+        for r in cells.collect():
+            rows[r["t"]] |= set(np.flatnonzero(wanted[r["cell"]]))
+        sent[only_worst] = sum(int(offered.rows[list(c)].sum()) for c in rows.values())
+        sent["all"] = len(rows) * int(offered.rows.sum())
+        return meet(asked, offered, wanted, n, same_table, task_blocks, only_worst)
+
+    monkeypatch.setattr(R, "_meet", counted)
+    monkeypatch.setattr(R, "CELL_ROWS", 80)
+    got = R.similar_items(df, 5, block_rows=64, task_blocks=1)
+    assert got.count() == 5 * 4000
+    assert sent[True] + sent[False] < sent["all"] / 3
