@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import threading
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,8 +96,8 @@ def _versions(uri: str) -> str:
     return f"{uri.rstrip('/')}/versions"
 
 
-def _pointer(uri: str) -> str:
-    return f"{uri.rstrip('/')}/pointer"
+def _log(uri: str) -> str:
+    return f"{uri.rstrip('/')}/log"
 
 
 KEPT_VERSIONS = 3  # readers of the last versions before the current one can finish
@@ -110,9 +113,10 @@ def publish_dataset(
 ) -> DataFrame:
     """Publish a stage output under a fixed name and return the published table.
 
-    The rows go to a fresh version folder and are validated there.  Only then is a row
-    appended to the pointer table, so readers see the old version or the new one and never
-    a part of it, also when an executor or the driver is lost half-way.  A version that
+    The rows go to a fresh version folder and are validated there.  Only then is an entry
+    added to the commit log, so readers see the old version or the new one and never a part
+    of it, also when an executor or the driver is lost half-way.  Of writers at the same time
+    each gets an entry of its own, and the later one is current.  A version that
     fails is removed.  ``layout`` names columns by whose ranges the rows are dealt out and
     sorted: row groups then hold narrow ranges and filters on them skip files.
     ``drop_previous`` removes versions older than the last ``keep``.
@@ -135,35 +139,85 @@ def publish_dataset(
 
 
 def new_version(spark: SparkSession, uri: str) -> str:
-    """Folder of a version that comes after the current one, whatever a clock says."""
-    current = published_version(spark, uri)
-    number = int(current.split("-")[0]) + 1 if current else 1
+    """Folder for a version; its place among others is that of its entry in the log."""
+    number = max(_numbers(spark, uri), default=0) + 1
     return f"{_versions(uri)}/{number:012d}-{uuid.uuid4().hex[:8]}"
 
 
-def point_to(spark: SparkSession, uri: str, path: str, rows: int) -> None:
-    """Make a complete version the current one."""
-    row = [(path.rsplit("/", 1)[1], rows)]
-    pointer = spark.createDataFrame(row, "version string, rows bigint")
-    stamped = pointer.withColumn("published_at", F.current_timestamp())
-    stamped.coalesce(1).write.mode("append").parquet(_pointer(uri))
+def point_to(spark: SparkSession, uri: str, path: str, rows: int) -> int:
+    """Make a complete version the current one; the number of its entry in the commit log.
+
+    The next number is taken only if nobody has it yet; else the log is read again and the
+    number after is tried.  An entry appears whole or not at all.
+    """
+    entry = json.dumps({"version": path.rsplit("/", 1)[1], "rows": rows})
+    while True:
+        number = max(_numbers(spark, uri), default=0) + 1
+        if _put_if_absent(spark, f"{_log(uri)}/{number:012d}", entry):
+            return number
 
 
 def drop_versions(spark: SparkSession, uri: str, keep: int = KEPT_VERSIONS) -> None:
     """Remove all published versions but the last ``keep``; unpublished ones stay."""
     if keep < 1:
         raise ValueError("the current version must be kept")
-    versions = [r["version"] for r in spark.read.parquet(_pointer(uri)).select("version").collect()]
-    for version in sorted(set(versions))[:-keep]:
+    for number in sorted(_numbers(spark, uri))[:-keep]:
+        entry = f"{_log(uri)}/{number:012d}"
+        version = _read_entry(spark, entry)["version"]
         _delete(spark, f"{_versions(uri)}/{version}")
+        _delete(spark, entry)
 
 
 def published_version(spark: SparkSession, uri: str) -> str | None:
-    """Name of the version with the highest number; None before the first one."""
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(_pointer(uri))
-    if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
-        return None
-    return spark.read.parquet(_pointer(uri)).agg(F.max("version")).first()[0]
+    """Name of the version that was committed last; None before the first one."""
+    numbers = _numbers(spark, uri)
+    return _read_entry(spark, f"{_log(uri)}/{max(numbers):012d}")["version"] if numbers else None
+
+
+def _numbers(spark: SparkSession, uri: str) -> list[int]:
+    """Numbers of the entries of the commit log; ``drop_versions`` keeps it short."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_log(uri))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    return [int(name) for name in names if name.isdigit()]
+
+
+def _read_entry(spark: SparkSession, path: str) -> dict:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+_COMMITTING = threading.Lock()  # a local file system looks and renames in two steps
+
+
+def _put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file under a name that must be free, by a rename that does not replace;
+    False if somebody has the name."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    draft = hadoop.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    stream = target.getFileSystem(conf).create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    plain = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        with _COMMITTING:
+            hadoop.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, plain)
+    except Py4JJavaError as error:
+        _delete(spark, draft.toString())
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
 
 
 def published_path(spark: SparkSession, uri: str) -> str:

@@ -114,3 +114,31 @@ def test_sizes_come_from_the_files(spark, events, tmp_path):
     events.coalesce(1).write.parquet(str(path))
     size = sum(p.stat().st_size for p in path.iterdir() if p.name.startswith("part-"))
     assert tuple(T.dataset_bytes(spark, str(path)).first()) == (1, size)
+
+
+def test_interleaved_writers_both_get_an_entry(spark, events, tmp_path, monkeypatch):
+    uri = str(tmp_path / "events")
+    T.publish_dataset(events, uri)
+    slow = T.new_version(spark, uri)
+    events.limit(1).write.parquet(slow)
+    # Written, but not committed: as after a crash, readers keep the old version.
+    assert T.read_published(spark, uri).count() == 2
+    T.publish_dataset(events.unionAll(events), uri)
+    # The slow writer looked at the log before the other one committed.
+    seen, numbers = [[1]], T._numbers
+    monkeypatch.setattr(T, "_numbers", lambda s, u: seen.pop() if seen else numbers(s, u))
+    assert T.point_to(spark, uri, slow, 1) == 3
+    assert T.published_path(spark, uri) == slow
+    assert [T._read_entry(spark, f"{uri}/log/{k:012d}")["rows"] for k in (1, 2, 3)] == [2, 4, 1]
+
+
+def test_writers_at_the_same_time(spark, events, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    uri = str(tmp_path / "events")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: T.publish_dataset(events.limit(1 + k % 2), uri), range(6)))
+    assert sorted(T._numbers(spark, uri)) == [1, 2, 3, 4, 5, 6]
+    versions = {T._read_entry(spark, f"{uri}/log/{k:012d}")["version"] for k in range(1, 7)}
+    assert len(versions) == 6 and T.published_version(spark, uri) in versions
+    assert not [p for p in (tmp_path / "events" / "log").iterdir() if p.name.startswith(".") and p.suffix != ".crc"]
