@@ -4,7 +4,7 @@ A paragraph (a non-empty line) is hashed to a wide vector; the fingerprint of a
 sum of the vectors of its paragraphs, lane by lane modulo a power of two. So it does not
 depend on the order of paragraphs, and one can be put in or taken out by adding or
 subtracting its vector alone. ``EXACT`` lanes (modulo 2**64) are uniform and tell multisets
-of paragraphs apart; ``NEAR`` lanes (modulo 2**16) hold a signed count of the paragraph's
+of paragraphs apart; ``NEAR`` lanes (modulo 2**32) hold a signed count of the paragraph's
 runs of three words, so that the inner product of two fingerprints estimates what they share.
 """
 
@@ -31,9 +31,9 @@ _LINE[10] = False
 
 
 def fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(EXACT lanes uint64, NEAR lanes uint16) of every text of a column; null is empty."""
+    """(EXACT lanes uint64, NEAR lanes uint32) of every text of a column; null is empty."""
     exact = np.zeros((len(column), EXACT), np.uint64)
-    near = np.zeros((len(column), NEAR), np.uint16)
+    near = np.zeros((len(column), NEAR), np.uint32)
     for piece in texts.slices(column):
         n = len(piece.bounds) - 1
         lines = texts.words(piece, _LINE)
@@ -49,7 +49,7 @@ def fingerprints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         sign = np.where((value >> np.uint64(20)) & np.uint64(1), 1, -1)
         cell = lines.text[owner] * NEAR + (value & np.uint64(NEAR - 1)).astype(np.int64)
         sums = np.bincount(cell, weights=sign, minlength=n * NEAR).astype(np.int64)
-        near[piece.first : piece.first + n] = sums.reshape(n, NEAR).astype(np.uint16)
+        near[piece.first : piece.first + n] = sums.reshape(n, NEAR).astype(np.uint32)
     return exact, near
 
 
@@ -60,13 +60,13 @@ def combined(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
 
 
 def encoded(exact: np.ndarray, near: np.ndarray) -> list[str]:
-    data = np.concatenate((exact.astype("<u8").view(np.uint8), near.astype("<u2").view(np.uint8)), 1)
+    data = np.concatenate((exact.astype("<u8").view(np.uint8), near.astype("<u4").view(np.uint8)), 1)
     return [base64.b64encode(row.tobytes()).decode() for row in data]
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Estimated share of common runs, 2ab / (aa + bb), from 0 to 1; equal fingerprints: 1."""
-    x, y = a[1].view(np.int16).astype(np.float64), b[1].view(np.int16).astype(np.float64)
+    x, y = a[1].view(np.int32).astype(np.float64), b[1].view(np.int32).astype(np.float64)
     total = (x * x).sum(1) + (y * y).sum(1)
     share = 2 * (x * y).sum(1) / np.maximum(total, 1)
     same = (a[0] == b[0]).all(1) & (a[1] == b[1]).all(1)

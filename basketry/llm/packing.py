@@ -40,12 +40,22 @@ _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_SIGNS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
+# What a vocabulary must give chunk by chunk as it does at once, for chunks to be looked up.
+_PROBES = (
+    "The quick brown FOX, it jumped! (over) 12 dogs; isn't Über-naïve çà ÉTÉ straße.",
+    "a  b\n\nc\td  Mixed CaSe words*** 3.14 x|y -- end",
+    "   leading and trailing   ",
+    "Ünï cødé 日本語 \U0001f600 don't #tag $5 %% &&",
+)
+
+
 class ChunkIds(dict):
     """Ids (little-endian unsigned 32-bit) of a text between white space, remembered.
 
-    The vocabulary divides words at white space and between letters and signs, so a chunk's
-    ids do not depend on its neighbours. Latin letters followed by plain signs are looked up
-    apart, letters straight in the model; anything else goes through the whole tokenizer.
+    A vocabulary that divides words at white space and between letters and signs gives a chunk
+    the same ids whatever its neighbours. Latin letters followed by plain signs are looked up
+    apart, letters straight in the model; anything else goes through the whole tokenizer. A
+    vocabulary that does otherwise with any of the probes tokenises every text whole.
     """
 
     def __init__(self, tokenizer):
@@ -54,6 +64,11 @@ class ChunkIds(dict):
         self.model = tokenizer.model
         self.words: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
+        self.by_chunk = True
+        try:
+            self.by_chunk = all(self.of(probe) == self.whole(probe) for probe in _PROBES)
+        except Exception:  # what the library raises for letters that a model does not know
+            self.by_chunk = False
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -79,7 +94,7 @@ class ChunkIds(dict):
         return ids
 
     def of(self, text: str) -> bytes:
-        if _UNSURE.search(text):
+        if not self.by_chunk or _UNSURE.search(text):
             return self.whole(text)
         if len(self) > CACHED_CHUNKS:
             self.clear()

@@ -69,6 +69,34 @@ def test_paragraphs_can_be_added_taken_out_and_reordered():
     assert (of(a + "\n" + a)[0] != of(a)[0]).any()
 
 
+def test_likeness_equals_a_plain_count_of_runs():
+    def counted(text):
+        """Runs of three words of every line; of a shorter line the whole."""
+        lanes = Counter()
+        for line in text.split("\n"):
+            words = line.split()
+            runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)] or [tuple(words)] * bool(words)
+            lanes.update(runs)
+        return lanes
+
+    def plain(a, b):
+        x, y = counted(a), counted(b)
+        both = sum(n * y[run] for run, n in x.items())
+        return 2 * both / (sum(n * n for n in x.values()) + sum(n * n for n in y.values()))
+
+    def likeness(a, b):
+        one, other = (fingerprints.fingerprints(pa.array([t])) for t in (a, b))
+        return fingerprints.likeness(one, other)[0]
+
+    long = "\n".join(prose(k, 40) for k in range(30))
+    half = "\n".join(long.split("\n")[:15] + [prose(100 + k, 40) for k in range(15)])
+    assert abs(likeness(long, half) - plain(long, half)) < 0.1
+    assert likeness(long, prose(300, 900)) < 0.15
+    # More equal runs than 16 bits hold, against half as many.
+    for n in (30_000, 70_000, 200_000):
+        assert likeness("a " * n, "a " * (n // 2)) == pytest.approx(plain("a " * n, "a " * (n // 2)))
+
+
 # Decontamination
 
 
@@ -168,6 +196,20 @@ def test_packed_documents(documents, spark, folder):
     assert sequences <= 1.01 * tokens / 2048 + 1
 
 
+def test_any_vocabulary_gives_the_tokenizer_s_ids(documents):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    for name, by_chunk in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        tokenizer = Tokenizer.from_file(path)
+        known = packing.ChunkIds(tokenizer)
+        assert known.by_chunk == by_chunk
+        for _, text in text_rows(documents):
+            expected = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert known.of(text) == expected
+
+
 def test_packing_odd_documents_in_several_streams(odd_docs, no_docs):
     pieces = packing.token_pieces(odd_docs.withColumnRenamed("n_chars", "length"), vocabulary(), 64)
     got = packing.best_fit(pieces, 64, open_bins=3, tasks=3).collect()
