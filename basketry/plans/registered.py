@@ -353,6 +353,23 @@ def comparison_report(x: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "Q7",
+    """SELECT itemid, property, in_left, in_right FROM (
+         SELECT itemid, property, count(*) FILTER (side = 1) AS in_left,
+                count(*) FILTER (side = 2) AS in_right
+         FROM (SELECT itemid, property, 1 AS side FROM item_properties
+               UNION ALL
+               SELECT itemid, property, 2 FROM item_properties WHERE itemid % 50 <> 7)
+         GROUP BY itemid, property)
+       WHERE in_left <> in_right""",
+)
+def differing_rows(x: Inputs) -> DataFrame:
+    """Properties of items against the same table without some items."""
+    pairs = x.item_properties().select("itemid", "property")
+    return Q.differing_rows(pairs, pairs.where("itemid % 50 <> 7"))
+
+
 @query(
     "Q8",
     """SELECT property, count(*) AS rows,

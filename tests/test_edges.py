@@ -326,3 +326,27 @@ def test_served_lists_have_bounds(frame):
     for k in (0, 101):
         with pytest.raises(ValueError, match="between 1 and 100"):
             V.serve_batch(empty, events, top_k=k)
+
+
+def test_comparison_moves_digests_and_not_rows(spark, frame):
+    rows = [(1, None, "a"), (None, 1, "a"), (2, 2, None), (2, 2, None), (3, 0, "")]
+    schema = "x int, y int, z string"
+    left = frame(rows, schema)
+
+    def compared(other):
+        return tuple(Q.compare_datasets(left, frame(other, schema)).first())[2:]
+
+    assert compared(rows[::-1]) == (5, 3, True, True)
+    assert compared([(None, 1, "a"), (None, 1, "a"), *rows[2:]]) == (5, 3, True, False)
+    assert compared(rows[:-1]) == (4, 3, False, False)
+    assert compared([*rows[:3], rows[4], rows[4]]) == (5, 3, True, False)
+    assert compared([*rows[:4], (3, 0, None)]) == (5, 3, True, False)
+    nothing = frame([], schema)
+    assert tuple(Q.compare_datasets(nothing, nothing).first()) == (0, 3, 0, 3, True, True)
+    other = frame([*rows[:3], (3, 0, ""), (3, 0, ""), (9, 9, "n")], schema)
+    got = rows_of(Q.differing_rows(left, other))
+    assert got == sorted([(2, 2, None, 2, 1), (3, 0, "", 1, 2), (9, 9, "n", 0, 1)], key=repr)
+    assert Q.differing_rows(left, left).isEmpty()
+    plan = Q.compare_datasets(left, left)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any(f"{c}#" in line for line in moved for c in "xyz")
