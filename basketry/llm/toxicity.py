@@ -4,8 +4,9 @@ The lexicon comes from labelled rows: words and word beginnings that are much mo
 in toxic texts. Its trie, walked with one allowed error for whole words, is made into one
 deterministic automaton over letters as far as texts reach it, and all words of a batch step
 through it together.
-A hit counts by its context: alone in its window of words, or inside quotation marks, it is
-more likely quoted; hits that stand close together are abuse.
+A hit counts by its context: between paired quotation marks or on a quoting line it is worth
+less, near a word that reports speech still less; the window of words around a hit sums what
+the hits in it are worth, so direct hits that stand close together are abuse.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from basketry.llm import texts
 from basketry.llm.memory import returning
 from basketry.llm.quality import fit_logistic
+from basketry.llm.quotation import quoted, reported
 from basketry.llm.sampling import fold, labelled
 from basketry.session import ship_package
 
@@ -40,7 +42,8 @@ ALIKE = dict(
         strict=True,
     )
 )
-QUOTES = np.array([ord(c) for c in "\"'`"])
+QUOTED = 0.3  # worth of a quoted hit
+REPORTED = 0.15  # of a quoted hit near a word that reports speech
 MISSPELLED = 0.6  # weight of a hit with an error
 MOST_STATES = 50_000  # of an automaton that are kept from one slice of texts to the next
 
@@ -266,21 +269,19 @@ def evidence(automaton: Automaton, column: pa.Array) -> np.ndarray:
             continue
         begin = np.concatenate(([0], np.cumsum(counts)))
         owner = found.text[hit]
+        cited = quoted(piece, found, _letters()[0], hit)
+        weight[hit[cited]] *= np.where(reported(piece, found, hit[cited]), REPORTED, QUOTED)
         sums = np.concatenate(([0.0], np.cumsum(weight)))
         lo = np.maximum(hit - WINDOW, begin[owner])
         hi = np.minimum(hit + WINDOW + 1, begin[owner + 1])
         around = sums[hi] - sums[lo]
-        before = piece.data[np.maximum(found.start[hit] - 1, 0)]
-        after = piece.data[np.minimum(found.end[hit], len(piece.data) - 1)]
-        quoted = np.isin(before, QUOTES) & np.isin(after, QUOTES)
-        worth = np.where(quoted, 0.3, 1.0) * weight[hit]
-        total = np.bincount(owner, weights=worth, minlength=n)
-        np.maximum.at(rows[:, 1], owner, np.where(quoted, 0.3, 1.0) * around)
+        total = np.bincount(owner, weights=weight[hit], minlength=n)
+        np.maximum.at(rows[:, 1], owner, around)
         rows[:, 0] = np.minimum(40 * total / (counts + 20), 6)
         rows[:, 1] = np.minimum(rows[:, 1], 12)
         rows[:, 2] = np.minimum(3 * total / np.sqrt(counts + 10), 9)
         hits = np.bincount(owner, minlength=n)
-        rows[:, 3] = np.bincount(owner, weights=quoted, minlength=n) / np.maximum(hits, 1)
+        rows[:, 3] = np.bincount(owner, weights=cited, minlength=n) / np.maximum(hits, 1)
     return out
 
 

@@ -159,6 +159,41 @@ def test_quoted_and_lone_hits_count_less():
     assert (found[3:] == 0).all()
 
 
+def test_quoted_phrases_of_all_kinds_count_less_than_direct_use():
+    automaton = toxicity.compile_terms([toxicity.Term("clown", 1.0, False)])
+    filler = prose(41, 60)
+    direct = [
+        "you stupid clown",
+        "don't be such a clown, it's sad",
+        "clown's play, dogs' food",
+        "the \"good\" clown and the \"bad\" one",
+        "he opened \"with\nclown\" and left",
+        "5 > 4 you clown",
+        "“ " + "la " * 60 + "clown " + "”",
+        "",
+    ]
+    cited = [
+        'you "stupid old clown" there',
+        "you “stupid old clown” there",
+        "you „stupid old clown“ there",
+        "you « stupid old clown » there",
+        "you »stupid old clown« there",
+        "you ‘stupid old clown’ there",
+        "you 'a stupid clown's hat' there",
+        "you 「stupid old clown」 there",
+        "you (\"stupid 'old' clown!\") there",
+        "hello\n  > stupid old clown there",
+    ]
+    found = toxicity.evidence(automaton, pa.array([f"{t} \n{filler}" for t in direct + cited]))
+    assert (found[: len(direct), 3] == 0).all() and (found[len(direct) :, 3] == 1).all()
+    assert found[len(direct) :, 0].max() < 0.5 * found[: len(direct) - 1, 0].min()
+    # A reporting word takes still more away, but not from direct use or in another text.
+    told = ["he wrote “you clown” to", "he took “you clown” to", "he wrote you clown to", "he wrote"]
+    found = toxicity.evidence(automaton, pa.array([*told, "“you clown” to"]))
+    assert 0 < found[0, 1] < found[1, 1] < found[2, 1] == pytest.approx(1)
+    assert found[4, 1] == pytest.approx(found[1, 1]) and (found[3] == 0).all()
+
+
 # URL rules
 
 
