@@ -25,6 +25,7 @@ from basketry.session import scratch_path, ship_package
 
 LINKS = 500_000  # to a block, about
 BATCH = 256  # systems that are solved together
+ALONE, SUMMED = -1, -2  # blocks without ids that have many links, and with some
 GATHER = 64  # sums of one id that are added at a time
 PACKED = "kind string, block int, other int, ids binary, ends binary, places binary, weights binary, many binary"
 VECTORS = "kind string, block int, id long, ids binary, vectors binary, squared double, norm double"
@@ -138,8 +139,10 @@ def _written(spark: SparkSession, path: str, build) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, path: str) -> DataFrame:
-    """Solved blocks, and the ids solved from sums, which have a table beside them."""
+    """Solved blocks, and the ids solved from sums, which have a table beside them if any."""
     solved = spark.read.schema(VECTORS).parquet(f"{path}/blocks").where("kind = 'solved'")
+    if not _whole(spark, f"{path}/summed"):
+        return solved
     return solved.unionByName(spark.read.schema(VECTORS).parquet(f"{path}/summed"))
 
 
@@ -187,7 +190,7 @@ def _pack(links: pa.Table) -> pa.Table:
         {
             "kind": "links",
             "block": int(block[0]),
-            "other": -1,
+            "other": SUMMED if many.any() else ALONE,
             "ids": ids.astype(np.int64).tobytes(),
             "ends": np.append(first, len(target)).astype(np.int64).tobytes(),
             "places": place[by_target].astype(np.int32).tobytes(),
@@ -353,6 +356,8 @@ def _half(run: _Run, packed: DataFrame, vectors: DataFrame, totals: Totals, path
     solved = links.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(solve, VECTORS)
     solved.write.mode("overwrite").parquet(f"{path}/blocks")
     blocks = run.spark.read.schema(VECTORS).parquet(f"{path}/blocks")
+    if packed.where(F.col("other") == SUMMED).isEmpty():
+        return _vectors(run.spark, path)
     # In two rounds, as an id with a large share of all links has sums of every block.
     parts = blocks.where("kind = 'sums'").withColumn("part", F.floor(F.col("block") / GATHER))
     parts = parts.groupBy("id", "part").applyInArrow(add, VECTORS)

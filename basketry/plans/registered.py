@@ -16,6 +16,7 @@ from basketry.config import AlsConfig, RankerConfig
 from basketry.operators import candidates as C
 from basketry.operators import cleaning as I
 from basketry.operators import evaluation as M
+from basketry.operators import factorisation as A
 from basketry.operators import generators as R
 from basketry.operators import quality as Q
 from basketry.operators import ranker as K
@@ -841,6 +842,38 @@ def train_als(x: Inputs) -> DataFrame:
     return loss.select("pairs", (F.col("squared_error") < zeros).alias("better_than_zeros"))
 
 
+@query(
+    "R2",
+    f"""SELECT count(DISTINCT user_id) AS users, count(DISTINCT item_id) AS items,
+               CAST({AlsConfig().iterations} AS BIGINT) AS iterations,
+               CAST(0 AS BIGINT) AS rises, true AS loss_of_factors
+        FROM interactions WHERE weight > 0""",
+)
+def factorise(x: Inputs) -> DataFrame:
+    """Vectors, iterations, those after which the loss is higher than before, and whether the
+    last loss is that of the factors."""
+    weighted = _interactions(x)
+    found = A.factorise(weighted)
+    total = F.col("squared_error") + F.col("penalty")
+    before = F.lag(total).over(Window.orderBy("step"))
+    own = R.als_training_loss(found, weighted).select("squared_error").scalar()
+    return (
+        found.loss.withColumn("rise", total > before * (1 + 1e-9))
+        .agg(
+            F.count(F.lit(1)).alias("iterations"),
+            F.count_if("rise").alias("rises"),
+            F.max_by("squared_error", "step").alias("last"),
+        )
+        .select(
+            found.userFactors.agg(F.count(F.lit(1))).scalar().alias("users"),
+            found.itemFactors.agg(F.count(F.lit(1))).scalar().alias("items"),
+            "iterations",
+            "rises",
+            (F.abs(F.col("last") / own - 1) < 1e-4).alias("loss_of_factors"),
+        )
+    )
+
+
 def _list_shape(lists: DataFrame, owner: str, item: str) -> DataFrame:
     """Per list: rows, distinct items, ranks left out, and scores above the one before."""
     before = F.lag("score").over(Window.partitionBy(owner).orderBy("rank"))
