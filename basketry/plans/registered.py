@@ -33,6 +33,7 @@ from basketry.plans.inputs import (
 )
 from basketry.plans.oracle_views import with_views
 from basketry.session import scratch_path
+from basketry.sources import dictionary as D
 from basketry.sources import tables as T
 
 
@@ -762,6 +763,22 @@ def encode_ids(x: Inputs) -> DataFrame:
     return S.encode_ids(x.order_events(), "visitorid")
 
 
+@query(
+    "S5",
+    """SELECT visitorid, row_number() OVER (ORDER BY arrived, visitorid) - 1 AS index
+       FROM (SELECT visitorid, min(year(timestamp)) AS arrived FROM order_events GROUP BY 1)""",
+)
+def append_ids(x: Inputs) -> DataFrame:
+    """Numbers after the events of one year after the other were appended."""
+    events = x.order_events().withColumn("arrived", F.year("timestamp"))
+    uri = scratch_path(x.spark, "ids")
+    found = D.append_ids(events.limit(0), "visitorid", uri)
+    # One row a year.
+    for row in events.select("arrived").distinct().orderBy("arrived").collect():
+        found = D.append_ids(events.where(F.col("arrived") == row["arrived"]), "visitorid", uri)
+    return found
+
+
 @query("S5", "SELECT timestamp, visitorid, event, itemid, transactionid FROM shop_events")
 def decode_ids(x: Inputs) -> DataFrame:
     events = x.shop_events()
