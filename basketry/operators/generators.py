@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import POSITIVE_EVENTS, AlsConfig
+from basketry.functions.ranking import top_n_per_group
 from basketry.operators.splits import positive_pairs
 from basketry.session import checkpoint_root, scratch_path, ship_package
 
@@ -198,7 +199,8 @@ def _best_matches(
     vectors ever becomes a row; the lists leave the task ranked.  A candidate block is
     ordered by norm: from where norm times norm cannot reach the worst kept score, its rest
     is skipped.  Many candidates are first cut into cells, see ``_matches_by_cells``; of few,
-    every task gets all.
+    every task gets all.  If one block holds all queries, that block goes to the candidates
+    instead, see ``_matches_of_few``.
 
     Scores are products in double precision, rounded to 32-bit floats and ordered by those,
     ties by id.  Within one table (``same_table``) the measure is the cosine and a vector is
@@ -208,6 +210,8 @@ def _best_matches(
     ship_package(spark)
     cells = min(CELLS, candidates.count() // CELL_ROWS)
     if cells > 1:
+        if queries.limit(block_rows + 1).count() <= block_rows:
+            return _matches_of_few(queries, candidates, n, same_table, block_rows, task_blocks)
         return _matches_by_cells(queries, candidates, n, same_table, cells, block_rows, task_blocks)
     asked = _pack(queries, block_rows, at_least=spark.sparkContext.defaultParallelism)
     offered = _pack(candidates, block_rows)
@@ -231,6 +235,34 @@ def _best_matches(
     return dealt.mapInArrow(matches, "query bigint, match bigint, score float, rank int")
 
 
+def _matches_of_few(
+    queries: DataFrame, candidates: DataFrame, n: int, same_table: bool, block_rows: int, task_blocks: int
+) -> DataFrame:
+    """The same lists, of queries that fit into one block.
+
+    Every task gets that block and its own blocks of candidates, so a candidate travels once
+    and the work grows with the candidates alone.  The lists of the tasks are merged; a task
+    sends at most ``n`` rows per query.
+    """
+    asked = _pack(queries, block_rows)
+    offered = _pack(candidates, block_rows, at_least=candidates.sparkSession.sparkContext.defaultParallelism)
+    tasks = math.ceil(offered.blocks / task_blocks)
+    tasks = max(tasks, min(offered.blocks, candidates.sparkSession.sparkContext.defaultParallelism))
+    task_of = F.floor(F.col("block") * F.lit(tasks) / F.lit(offered.blocks)).cast("int")
+    every_task = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))
+    rows = asked.frame.select(every_task.alias("task"), F.lit(0).alias("kind"), "ids", "matrix").unionByName(
+        offered.frame.select(task_of.alias("task"), F.lit(1).alias("kind"), "ids", "matrix")
+    )
+    # By number and not by hash: every task has its own partition.
+    dealt = rows.repartitionById(tasks, "task").sortWithinPartitions("kind")
+
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _stream_matches(batches, n, same_table)
+
+    found = dealt.mapInArrow(matches, "query bigint, match bigint, score float, rank int").drop("rank")
+    return top_n_per_group(found, ["query"], [F.desc("score"), F.col("match")], n)
+
+
 def _unit(matrix: np.ndarray, unit: bool) -> np.ndarray:
     """``unit``: scaled to length 1, zeros stay."""
     matrix = matrix.astype(np.float64)

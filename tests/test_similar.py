@@ -159,3 +159,20 @@ def test_cells_send_less_of_clustered_vectors(spark, monkeypatch):
     got = R.similar_items(df, 5, block_rows=64, task_blocks=1)
     assert got.count() == 5 * 4000
     assert sent[True] + sent[False] < sent["all"] / 3
+
+
+@pytest.mark.parametrize("n", [1, 6, 100])
+def test_few_queries_send_every_candidate_once(spark, monkeypatch, vectors, n):
+    ids, values = vectors
+    every = np.concatenate((values, clustered(1, 300), np.full((2, 8), np.nan, np.float32)))
+    names = [*ids, *range(5000, 5302)]
+    df = framed(spark, every, names)
+    wanted = spark.createDataFrame([(i,) for i in [*ids[5:25], ids[40], 5301, 5100, 12345]], "id int")
+    plain = set(map(tuple, R.similar_for_items(df, wanted, n).collect()))
+    monkeypatch.setattr(R, "CELL_ROWS", 20)
+    monkeypatch.setattr(R, "_matches_by_cells", None)
+    got = R.similar_for_items(df, wanted, n, block_rows=30, task_blocks=2).collect()
+    assert len(got) == len(plain)
+    # A product's last bit depends on the shape of its block.
+    assert {(r["itemid"], r["similar_itemid"], r["rank"]) for r in got} == {(a, b, r) for a, b, _, r in plain}
+    assert len({r["itemid"] for r in got}) == 22
