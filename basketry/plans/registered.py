@@ -1256,6 +1256,11 @@ def _train(x: Inputs) -> DataFrame:
     return K.valid_groups(_labelled(x))
 
 
+def _training_rows(x: Inputs) -> DataFrame:
+    """The same rows, written once: fitting bins, merging and scoring each read them."""
+    return x.stage("training", lambda: _train(x))
+
+
 @query("K7", _TRAIN_SQL + "labelled")
 def label_candidates(x: Inputs) -> DataFrame:
     return _train_rows(_labelled(x))
@@ -1287,7 +1292,7 @@ def _ranker(x: Inputs):
 
     path = _RANKERS.get((x.spark.sparkContext.applicationId, x.folder))
     if path is None:
-        path = K.save_ranker(K.train_ranker(_train(x)), scratch_path(x.spark, "ranker"))
+        path = K.save_ranker(K.train_ranker(_training_rows(x)), scratch_path(x.spark, "ranker"))
         _RANKERS[(x.spark.sparkContext.applicationId, x.folder)] = path
     return K.load_ranker(path)
 
@@ -1302,7 +1307,8 @@ _RANKERS: dict[tuple[str, str], str] = {}
 )
 def train_ranker(x: Inputs) -> DataFrame:
     """Scores of the training rows; positives score above negatives on average."""
-    scored = K.score_candidates(K.train_ranker(_train(x)), _train(x))
+    train = _training_rows(x)
+    scored = K.score_candidates(K.train_ranker(train), train)
     return scored.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("score").isNull()).alias("null_scores"),
@@ -1322,7 +1328,8 @@ def train_ranker_grouped(x: Inputs) -> DataFrame:
     """As ``train_ranker``, with the loss on the order within each user: positives score above
     the mean of their own user's candidates."""
     config = RankerConfig(loss="grouped")
-    scored = K.score_candidates(K.train_ranker(_train(x), config), _train(x))
+    train = _training_rows(x)
+    scored = K.score_candidates(K.train_ranker(train, config), train)
     own = F.avg("score").over(Window.partitionBy("user_id"))
     return scored.withColumn("above", F.col("score") - own).agg(
         F.count(F.lit(1)).alias("rows"),

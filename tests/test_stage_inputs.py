@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from basketry.config import RankerConfig
+from basketry.operators import candidates as C
 from basketry.operators import generators as R
+from basketry.operators import ranker as K
 from basketry.plans.inputs import CANDIDATES, SIMILAR_N, Inputs
-from basketry.operators import candidates as C
+from basketry.plans.registered import REGISTERED
 
 
 def test_neighbours_are_of_touched_items_only_and_lose_no_candidate(spark, folder):
@@ -20,3 +25,25 @@ def test_neighbours_are_of_touched_items_only_and_lose_no_candidate(spark, folde
     keys = ["user_id", "item_id", "similarity_rank", "similarity_sources"]
     assert whole.select(keys).exceptAll(part.select(keys)).isEmpty()
     assert part.select(keys).exceptAll(whole.select(keys)).isEmpty()
+
+
+def test_the_ranker_is_trained_on_written_rows(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr("basketry.plans.registered._RANKERS", {})
+    train = K.train_ranker
+
+    def spy(rows, *args):
+        seen.append(rows)
+        return train(rows, RankerConfig(iterations=1, depth=2))
+
+    monkeypatch.setattr(K, "train_ranker", spy)
+    for name in ("train_ranker", "train_ranker_grouped", "score_candidates"):
+        REGISTERED[name](spark, folder)
+    monkeypatch.undo()
+    assert len(seen) == 3
+    for rows in seen:
+        # Neither the labels nor the groups are worked out again by each reader.
+        assert not re.search(r"Join|Window|Exchange", rows._jdf.queryExecution().executedPlan().toString())
+    x = Inputs(spark, folder)
+    whole = K.valid_groups(K.label_candidates(x.candidates(), x.positives()))
+    assert whole.exceptAll(seen[0]).isEmpty() and seen[0].exceptAll(whole).isEmpty()
