@@ -60,14 +60,19 @@ def catalog_size(props: DataFrame) -> DataFrame:
 
 
 def novelty_map(events: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Self-information of every item among all events before the evaluation window."""
+    """Self-information of every item among all events before the evaluation window.
+
+    Their number is summed from the items' counts, so the events are read once.
+    """
     past = before(normalize_interactions(events), bounds, "evaluation_start")
-    total = past.agg(F.count("item_id").alias("events")).select("events").scalar()
-    return (
+    counts = (
         past.where(F.col("item_id").isNotNull())
         .groupBy("item_id")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("item_id", (-F.log2(F.col("_n").cast("double") / total)).alias("novelty"))
+    )
+    total = counts.agg(F.sum("_n").alias("events")).scalar()
+    return counts.select(
+        "item_id", (-F.log2(F.col("_n").cast("double") / total)).alias("novelty")
     )
 
 

@@ -1459,7 +1459,7 @@ def _novelty(x: Inputs) -> DataFrame:
 
 
 def _catalog(x: Inputs) -> DataFrame:
-    return M.catalog_size(x.item_properties())
+    return M.catalog_size(x.property_items())
 
 
 @query("M1", "SELECT user_id, item_id FROM truth")

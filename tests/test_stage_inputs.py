@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.config import RankerConfig
 from basketry.operators import candidates as C
+from basketry.operators import evaluation as M
 from basketry.operators import generators as R
 from basketry.operators import ranker as K
 from basketry.plans.inputs import CANDIDATES, SIMILAR_N, Inputs
@@ -47,3 +48,20 @@ def test_the_ranker_is_trained_on_written_rows(spark, folder, monkeypatch):
     x = Inputs(spark, folder)
     whole = K.valid_groups(K.label_candidates(x.candidates(), x.positives()))
     assert whole.exceptAll(seen[0]).isEmpty() and seen[0].exceptAll(whole).isEmpty()
+
+
+def test_metrics_read_events_and_properties_once(spark, folder):
+    x = Inputs(spark, folder)
+    items = x.item_properties().select("itemid").distinct()
+    assert items.exceptAll(x.property_items().distinct()).isEmpty()
+    assert x.property_items().distinct().exceptAll(items).isEmpty()
+    novelty = M.novelty_map(x.shop_events(), spark.createDataFrame(x.bounds().collect(), x.bounds().schema))
+    # One scan of the events: the total is a sum over the same exchange.
+    assert "ReusedExchange" in final_plan(novelty)
+    catalog = final_plan(REGISTERED["catalog_size"](spark, folder))
+    assert sum("FileScan" in line and "l_partkey" in line for line in catalog.splitlines()) == 1
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
