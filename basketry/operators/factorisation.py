@@ -3,7 +3,8 @@
 Every user and item belongs to a block by the hash of its id. Links are packed once: a block of
 one side knows its links and, per block of the other side, which vectors it needs (its
 route). A half step sends along the routes only those vectors, once each, and solves the
-block; no row of the links is joined. What all solves share, the Gram matrix of the other
+block; no row of the links is joined. Links of an id that has many stay where their vectors
+are: every block sends its sums of them. What all solves share, the Gram matrix of the other
 side, is summed by Spark, and the loss comes out of the same solves.
 """
 
@@ -24,9 +25,11 @@ from basketry.config import AlsConfig
 from basketry.session import scratch_path, ship_package
 
 LINKS = 500_000  # to a block, about
-BATCH = 256  # systems that are solved together
+BATCH = 256  # systems that are solved together, at most,
+PADDED = 65_536  # if their links, padded to the longest, are no more than this
 ALONE, SUMMED = -1, -2  # blocks without ids that have many links, and with some
 GATHER = 64  # sums of one id that are added at a time
+DEAR = 16  # how many times the rows of its sums an id's links may be before the sums travel
 PACKED = "kind string, block int, other int, ids binary, ends binary, places binary, weights binary, many binary"
 VECTORS = "kind string, block int, id long, ids binary, vectors binary, squared double, norm double"
 MESSAGE = "block int, other int, vectors binary"
@@ -70,8 +73,8 @@ def factorise(
     observation. Without any, the tables are empty and the loss is 0.
 
     Every iteration is written under ``folder``; called again with the same folder, settings
-    and input, the work goes on behind the last whole iteration. An id with more than a
-    quarter of ``links`` links is solved from sums over several blocks.
+    and input, the work goes on behind the last whole iteration. An id with many links (see
+    ``_most``) is solved from sums over several blocks.
     """
     spark = interactions.sparkSession
     ship_package(spark)
@@ -97,15 +100,16 @@ def factorise(
     run = _Run(spark, root, config, links, size.first()["blocks"])
     users = _packed(run, pairs, "user_id", "item_id")
     items = _packed(run, pairs, "item_id", "user_id")
+    users_summed, items_summed = (not p.where(F.col("other") == SUMMED).isEmpty() for p in (users, items))
     item_vectors = _written(spark, f"{root}/start", lambda: _start(run, pairs))
     item_totals = _totals(item_vectors, config.factors)
     user_vectors = item_vectors.limit(0)
     for step in range(1, config.iterations + 1):
         here = f"{root}/step-{step:05d}"
         if not _whole(spark, f"{here}/loss"):
-            user_vectors = _half(run, users, item_vectors, item_totals, f"{here}/users")
+            user_vectors = _half(run, users, users_summed, item_vectors, item_totals, f"{here}/users")
             user_totals = _totals(user_vectors, config.factors)
-            item_vectors = _half(run, items, user_vectors, user_totals, f"{here}/items")
+            item_vectors = _half(run, items, items_summed, user_vectors, user_totals, f"{here}/items")
             item_totals = _totals(item_vectors, config.factors)
             penalty = config.regularization * (item_totals.norm + user_totals.norm)
             row = [(step, float(item_totals.squared), float(penalty))]
@@ -120,7 +124,12 @@ def factorise(
     if config.iterations:
         steps = [f"{root}/step-{k:05d}/loss" for k in range(1, config.iterations + 1)]
         losses = spark.read.schema(losses.schema).parquet(*steps)
-    return Factorisation(_rows(user_vectors, config.factors), _rows(item_vectors, config.factors), losses)
+    last = f"{root}/step-{config.iterations:05d}"
+    users, items = (
+        _written(spark, f"{last}/{name}-rows", lambda v=vectors: _rows(v, config.factors))
+        for name, vectors in (("user", user_vectors), ("item", item_vectors))
+    )
+    return Factorisation(users, items, losses)
 
 
 # Tables of a run ----------------------------------------------------------------------------
@@ -150,14 +159,26 @@ def _block(run: _Run, column: Column) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(run.blocks)).cast("int")
 
 
+def _most(links: int, factors: int, blocks: int) -> int:
+    """Links of an id up to which its block gets their vectors.
+
+    The sums of an id are ``factors`` rows from each block, a link at most one row. Ids with
+    more links are few, at most the larger of ``links`` / (DEAR * ``factors``) and four to a
+    block, and a source has no more links to them than that.
+    """
+    return min(links // 4, DEAR * factors * blocks)
+
+
 def _packed(run: _Run, pairs: DataFrame, target: str, source: str) -> DataFrame:
     """Blocks of links by target, and their routes by block of the source.
 
-    Links of a target that has many are dealt to blocks by their source.
+    Links of a target that has many are dealt to the blocks of their sources, whose vectors
+    then go to no other block on its account.
     """
 
     def build() -> DataFrame:
-        many = pairs.groupBy(target).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > run.links // 4)
+        most = _most(run.links, run.config.factors, run.blocks)
+        many = pairs.groupBy(target).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
         linked = pairs.join(many.select(target, F.lit(True).alias("many")), target, "left").select(
             F.coalesce("many", F.lit(False)).alias("many"),
             F.col(target).alias("target"),
@@ -165,8 +186,7 @@ def _packed(run: _Run, pairs: DataFrame, target: str, source: str) -> DataFrame:
             F.col("weight"),
             _block(run, F.col(source)).alias("other"),
         )
-        dealt = F.pmod(F.xxhash64("target", "source"), F.lit(run.blocks)).cast("int")
-        block = F.when(F.col("many"), dealt).otherwise(_block(run, F.col("target")))
+        block = F.when(F.col("many"), F.col("other")).otherwise(_block(run, F.col("target")))
         return linked.withColumn("block", block).groupBy("block").applyInArrow(_pack, PACKED)
 
     return _written(run.spark, f"{run.folder}/packed-{target}", build)
@@ -285,7 +305,9 @@ def _totals(vectors: DataFrame, factors: int) -> Totals:
 # One half step ------------------------------------------------------------------------------
 
 
-def _half(run: _Run, packed: DataFrame, vectors: DataFrame, totals: Totals, path: str) -> DataFrame:
+def _half(
+    run: _Run, packed: DataFrame, summed: bool, vectors: DataFrame, totals: Totals, path: str
+) -> DataFrame:
     """The best vectors of one side, given those of the other and their sums."""
     config, gram = run.config, totals.gram
     factors, alpha = config.factors, config.alpha
@@ -319,14 +341,19 @@ def _half(run: _Run, packed: DataFrame, vectors: DataFrame, totals: Totals, path
         many = np.frombuffer(row["many"], bool)
         out = []
         alone = np.flatnonzero(~many)
-        solved, squared = np.zeros((len(alone), factors)), 0.0
-        for lo in range(0, len(alone), BATCH):
+        alone = alone[np.argsort(ends[alone + 1] - ends[alone], kind="stable")]
+        solved, squared, lo = np.zeros((len(alone), factors)), 0.0, 0
+        while lo < len(alone):
             part = alone[lo : lo + BATCH]
-            sums = [_sums(other, place, extra, ends[k], ends[k + 1]) for k in part]
-            solved[lo : lo + BATCH], error = _solve(sums, system, gram)
-            squared += error
+            counts = ends[part + 1] - ends[part]
+            # In order of length, so what is left out of a batch is its longest.
+            fits = max(1, int((counts * np.arange(1, len(part) + 1) <= PADDED).sum()))
+            sums = _padded_sums(other, place, extra, ends[part[:fits]], counts[:fits])
+            solved[lo : lo + fits], error = _solve(*sums, system, gram)
+            squared, lo = squared + error, lo + fits
         if len(alone):
-            out.append(_solved(row["block"], ids[alone], solved, squared))
+            by_id = np.argsort(alone)
+            out.append(_solved(row["block"], ids[alone[by_id]], solved[by_id], squared))
         for k in np.flatnonzero(many):
             a, b, confidence = _sums(other, place, extra, ends[k], ends[k + 1])
             summed = np.concatenate((a.ravel(), b)).tobytes()
@@ -342,8 +369,8 @@ def _half(run: _Run, packed: DataFrame, vectors: DataFrame, totals: Totals, path
     def finish(parts: pa.Table) -> pa.Table:
         (row,) = add(parts).to_pylist()
         sums = np.frombuffer(row["vectors"], np.float64)
-        one = (sums[:-factors].reshape(factors, factors), sums[-factors:], row["squared"])
-        solved, error = _solve([one], system, gram)
+        a, b = sums[:-factors].reshape(1, factors, factors), sums[None, -factors:]
+        solved, error = _solve(a, b, row["squared"], system, gram)
         return _solved(row["block"], np.array([row["id"]], np.int64), solved, error)
 
     routes = packed.where("kind = 'route'").select("block", "other", "ids")
@@ -356,11 +383,13 @@ def _half(run: _Run, packed: DataFrame, vectors: DataFrame, totals: Totals, path
     solved = links.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(solve, VECTORS)
     solved.write.mode("overwrite").parquet(f"{path}/blocks")
     blocks = run.spark.read.schema(VECTORS).parquet(f"{path}/blocks")
-    if packed.where(F.col("other") == SUMMED).isEmpty():
+    if not summed:
         return _vectors(run.spark, path)
-    # In two rounds, as an id with a large share of all links has sums of every block.
-    parts = blocks.where("kind = 'sums'").withColumn("part", F.floor(F.col("block") / GATHER))
-    parts = parts.groupBy("id", "part").applyInArrow(add, VECTORS)
+    parts = blocks.where("kind = 'sums'")
+    if run.blocks > GATHER:
+        # In two rounds, as an id with a large share of all links has sums of every block.
+        parts = parts.withColumn("part", F.floor(F.col("block") / GATHER))
+        parts = parts.groupBy("id", "part").applyInArrow(add, VECTORS)
     parts = parts.withColumn("block", _block(run, F.col("id")))
     parts.groupBy("id").applyInArrow(finish, VECTORS).write.mode("overwrite").parquet(f"{path}/summed")
     return _vectors(run.spark, path)
@@ -381,10 +410,22 @@ def _sums(
     return (rows * more[:, None]).T @ rows, confidence @ rows, confidence.sum()
 
 
-def _solve(sums: list, system: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, float]:
+def _padded_sums(
+    other: np.ndarray, place: np.ndarray, extra: np.ndarray, starts: np.ndarray, counts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """``_sums`` of several ids at once, their links padded to the longest with zeros."""
+    inside = np.arange(counts.max()) < counts[:, None]
+    links = np.where(inside, starts[:, None] + np.arange(counts.max()), 0)
+    rows, more = other[place[links]], np.where(inside, extra[links], 0.0)
+    confidence = inside + more
+    a = np.matmul((rows * more[:, :, None]).transpose(0, 2, 1), rows)
+    return a, np.matmul(confidence[:, None, :], rows)[:, 0], float(confidence.sum())
+
+
+def _solve(
+    a: np.ndarray, b: np.ndarray, confidence: float, system: np.ndarray, gram: np.ndarray
+) -> tuple[np.ndarray, float]:
     """Best vectors, and the squared error of all pairs that they are part of."""
-    a, b = np.stack([s[0] for s in sums]), np.stack([s[1] for s in sums])
     x = np.linalg.solve(a + system, b[:, :, None])[:, :, 0]
-    fitted = np.einsum("ni,nij,nj->n", x, a + gram, x)
-    error = sum(s[2] for s in sums) - 2 * (x * b).sum() + fitted.sum()
-    return x, float(error)
+    fitted = (np.matmul(x[:, None, :], a + gram)[:, 0] * x).sum()
+    return x, float(confidence - 2 * (x * b).sum() + fitted)

@@ -869,11 +869,11 @@ def train_als(x: Inputs) -> DataFrame:
 def factorise(x: Inputs) -> DataFrame:
     """Vectors, iterations, those after which the loss is higher than before, and whether the
     last loss is that of the factors."""
-    weighted = _interactions(x)
+    weighted = x.stage("interactions", lambda: _interactions(x))
     found = A.factorise(weighted)
     total = F.col("squared_error") + F.col("penalty")
     before = F.lag(total).over(Window.orderBy("step"))
-    own = R.als_training_loss(found, weighted).select("squared_error").scalar()
+    own = R.als_training_loss(found, weighted).first()["squared_error"]
     return (
         found.loss.withColumn("rise", total > before * (1 + 1e-9))
         .agg(

@@ -100,3 +100,32 @@ def test_odd_interactions(spark):
     assert [r["squared_error"] for r in none.loss.collect()] == [0.0, 0.0]
     lists = R.personal_als(got, 5).collect()
     assert sorted((r["visitorid"], r["itemid"]) for r in lists) == [(1, 1), (2, 1)]
+
+
+def test_vectors_stay_where_they_are_for_ids_with_many_links(spark, tmp_path, monkeypatch):
+    """Three items that 300 users have: one vector of each user goes to its own block only."""
+    monkeypatch.setattr(A, "GATHER", 2)  # of three blocks: sums are added in two rounds
+    rows = [(u, i, float(1 + (u * i) % 3)) for u in range(300) for i in (3, 5, 8)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    start = A.factorise(frame, replace(CONFIG, iterations=0))
+    item_ids, y = table(start.itemFactors)
+    x, y, losses = plain(rows, y, item_ids, CONFIG)
+    got = A.factorise(frame, CONFIG, str(tmp_path))
+    assert np.allclose(table(got.userFactors)[1], x, atol=1e-4)
+    assert np.allclose(table(got.itemFactors)[1], y, atol=1e-4)
+    found = [(r["squared_error"], r["penalty"]) for r in got.loss.orderBy("step").collect()]
+    assert np.allclose(found, losses, rtol=1e-5)
+    (root,) = tmp_path.iterdir()
+    routes = spark.read.parquet(f"{root}/packed-item_id").where("kind = 'route'").collect()
+    assert len(routes) == CONFIG.blocks and all(r["block"] == r["other"] for r in routes)
+    assert sum(len(r["ids"]) // 8 for r in routes) == 300
+
+
+def test_padded_sums_are_those_of_every_id():
+    rng = np.random.default_rng(2)
+    other, place, extra = rng.normal(size=(30, 4)), rng.integers(0, 30, 50), rng.random(50)
+    starts, counts = np.array([3, 0, 20]), np.array([1, 3, 17])
+    a, b, confidence = A._padded_sums(other, place, extra, starts, counts)
+    each = [A._sums(other, place, extra, lo, lo + n) for lo, n in zip(starts, counts, strict=True)]
+    assert np.allclose(a, [s[0] for s in each]) and np.allclose(b, [s[1] for s in each])
+    assert confidence == pytest.approx(sum(s[2] for s in each))
