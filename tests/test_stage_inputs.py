@@ -50,6 +50,18 @@ def test_the_ranker_is_trained_on_written_rows(spark, folder, monkeypatch):
     assert whole.exceptAll(seen[0]).isEmpty() and seen[0].exceptAll(whole).isEmpty()
 
 
+def test_saved_ranker_is_compared_without_a_join(spark, folder, monkeypatch):
+    saved = REGISTERED["save_and_load_ranker"](spark, folder)
+    assert not re.search(r"Join|Window", final_plan(saved))
+    rows = K.valid_groups(K.label_candidates(Inputs(spark, folder).candidates(), Inputs(spark, folder).positives()))
+    assert saved.first().asDict() == {"rows": rows.count(), "different": 0}
+    # A ranker that is another one is noticed.
+    load = K.load_ranker
+    other = K.train_ranker(rows, RankerConfig(iterations=1, depth=1, learning_rate=1.0))
+    monkeypatch.setattr(K, "load_ranker", lambda path: load(path) and other)
+    assert REGISTERED["save_and_load_ranker"](spark, folder).first()["different"] > 0
+
+
 def test_metrics_read_events_and_properties_once(spark, folder):
     x = Inputs(spark, folder)
     items = x.item_properties().select("itemid").distinct()
